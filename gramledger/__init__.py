@@ -1 +1,8 @@
 """Cost and safety ranking of billed items, written as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

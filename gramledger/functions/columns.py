@@ -94,8 +94,8 @@ def safety_tier(recalls: Column, worst: Column) -> Column:
 
 def risk_score(gap: Column, recalls: Column, worst: Column, ongoing: Column) -> Column:
     """Gap percent, plus points for the worst recall and for each ongoing one, to one place."""
-    severity_points = F.when(recalls > 0, (OTHER_SEVERITY - worst) * POINTS_PER_SEVERITY_STEP)
     zero = F.lit(0)
+    severity_points = (OTHER_SEVERITY - worst) * POINTS_PER_SEVERITY_STEP
     return F.round(
         F.coalesce(gap, F.lit(0.0))
         + F.when(recalls > 0, severity_points).otherwise(zero)

@@ -21,6 +21,7 @@ def build_session(app: str = "gramledger", master: str | None = None, **conf: ob
         builder = builder.master(master)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
