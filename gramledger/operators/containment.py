@@ -11,13 +11,16 @@ Spark plans such a join as a nested loop over all pairs. Here every description
 ``shuffle``  any number of names: the pieces (key and piece, not the text) are shuffled on a salted key,
              candidates meet their text once, and ``contains`` decides.
 
-All three give the same rows. ``auto`` measures the names and picks one.
+All three give the same rows. ``auto`` measures the names and picks one. When only the best name per
+description is wanted, and what makes it best is known of the names alone, :func:`best_contained` lets the
+scan itself keep that one name, so that neither rows are multiplied nor anything is sorted or shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gramledger.operators.best_match import best_match
 from gramledger.session import fresh_path
 
 # Characters of names held in memory per pass; an automaton takes some 100 bytes for each.
@@ -63,32 +67,60 @@ def contains_join(
     ``min_name_len`` shuts it out. ``right`` is written once to the shared folder, because it is both
     measured and joined.
     """
-    usable = right.where(F.col(name).isNotNull() & (F.length(name) >= min_name_len))
-    names, chars = _measured(usable, name)
+    names, chars = _measured(_usable(right, name, min_name_len), name)
     prepared = left.withColumn("_text", normalize(F.col(text)))
-    passes = max(1, -(-chars // scan_chars))
-    if strategy == "auto":
-        strategy = _choose(chars, passes)
+    strategy, passes = _choose(strategy, chars, scan_chars)
+    if strategy == "scan" and passes == 1:
+        found = _finder(_shared(names, name), T.ArrayType(T.StringType()))
+        matched = prepared.withColumn(name, F.explode_outer(found(F.col("_text"))))
+        return matched.join(names, name, "left").select(*left.columns, *right.columns)
+    matches = _pairs(prepared, names, key, name, strategy, passes).join(names, name)
+    joined = left.join(matches.select(key, *right.columns), key, "left")
+    return joined.select(*left.columns, *right.columns)
+
+
+def best_contained(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    text: str,
+    name: str,
+    order: Sequence[Column],
+    strategy: str = "auto",
+    normalize: Callable[[Column], Column] = F.upper,
+    min_name_len: int = 0,
+    scan_chars: int = SCAN_CHARS,
+) -> DataFrame:
+    """``contains_join`` followed by ``best_match`` on ``key``: one row per left row.
 
+    ``order`` may use columns of ``right`` only. The names go to the tasks in that order, and a task
+    keeps the first one it finds in a text.
+    """
+    single = best_match(_usable(right, name, min_name_len), name, order)
+    names, chars = _measured(single, name)
+    prepared = left.withColumn("_text", normalize(F.col(text)))
+    strategy, passes = _choose(strategy, chars, scan_chars)
     if strategy == "scan" and passes == 1:
-        found = _scan(names, name)
-        matched = prepared.withColumn(name, F.explode_outer(found(F.col("_text")))).drop("_text")
+        found = _finder(_shared(names.orderBy(*order), name), T.StringType())
+        matched = prepared.withColumn(name, found(F.col("_text")))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
+    pairs = _pairs(prepared, names, key, name, strategy, passes).join(names, name)
+    best = best_match(pairs.select(key, *right.columns), key, order)
+    return left.join(best, key, "left").select(*left.columns, *right.columns)
 
-    if strategy == "scan":
-        pairs = _scan_in_passes(prepared, names, key, name, passes)
-    elif strategy in ("grams", "shuffle"):
-        pairs = _piece_pairs(prepared, names, key, name, move=strategy == "shuffle")
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    matches = pairs.join(names, name).select(key, *right.columns)
-    return left.join(matches, key, "left").select(*left.columns, *right.columns)
 
+def _usable(right: DataFrame, name: str, min_name_len: int) -> DataFrame:
+    return right.where(F.col(name).isNotNull() & (F.length(name) >= min_name_len))
 
-def _choose(chars: int, passes: int) -> str:
-    if automaton_available() and passes <= SCAN_PASSES:
-        return "scan"
-    return "grams" if chars <= BROADCAST_CHARS else "shuffle"
+
+def _choose(strategy: str, chars: int, scan_chars: int) -> tuple[str, int]:
+    passes = max(1, -(-chars // scan_chars))
+    if strategy == "auto":
+        if automaton_available() and passes <= SCAN_PASSES:
+            strategy = "scan"
+        else:
+            strategy = "grams" if chars <= BROADCAST_CHARS else "shuffle"
+    return strategy, passes
 
 
 def _measured(right: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -100,50 +132,64 @@ def _measured(right: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.schema(right.schema).parquet(path), size.get["chars"] or 0
 
 
-def _scan(names: DataFrame, name: str) -> Callable[[Column], Column]:
-    """Column function: text to the array of distinct names in it. The caller has checked the size."""
+def _pairs(
+    prepared: DataFrame, names: DataFrame, key: str, name: str, strategy: str, passes: int
+) -> DataFrame:
+    """(key, name) for every name in every text, each pair once."""
+    if strategy == "scan":
+        part = F.pmod(F.xxhash64(name), F.lit(passes))
+        listed = T.ArrayType(T.StringType())
+        finders = [_finder(_shared(names.where(part == i), name), listed) for i in range(passes)]
+        found = [prepared.select(key, F.explode(f(F.col("_text"))).alias(name)) for f in finders]
+        return reduce(DataFrame.unionAll, found)
+    if strategy in ("grams", "shuffle"):
+        return _piece_pairs(prepared, names, key, name, move=strategy == "shuffle")
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def _shared(names: DataFrame, name: str) -> Broadcast:
+    """Names, in the order of the frame, for all tasks. The caller has checked their size."""
     listed = list(dict.fromkeys(row[name] for row in names.select(name).collect()))
-    return _finder(names.sparkSession.sparkContext.broadcast({"names": listed}))
+    return names.sparkSession.sparkContext.broadcast({"names": listed})
 
 
-def _finder(shared: Broadcast) -> Callable[[Column], Column]:
-    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _finder(shared: Broadcast, returns: T.DataType) -> Callable[[Column], Column]:
+    """Column function: text to all distinct names in it, or, for a string result, to the first one."""
+    every = isinstance(returns, T.ArrayType)
+
+    def automaton() -> tuple:
         import ahocorasick
 
         held = shared.value
         if "automaton" not in held:  # once per worker process, not once per task
-            automaton = ahocorasick.Automaton()
+            built = ahocorasick.Automaton()
             for i, word in enumerate(held["names"]):
                 if word:
-                    automaton.add_word(word, i)
-            if len(automaton):
-                automaton.make_automaton()
+                    built.add_word(word, i)
+            if len(built):
+                built.make_automaton()
+            held["automaton"] = built
             held["everywhere"] = {i for i, word in enumerate(held["names"]) if not word}
             held["array"] = pa.array(held["names"], pa.string())
-            held["automaton"] = automaton
-        automaton, everywhere = held["automaton"], held["everywhere"]
-
-        for texts in batches:
-            hits: list[int] = []
-            ends = [0]
-            for text in texts.to_pylist():
-                if text is not None:
-                    seen = {i for _, i in automaton.iter(text)} if len(automaton) else set()
-                    hits.extend(seen | everywhere)
-                ends.append(len(hits))
-            words = held["array"].take(pa.array(hits, pa.int64()))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)
+        return held["automaton"], held["everywhere"], held["array"]
 
-    return F.arrow_udf(find, T.ArrayType(T.StringType()))
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        built, everywhere, names = automaton()
 
+        def numbers(text: str) -> set[int]:
+            return {i for _, i in built.iter(text)} | everywhere if len(built) else everywhere
 
-def _scan_in_passes(
-    prepared: DataFrame, names: DataFrame, key: str, name: str, passes: int
-) -> DataFrame:
-    part = F.pmod(F.xxhash64(name), F.lit(passes))
-    finders = [_scan(names.where(part == i), name) for i in range(passes)]
-    pairs = [prepared.select(key, F.explode(f(F.col("_text"))).alias(name)) for f in finders]
-    return reduce(DataFrame.unionAll, pairs)
+        for texts in batches:
+            found = [set() if text is None else numbers(text) for text in texts.to_pylist()]
+            if every:
+                ends = pa.array(accumulate(map(len, found), initial=0), pa.int32())
+                yield pa.ListArray.from_arrays(
+                    ends, names.take(pa.array(chain.from_iterable(found), pa.int64()))
+                )
+            else:
+                yield names.take(pa.array([min(f, default=None) for f in found], pa.int64()))
+
+    return F.arrow_udf(find, returns)
 
 
 def _pieces(text: Column, width: int) -> Column:

@@ -146,6 +146,13 @@ records AS (
 
 FOUND = f"WITH {WORDS} SELECT doc_id, word, first_item FROM found"
 
+BEST_WORD = f"""
+    WITH {WORDS}
+    SELECT doc_id, word, first_item FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(word) DESC NULLS LAST,
+             first_item ASC NULLS LAST, word ASC NULLS LAST) AS match_rank
+      FROM found) WHERE match_rank = 1"""
+
 CHECK_COLUMNS = "table_name, column_name, check_name, failures, failures = 0 AS passed"
 
 
@@ -221,12 +228,8 @@ ORACLE: dict[str, str] = {
         WITH passages AS (SELECT item_id, upper(replace(text, 'ß', 'ss')) AS passage FROM benchmark),
         texts AS (SELECT doc_id, upper(replace(text, 'ß', 'ss')) AS body FROM documents)
         SELECT doc_id, item_id, passage FROM texts LEFT JOIN passages ON contains(body, passage)""",
-    "best_match": f"""
-        WITH {WORDS}
-        SELECT doc_id, word, first_item FROM (
-          SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(word) DESC NULLS LAST,
-                 first_item ASC NULLS LAST, word ASC NULLS LAST) AS match_rank
-          FROM found) WHERE match_rank = 1""",
+    "best_match": BEST_WORD,
+    "best_contained": BEST_WORD,
     "matched_payments": f"""
         WITH {MATCHED} SELECT hcpcs_code, drug_desc, generic_name_clean, total_recalls FROM matched""",
     "top_n": f"""

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from gramledger.functions import columns as C
 from gramledger.operators.best_match import best_match, longest_then_worst
-from gramledger.operators.containment import contains_join
+from gramledger.operators.containment import best_contained, contains_join
 from gramledger.operators.flatten import add_gap_and_impact, explode_keep, flatten_fields
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check, run_checks
 from gramledger.operators.rollup import weighted_rollup
@@ -205,6 +205,14 @@ def best_match_words(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def best_contained_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The same result with the choice made inside the scan."""
+    texts, words = D.document_texts(spark, folder), D.benchmark_words(spark, folder)
+    order = longest_then_worst("word", "first_item")
+    best = best_contained(texts, words, "doc_id", "text", "word", order)
+    return best.select("doc_id", "word", "first_item")
+
+
 def matched_payments(spark: SparkSession, folder: str) -> DataFrame:
     matched = gold.matched_payments(D.staged(spark, folder), D.summary(spark, folder))
     return matched.select("hcpcs_code", "drug_desc", "generic_name_clean", "total_recalls")
@@ -446,6 +454,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contains_join_shuffle": contains_join_shuffle,
     "contains_passages": contains_passages,
     "best_match": best_match_words,
+    "best_contained": best_contained_words,
     "matched_payments": matched_payments,
     "top_n": top_scores,
     "board_filter": board_rows,

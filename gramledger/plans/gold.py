@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramledger.functions import columns as C
-from gramledger.operators.best_match import best_match, longest_then_worst
-from gramledger.operators.containment import contains_join
+from gramledger.operators.best_match import longest_then_worst
+from gramledger.operators.containment import best_contained, contains_join
 from gramledger.operators.flatten import add_gap_and_impact
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check
 from gramledger.operators.rollup import history_summary, weighted_rollup
@@ -20,6 +20,8 @@ ONGOING = "Ongoing"
 AVERAGES = ("avg_submitted_charge", "avg_medicare_allowed", "avg_medicare_paid")
 TOTALS = ("total_providers", "total_services")
 
+MATCH = {"key": "hcpcs_code", "text": "drug_desc", "name": "generic_name_clean"}
+
 CHECKS = (
     Check("staged_payments", "hcpcs_code", NOT_NULL),
     Check("staged_payments", "hcpcs_code", UNIQUE),
@@ -76,32 +78,29 @@ def recall_summary(staged: DataFrame, ongoing: str = ONGOING) -> DataFrame:
 
 def matched_payments(payments: DataFrame, summary: DataFrame, strategy: str = "auto") -> DataFrame:
     """Codes with every name found in their description; the summary is aggregated before the join."""
-    joined = contains_join(
-        payments.drop("geography"),
-        summary,
-        key="hcpcs_code",
-        text="drug_desc",
-        name="generic_name_clean",
-        strategy=strategy,
-    )
-    zero = F.lit(0).cast("long")
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), zero) for c in ("total_recalls", "ongoing_recalls")}
-    )
+    return _filled(contains_join(payments.drop("geography"), summary, **MATCH, strategy=strategy))
 
 
 def scored_table(payments: DataFrame, summary: DataFrame, strategy: str = "auto") -> DataFrame:
     """One row per code with tiers and score. Unordered: sinks and reports sort for themselves."""
-    matched = matched_payments(payments, summary, strategy)
-    best = best_match(
-        matched, "hcpcs_code", longest_then_worst("generic_name_clean", "worst_severity_rank")
+    order = longest_then_worst("generic_name_clean", "worst_severity_rank")
+    best = best_contained(
+        payments.drop("geography"), summary, **MATCH, order=order, strategy=strategy
     )
     gap, recalls = F.col("payment_gap_pct"), F.col("total_recalls")
     worst, ongoing = F.col("worst_severity_rank"), F.col("ongoing_recalls")
-    return best.withColumns(
+    return _filled(best).withColumns(
         {
             "cost_risk_tier": C.tier_by_limit(gap),
             "safety_risk_tier": C.safety_tier(recalls, worst),
             "combined_risk_score": C.risk_score(gap, recalls, worst, ongoing),
         }
     )
+
+
+def _filled(matched: DataFrame) -> DataFrame:
+    """Counts of a code without a match are zero."""
+    zero = F.lit(0).cast("long")
+    return matched.withColumns(
+        {c: F.coalesce(F.col(c), zero) for c in ("total_recalls", "ongoing_recalls")}
+    )
