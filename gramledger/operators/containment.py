@@ -198,13 +198,18 @@ def _pieces(text: Column, width: int) -> Column:
     return F.array_distinct(every)
 
 
+def _width(name: str) -> Column:
+    """Widest piece that fits into a name; 0 for the empty name."""
+    fits = [F.when(F.length(name) >= w, F.lit(w)) for w in reversed(WIDTHS)]
+    return F.coalesce(*fits, F.lit(0))
+
+
 def _lookup_pieces(words: DataFrame, name: str) -> DataFrame:
     """Each name with its width and its rarest piece of that width, rarity counted over the names.
 
     Names that share a common beginning so still spread over many pieces.
     """
-    fits = [F.when(F.length(name) >= w, F.lit(w)) for w in reversed(WIDTHS)]
-    sized = words.withColumn("_width", F.coalesce(*fits))
+    sized = words.withColumn("_width", _width(name))
     cut = F.coalesce(*[F.when(F.col("_width") == w, _pieces(F.col(name), w)) for w in WIDTHS])
     exploded = sized.withColumn("_piece", F.explode(cut))
     shared_by = exploded.groupBy("_piece").agg(F.count(F.lit(1)).alias("_shared"))
@@ -216,17 +221,11 @@ def _piece_pairs(
     prepared: DataFrame, names: DataFrame, key: str, name: str, move: bool
 ) -> DataFrame:
     words = names.select(name).distinct()
-    lookup = _lookup_pieces(words.where(F.length(name) > 0), name)
     # A handful of integers: which widths the names need at all.
-    widths = [r["_width"] for r in lookup.select("_width").distinct().collect()]
+    widths = sorted(r[0] for r in words.select(_width(name)).distinct().collect())
     texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text")
-    everywhere = words.where(F.length(name) == 0)
-    # The empty name, at most one row, is in every text.
-    pairs = texts.select(key, F.lit("").alias(name)).join(F.broadcast(everywhere), name).select(key, name)
-    if not widths:
-        return pairs
-
-    cut = F.concat(*[_pieces(F.col("_text"), w) for w in sorted(widths)])
+    lookup = _lookup_pieces(words, name)
+    cut = F.concat(F.array().cast("array<string>"), *[_pieces(F.col("_text"), w) for w in widths if w])
     sure = (F.length(name) == F.col("_width")) | F.contains(F.col("_text"), F.col(name))
     if not move:
         pieces = texts.select(key, "_text", F.explode(cut).alias("_piece"))
@@ -239,4 +238,6 @@ def _piece_pairs(
         salted = lookup.withColumn("_salt", F.explode(every_salt))
         candidates = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
         found = candidates.join(texts, key).where(sure)
-    return found.select(key, name).unionAll(pairs)
+    pairs = found.select(key, name)
+    # The empty name is in every text.
+    return pairs.unionAll(texts.select(key, F.lit("").alias(name))) if 0 in widths else pairs

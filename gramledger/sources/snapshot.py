@@ -25,7 +25,11 @@ def write_snapshot(
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT) -> DataFrame:
-    """Snapshot with fixed types and lower-case names. The text ``None`` stays a value."""
+    """Snapshot with fixed types and lower-case names.
+
+    The text ``None`` stays a value. CSV has one spelling for empty and missing text, so empty text comes
+    back as null.
+    """
     df = spark.read.schema(schema).options(**CSV, multiLine=True).csv(path)
     return df.toDF(*[c.lower() for c in df.columns])
 
