@@ -31,11 +31,12 @@ from pyspark.sql import types as T
 from gramledger.operators.best_match import best_match
 from gramledger.session import fresh_path
 
-# Characters of names held in memory per pass; an automaton takes some 100 bytes for each.
+# Characters of names held in memory per pass; an automaton takes some 40 bytes for each.
 SCAN_CHARS = 4_000_000
 SCAN_PASSES = 16
-# Characters of names that may be broadcast as a hash table.
+# Characters of names, and bytes of the joined name table, that may be broadcast as a hash table.
 BROADCAST_CHARS = 64_000_000
+BROADCAST_BYTES = 128_000_000
 # Piece widths; a name is looked up by one piece of the widest size that fits into it.
 WIDTHS = (1, 2, 3, 4, 8)
 SALTS = 8
@@ -124,12 +125,33 @@ def _choose(strategy: str, chars: int, scan_chars: int) -> tuple[str, int]:
 
 
 def _measured(right: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``right`` once; its size in characters is counted by the write itself."""
+    """Write ``right`` once; its size is counted by the write itself.
+
+    Returns the written table, marked for broadcast if its counted size allows it, and the number of
+    characters in its names.
+    """
     spark = right.sparkSession
     path = fresh_path(spark, "names")
     size = Observation()
-    right.observe(size, F.sum(F.length(name)).alias("chars")).write.parquet(path)
-    return spark.read.schema(right.schema).parquet(path), size.get["chars"] or 0
+    row_bytes = sum((_bytes(f) for f in right.schema.fields), F.lit(0))
+    counted = right.observe(
+        size, F.sum(F.length(name)).alias("chars"), F.sum(row_bytes).alias("bytes")
+    )
+    counted.write.parquet(path)
+    written = spark.read.schema(right.schema).parquet(path)
+    small = (size.get["bytes"] or 0) <= BROADCAST_BYTES
+    return (F.broadcast(written) if small else written), size.get["chars"] or 0
+
+
+def _bytes(field: T.StructField) -> Column:
+    """Bytes of a value, from above; a nested value is measured by its JSON text."""
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        size = F.octet_length(field.name)
+    elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        size = F.octet_length(F.to_json(F.struct(field.name))) * 4
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)).cast("long") + 16
 
 
 def _pairs(
@@ -223,7 +245,9 @@ def _piece_pairs(
     words = names.select(name).distinct()
     # A handful of integers: which widths the names need at all.
     widths = sorted(r[0] for r in words.select(_width(name)).distinct().collect())
-    texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text")
+    # Cutting a text into pieces costs far more than moving it once, so texts are spread evenly first;
+    # the later joins on the key use the same partitioning.
+    texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text").repartition(key)
     lookup = _lookup_pieces(words, name)
     cut = F.concat(F.array().cast("array<string>"), *[_pieces(F.col("_text"), w) for w in widths if w])
     sure = (F.length(name) == F.col("_width")) | F.contains(F.col("_text"), F.col(name))

@@ -16,6 +16,8 @@ PAYMENT_PAGE_SIZE, PAYMENT_PAGES = 5000, 40
 RECALL_PAGE_SIZE, RECALL_PAGES = 1000, 10
 
 PAGE = "page"
+# Bytes that a file with at least one record cannot fall below; ``[]`` and blank files do.
+SMALLEST_RECORD = 5
 
 
 def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE) -> None:
@@ -27,20 +29,28 @@ def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_P
 def read_pages(
     spark: SparkSession, path: str, schema: T.StructType, max_pages: int | None = None
 ) -> DataFrame:
-    """Rows of the landed pages ahead of the first empty one."""
+    """Rows of the landed pages ahead of the first empty one.
+
+    Which pages are filled is seen from the file sizes; no row is read for it.
+    """
     paged = T.StructType([*schema.fields, T.StructField(PAGE, T.LongType())])
-    return until_empty_page(spark.read.schema(paged).json(path), max_pages)
+    files = spark.read.format("binaryFile").load(path).select(F.col(PAGE).cast("long"), "length")
+    filled = files.where(F.col("length") >= SMALLEST_RECORD)
+    return until_empty_page(spark.read.schema(paged).json(path), max_pages, filled)
 
 
-def until_empty_page(df: DataFrame, max_pages: int | None = None) -> DataFrame:
+def until_empty_page(
+    df: DataFrame, max_pages: int | None = None, filled: DataFrame | None = None
+) -> DataFrame:
     """Stop rule of a paged feed: the first page without rows ends it, later pages do not count.
 
-    Page numbers are few and combine before the shuffle. The limit becomes a scalar subquery, so page
-    folders beyond it are pruned.
+    ``filled`` lists the pages that hold rows; without it they are taken from ``df``, which is then read
+    more than once, so write a live feed before. The limit becomes a scalar subquery, so page folders
+    beyond it are pruned.
     """
     if max_pages is not None:
         df = df.where(F.col(PAGE) < max_pages)
-    present = df.select(PAGE).distinct()
+    present = (df if filled is None else filled).select(PAGE).distinct()
     start = df.sparkSession.range(1).select(F.lit(0).cast("long").alias(PAGE))
     following = present.select((F.col(PAGE) + 1).alias(PAGE)).unionAll(start)
     stop = following.join(present, PAGE, "left_anti").agg(F.min(PAGE))

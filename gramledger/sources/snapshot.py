@@ -8,7 +8,13 @@ from pyspark.sql import types as T
 
 from gramledger.schemas import SNAPSHOT
 
-CSV = {"header": True, "quote": '"', "escape": '"'}
+CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_snapshot(

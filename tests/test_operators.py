@@ -107,7 +107,8 @@ def test_top_n_keeps_n_rows_per_task(spark):
 
 def test_newest_takes_whole_pages(spark):
     df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 10).alias("d"))
-    assert newest(df, "d", "k", pages=2, page_size=10).where("d < 8").isEmpty()
+    top = newest(df, "d", "k", pages=2, page_size=10)
+    assert top.count() == 20 and top.where("d < 8").isEmpty()
 
 
 def test_filter_defaults_to_all_present_values(spark):
@@ -149,3 +150,11 @@ def test_enrichment_paces_over_lanes(spark):
     start = time.time()
     assert enrich_rows(df, "p", lambda p: p, pause=0.1, lanes=2).count() == 6
     assert time.time() - start >= 0.5
+
+
+@pytest.mark.parametrize("n", [1, 3, 5, 7, 8, 20])
+def test_newest_with_missing_dates(spark, n):
+    rows = [(i, day) for i, day in enumerate(["b", "a", None, "c", "b", "a", None, "c"])]
+    df = spark.createDataFrame(rows, "k int, d string")
+    got = [r["k"] for r in newest(df, "d", "k", pages=1, page_size=n).collect()]
+    assert got == [3, 7, 0, 4, 1, 5, 2, 6][:n]
