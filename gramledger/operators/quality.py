@@ -27,33 +27,42 @@ def _row_failures(check: Check) -> Column:
     return F.count_if(~c.isin(*check.values))  # a null is neither in nor out, so it passes
 
 
-def _report_row(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        failures.alias("failures"),
-    )
+def _report(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row of counts, ``_0`` for the first check and so on, to one row per check."""
+    rows = [
+        F.struct(
+            F.lit(c.table).alias("table_name"),
+            F.lit(c.column).alias("column_name"),
+            F.lit(c.kind).alias("check_name"),
+            F.col(f"_{i}").alias("failures"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One report row per check, with the number of failing rows (failing values for ``unique``).
 
-    All row checks of a table share one aggregate pass; every uniqueness check needs a grouping of its
-    own. Nulls are not compared for uniqueness.
+    A table is read once: its row checks are counted per group of its first ``unique`` column, and the
+    groups summed up. Only further ``unique`` columns need a grouping of their own. Nulls are not compared
+    for uniqueness.
     """
     parts: list[DataFrame] = []
     for table, df in tables.items():
         mine = [c for c in checks if c.table == table]
         by_row = [c for c in mine if c.kind != UNIQUE]
-        if by_row:
-            counts = df.agg(*[_row_failures(c).alias(f"_{i}") for i, c in enumerate(by_row)])
-            rows = F.array(*[_report_row(c, F.col(f"_{i}")) for i, c in enumerate(by_row)])
-            parts.append(counts.select(F.inline(rows)))
-        for check in (c for c in mine if c.kind == UNIQUE):
-            c = F.col(check.column)
-            repeated = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-            counts = repeated.agg(F.count_if(F.col("_n") > 1).alias("_u"))
-            parts.append(counts.select(F.inline(F.array(_report_row(check, F.col("_u"))))))
+        unique = [c for c in mine if c.kind == UNIQUE]
+        row_counts = [_row_failures(c).alias(f"_{i}") for i, c in enumerate(by_row)]
+        if by_row and not unique:
+            parts.append(_report(df.agg(*row_counts), by_row))
+        for position, check in enumerate(unique):
+            with_rows = by_row if position == 0 else []
+            group = df.groupBy(F.col(check.column).alias("_value"))
+            groups = group.agg(F.count(F.lit(1)).alias("_n"), *row_counts[: len(with_rows)])
+            sums = [F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(with_rows))]
+            repeated = F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1))
+            counts = groups.agg(*sums, repeated.alias(f"_{len(with_rows)}"))
+            parts.append(_report(counts, [*with_rows, check]))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("passed", F.col("failures") == 0)

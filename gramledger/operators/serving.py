@@ -6,6 +6,7 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def top_n(df: DataFrame, n: int, score: str = "combined_risk_score", key: str = "hcpcs_code") -> DataFrame:
@@ -17,16 +18,18 @@ def newest(df: DataFrame, date: str, key: str, pages: int = 10, page_size: int =
     """The newest rows, as many as the feed hands out: ``pages`` pages of ``page_size`` rows.
 
     That many rows from every task would be too much for the one task that merges them. So rows are first
-    counted per date, and only dates that can still be among the newest are read for the sort.
+    counted per day, and only days that can still be among the newest are read for the sort.
     """
     n = pages * page_size
-    per_date = df.groupBy(date).agg(F.count(F.lit(1)).alias("_rows"))
-    newer = Window.orderBy(F.col(date).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = per_date.withColumn("_ahead", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+    moment = isinstance(df.schema[date].dataType, T.TimestampType | T.TimestampNTZType)
+    day = F.date_trunc("day", date) if moment else F.col(date)
+    per_day = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
+    newer = Window.orderBy(F.col("_day").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = per_day.withColumn("_ahead", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
     oldest = ahead.where(F.col("_ahead") < n).agg(
-        F.min(date).alias("_date"), F.bool_or(F.col(date).isNull()).alias("_undated")
+        F.min("_day").alias("_day"), F.bool_or(F.col("_day").isNull()).alias("_undated")
     )
-    reached = (F.col(date) >= oldest.select("_date").scalar()) | oldest.select("_undated").scalar()
+    reached = (F.col(date) >= oldest.select("_day").scalar()) | oldest.select("_undated").scalar()
     return df.where(reached).orderBy(F.col(date).desc_nulls_last(), F.col(key).asc()).limit(n)
 
 

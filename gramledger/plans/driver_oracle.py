@@ -14,13 +14,18 @@ payments AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
-ROLLUP = """
-  SELECT hcpcs_code, max(drug_desc) AS drug_desc, max(geography) AS geography,
-         sum(total_providers) AS total_providers, sum(total_services) AS total_services,
-         sum(avg_submitted_charge * total_services) / nullif(sum(total_services), 0) AS avg_submitted_charge,
-         sum(avg_medicare_allowed * total_services) / nullif(sum(total_services), 0) AS avg_medicare_allowed,
-         sum(avg_medicare_paid * total_services) / nullif(sum(total_services), 0) AS avg_medicare_paid
-  FROM payments {where} GROUP BY hcpcs_code"""
+TOTALS = ("total_providers", "total_services")
+AVERAGES = ("avg_submitted_charge", "avg_medicare_allowed", "avg_medicare_paid")
+DERIVED = ("payment_gap_pct", "dollar_impact")
+
+TOTAL_COLUMNS = ", ".join(f"sum({c}) AS {c}" for c in TOTALS)
+AVERAGE_COLUMNS = ", ".join(
+    f"sum({c} * total_services) / nullif(sum(total_services), 0) AS {c}" for c in AVERAGES
+)
+
+ROLLUP = f"""
+  SELECT hcpcs_code, max(drug_desc) AS drug_desc, max(geography) AS geography, {TOTAL_COLUMNS}, {AVERAGE_COLUMNS}
+  FROM payments {{where}} GROUP BY hcpcs_code"""
 
 GAP = """
   SELECT *, (avg_submitted_charge - avg_medicare_paid) / nullif(avg_submitted_charge, 0) * 100 AS payment_gap_pct,
@@ -78,13 +83,12 @@ matched AS (
 
 SCORED = f"""
 {MATCHED},
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY hcpcs_code ORDER BY length(generic_name_clean) DESC NULLS LAST,
-         worst_severity_rank ASC NULLS LAST, generic_name_clean ASC NULLS LAST) AS match_rank
-  FROM matched
+best AS (
+  SELECT DISTINCT ON (hcpcs_code) * FROM matched
+  ORDER BY hcpcs_code, length(generic_name_clean) DESC NULLS LAST, worst_severity_rank NULLS LAST, generic_name_clean
 ),
 scored AS (
-  SELECT * EXCLUDE (match_rank),
+  SELECT *,
          CASE WHEN payment_gap_pct >= 75 THEN 'High' WHEN payment_gap_pct >= 40 THEN 'Medium' ELSE 'Low' END
            AS cost_risk_tier,
          CASE WHEN total_recalls = 0 THEN 'None' WHEN worst_severity_rank = 1 THEN 'High'
@@ -92,12 +96,10 @@ scored AS (
          round(coalesce(payment_gap_pct, 0)
                + CASE WHEN total_recalls > 0 THEN (4 - worst_severity_rank) * 20 ELSE 0 END
                + coalesce(ongoing_recalls, 0) * 10, 1) AS combined_risk_score
-  FROM ranked WHERE match_rank = 1
+  FROM best
 )"""
 
-SETTLED = """* REPLACE (round(avg_submitted_charge, 6) AS avg_submitted_charge,
-         round(avg_medicare_allowed, 6) AS avg_medicare_allowed, round(avg_medicare_paid, 6) AS avg_medicare_paid,
-         round(payment_gap_pct, 6) AS payment_gap_pct, round(dollar_impact, 6) AS dollar_impact)"""
+SETTLED = "* REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in AVERAGES + DERIVED) + ")"
 
 TOP = "ORDER BY combined_risk_score DESC, hcpcs_code LIMIT {n}"
 
@@ -148,10 +150,8 @@ FOUND = f"WITH {WORDS} SELECT doc_id, word, first_item FROM found"
 
 BEST_WORD = f"""
     WITH {WORDS}
-    SELECT doc_id, word, first_item FROM (
-      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(word) DESC NULLS LAST,
-             first_item ASC NULLS LAST, word ASC NULLS LAST) AS match_rank
-      FROM found) WHERE match_rank = 1"""
+    SELECT DISTINCT ON (doc_id) doc_id, word, first_item FROM found
+    ORDER BY doc_id, length(word) DESC NULLS LAST, first_item NULLS LAST, word"""
 
 CHECK_COLUMNS = "table_name, column_name, check_name, failures, failures = 0 AS passed"
 

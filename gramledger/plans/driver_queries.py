@@ -19,7 +19,7 @@ from gramledger.plans import board, explain, gold
 from gramledger.plans import driver_tables as D
 from gramledger.plans.silver import silver_payments, silver_recalls
 from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS
-from gramledger.session import fresh_path, materialize
+from gramledger.session import fresh_path, materialize, spread_small
 from gramledger.sources import bronze, pages, snapshot
 from gramledger.streaming.incremental import drop_repeats, land_new_files
 
@@ -382,7 +382,7 @@ def bronze_to_silver_payments(spark: SparkSession, folder: str) -> DataFrame:
         text(price * (1 - discount)).alias("Avg_Mdcr_Alowd_Amt"),
         text(price * (1 - discount * 10)).alias("Avg_Mdcr_Pymt_Amt"),
     )
-    lines, parts = D.table(spark, folder, "lineitem"), D.table(spark, folder, "part")
+    lines, parts = spread_small(D.table(spark, folder, "lineitem")), D.table(spark, folder, "part")
     landed = lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.col("l_orderkey").alias("id"), F.lit(RUN_TS).alias("ingested_at"), record.alias("record")
     )

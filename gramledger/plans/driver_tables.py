@@ -1,8 +1,9 @@
 """The order and part tables seen as payments and recalls.
 
 A line is a payment row for its part, its line status the geography, of which ``O`` is ranked. A finished
-returned line is a recall notice for its part, with its order's priority as class. The description of a part is its name, brand and
-size; a notice names that description, and when urgent once more in small letters between spaces.
+returned line is a recall notice for its part, with its order's priority as class. The description of a part
+is its name, brand and size; a notice names that description, and when urgent once more in small letters
+between spaces.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gramledger.operators.flatten import explode_keep
 from gramledger.plans.gold import recall_summary, scored_table, staged_payments, staged_recalls
+from gramledger.session import spread_small
 
 PRIORITY_RANKS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3}
 ONGOING_STATUS = "O"
@@ -105,4 +107,5 @@ def plain(c: Column) -> Column:
 
 
 def document_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", plain(F.col("text")).alias("text"))
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    return spread_small(texts).select("doc_id", plain(F.col("text")).alias("text"))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_base: dict[str, str] = {}
 
@@ -61,3 +62,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Redistribute a plain file scan whose rows sit in fewer splits than there are cores.
+
+    A file with one row group is read by one task, however many cores are free. A scan that already has
+    many splits is returned as it is: a large table is never moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() > 4 * cores:
+        return scan
+    filled = scan.select(F.spark_partition_id()).distinct().count()
+    return scan if filled >= cores else scan.repartition(cores)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_containment import plan_of
 
+from gramledger.operators.enrich import written_explanations
 from gramledger.schemas import BRONZE_RECALLS, SNAPSHOT
+from gramledger.session import spread_small
 from gramledger.sources import bronze, pages, snapshot
 from gramledger.streaming.incremental import drop_repeats, land_new_files
 
@@ -168,3 +170,31 @@ def test_incremental_run_takes_each_key_once(spark, tmp_path):
     assert len(run()) == 2
     spark.createDataFrame([(1, "a"), (2, None), (3, "c")], ROW).coalesce(1).write.mode("append").json(source)
     assert sorted(map(str, run())) == ["(1, 'A')", "(2, None)", "(3, 'C')"]
+
+
+def test_spread_moves_only_rows_in_few_splits(spark, tmp_path):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    spark.range(1000).repartition(40).write.option("maxRecordsPerFile", 10).parquet(many)
+    spread = spread_small(spark.read.parquet(one))
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.count() == 1000
+    assert "Exchange" not in plan_of(spread_small(spark.read.parquet(many)))
+
+
+def test_document_ids_as_text(spark):
+    df = bronze.documents_as_rows(spark.createDataFrame([(7, "a")], "_id long, v string"))
+    assert df.dtypes[0] == ("_id", "string")
+
+
+def test_explanations_replace_a_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE texts LOCATION '{tmp_path}/db'")
+    rows = spark.createDataFrame(
+        [("A", "desc", 3.5, " words ", "ok"), ("B", "desc", 2.5, None, "failed")],
+        "hcpcs_code string, drug_desc string, combined_risk_score double, ai_explanation string, status string",
+    )
+    for stamp in ("2024-01-01T00:00:00", "2024-01-02T00:00:00"):
+        snapshot.save_table(written_explanations(rows, stamp), "texts.explanations")
+    table = spark.table("texts.explanations")
+    assert [str(r["generated_at"]) for r in table.collect()] == ["2024-01-02 00:00:00"]
+    assert table.dtypes[-1] == ("generated_at", "timestamp")
