@@ -11,7 +11,8 @@ Spark plans such a join as a nested loop over all pairs. Here every description
 ``shuffle``  any number of names: the pieces (key and piece, not the text) are shuffled on a salted key,
              candidates meet their text once, and ``contains`` decides.
 
-All three give the same rows. ``auto`` measures the names and picks one. When only the best name per
+All three give the same rows. ``auto`` measures the names and picks the first that can hold them; a way
+that is asked for gives way to the next if it cannot. When only the best name per
 description is wanted, and what makes it best is known of the names alone, :func:`best_contained` lets the
 scan itself keep that one name, so that neither rows are multiplied nor anything is sorted or shuffled.
 """
@@ -35,7 +36,7 @@ from gramledger.session import fresh_path
 SCAN_CHARS = 4_000_000
 SCAN_PASSES = 16
 # Characters of names, and bytes of the joined name table, that may be broadcast as a hash table.
-BROADCAST_CHARS = 64_000_000
+BROADCAST_CHARS = 16_000_000
 BROADCAST_BYTES = 128_000_000
 # Piece widths; a name is looked up by one piece of the widest size that fits into it.
 WIDTHS = (1, 2, 3, 4, 8)
@@ -115,13 +116,15 @@ def _usable(right: DataFrame, name: str, min_name_len: int) -> DataFrame:
 
 
 def _choose(strategy: str, chars: int, scan_chars: int) -> tuple[str, int]:
+    """The wished way if the names are small enough for it, else the next one that takes them all."""
+    if strategy not in ("auto", "scan", "grams", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     passes = max(1, -(-chars // scan_chars))
-    if strategy == "auto":
-        if automaton_available() and passes <= SCAN_PASSES:
-            strategy = "scan"
-        else:
-            strategy = "grams" if chars <= BROADCAST_CHARS else "shuffle"
-    return strategy, passes
+    if strategy in ("auto", "scan") and automaton_available() and passes <= SCAN_PASSES:
+        return "scan", passes
+    if strategy != "shuffle" and chars <= BROADCAST_CHARS:
+        return "grams", passes
+    return "shuffle", passes
 
 
 def _measured(right: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -164,9 +167,7 @@ def _pairs(
         finders = [_finder(_shared(names.where(part == i), name), listed) for i in range(passes)]
         found = [prepared.select(key, F.explode(f(F.col("_text"))).alias(name)) for f in finders]
         return reduce(DataFrame.unionAll, found)
-    if strategy in ("grams", "shuffle"):
-        return _piece_pairs(prepared, names, key, name, move=strategy == "shuffle")
-    raise ValueError(f"unknown strategy {strategy!r}")
+    return _piece_pairs(prepared, names, key, name, move=strategy == "shuffle")
 
 
 def _shared(names: DataFrame, name: str) -> Broadcast:

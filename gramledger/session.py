@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +77,16 @@ def spread_small(scan: DataFrame) -> DataFrame:
         return scan
     filled = scan.select(F.spark_partition_id()).distinct().count()
     return scan if filled >= cores else scan.repartition(cores)
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, object]) -> Iterator[None]:
+    """Session settings for the duration of a block."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gramledger.session import settings
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -21,26 +24,28 @@ def land_new_files(
     target: str,
     state: str,
     files_per_batch: int = 1000,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Run over the files that came in since the last run and append unseen keys to ``target``.
 
     The keys already written live in the state store under ``state``, spread by key over the tasks and
     kept on disk, so a run costs what its new files cost and never reads the target again. The Parquet
     sink commits each batch once; a run that is broken off and started again adds nothing twice. Put
-    ``state`` and ``target`` in storage that all executors share.
+    ``state`` and ``target`` in storage that all executors share. ``partitions`` is the number of parts of
+    the state, by default one per core; the first run settles it for good.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     new = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
-    return (
-        flatten(new)
-        .dropDuplicates(list(keys))
-        .writeStream.format("parquet")
+    unseen = flatten(new).dropDuplicates(list(keys))
+    writer = (
+        unseen.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", state)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    parts = partitions or spark.sparkContext.defaultParallelism
+    with settings(spark, {STATE_STORE: ROCKSDB, "spark.sql.shuffle.partitions": parts}):
+        return writer.start()
 
 
 def drop_repeats(df: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:

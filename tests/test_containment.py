@@ -167,3 +167,28 @@ def test_best_match_prunes_ahead_of_the_shuffle(spark):
     df = contains_join(left, right, "k", "text", "name", strategy="grams")
     plan = plan_of(best_match(df, "k", longest_then_worst("name", "severity")))
     assert "WindowGroupLimit" in plan
+
+
+def test_names_too_many_for_a_way_take_the_next(spark, monkeypatch):
+    from gramledger.operators import containment
+
+    left, right = frames(spark, TEXTS, NAMES)
+    monkeypatch.setattr(containment, "SCAN_PASSES", 1)
+    assert "_salt" not in plan_of(contains_join(left, right, "k", "text", "name", scan_chars=10))
+    monkeypatch.setattr(containment, "BROADCAST_CHARS", 10)
+    monkeypatch.setattr(containment, "BROADCAST_BYTES", 10)
+    moved = contains_join(left, right, "k", "text", "name", strategy="grams")
+    assert "_salt" in plan_of(moved)
+    assert {(r["k"], r["name"], r["severity"]) for r in moved.collect()} == brute(TEXTS, NAMES)
+    with pytest.raises(ValueError, match="strategy"):
+        contains_join(left, right, "k", "text", "name", strategy="guess")
+
+
+def test_without_the_automaton_package(spark, monkeypatch):
+    from gramledger.operators import containment
+
+    monkeypatch.setattr(containment, "automaton_available", lambda: False)
+    left, right = frames(spark, TEXTS, NAMES)
+    df = contains_join(left, right, "k", "text", "name")
+    assert "ArrowEvalPython" not in plan_of(df)
+    assert {(r["k"], r["name"], r["severity"]) for r in df.collect()} == brute(TEXTS, NAMES)

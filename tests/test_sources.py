@@ -198,3 +198,15 @@ def test_explanations_replace_a_table(spark, tmp_path):
     table = spark.table("texts.explanations")
     assert [str(r["generated_at"]) for r in table.collect()] == ["2024-01-02 00:00:00"]
     assert table.dtypes[-1] == ("generated_at", "timestamp")
+
+
+def test_incremental_run_leaves_the_session_as_it_was(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], ROW).write.json(str(tmp_path / "in"))
+    names = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+    before = [spark.conf.get(n) for n in names]
+    query = land_new_files(
+        spark, str(tmp_path / "in"), ROW, lambda df: df, ["k"], str(tmp_path / "out"), str(tmp_path / "s"), partitions=3
+    )
+    query.awaitTermination()
+    assert [spark.conf.get(n) for n in names] == before
+    assert len(list((tmp_path / "s" / "state" / "0").glob("[0-9]*"))) == 3
