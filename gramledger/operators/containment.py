@@ -12,9 +12,9 @@ Spark plans such a join as a nested loop over all pairs. Here every description
              candidates meet their text once, and ``contains`` decides.
 
 All three give the same rows. ``auto`` measures the names and picks the first that can hold them; a way
-that is asked for gives way to the next if it cannot. When only the best name per
-description is wanted, and what makes it best is known of the names alone, :func:`best_contained` lets the
-scan itself keep that one name, so that neither rows are multiplied nor anything is sorted or shuffled.
+that is asked for gives way to the next if it cannot. When only the best name per description is wanted,
+and what makes it best is known of the names alone, :func:`best_contained` lets the scan itself keep that
+one name, so that no rows are multiplied, sorted or shuffled.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ BROADCAST_CHARS = 16_000_000
 BROADCAST_BYTES = 128_000_000
 # Piece widths; a name is looked up by one piece of the widest size that fits into it.
 WIDTHS = (1, 2, 3, 4, 8)
+# Characters of a text that are cut into pieces at a time.
+SEGMENT = 50_000
 SALTS = 8
 
 
@@ -221,6 +223,15 @@ def _pieces(text: Column, width: int) -> Column:
     return F.array_distinct(every)
 
 
+def _segments(texts: DataFrame) -> DataFrame:
+    """Long texts in parts that overlap by a piece, so that no task holds all pieces of a long text."""
+    last = F.floor(F.greatest(F.length("_text") - 1, F.lit(0)) / SEGMENT)
+    starts = texts.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    begin = (F.col("_nth") * SEGMENT + 1).cast("int")
+    segment = F.substring(F.col("_text"), begin, F.lit(SEGMENT + max(WIDTHS) - 1))
+    return starts.withColumn("_segment", segment)
+
+
 def _width(name: str) -> Column:
     """Widest piece that fits into a name; 0 for the empty name."""
     fits = [F.when(F.length(name) >= w, F.lit(w)) for w in reversed(WIDTHS)]
@@ -250,19 +261,20 @@ def _piece_pairs(
     # the later joins on the key use the same partitioning.
     texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text").repartition(key)
     lookup = _lookup_pieces(words, name)
-    cut = F.concat(F.array().cast("array<string>"), *[_pieces(F.col("_text"), w) for w in widths if w])
+    cuts = [_pieces(F.col("_segment"), w) for w in widths if w]
+    cut = F.concat(F.array().cast("array<string>"), *cuts)
     sure = (F.length(name) == F.col("_width")) | F.contains(F.col("_text"), F.col(name))
     if not move:
-        pieces = texts.select(key, "_text", F.explode(cut).alias("_piece"))
+        pieces = _segments(texts).select(key, "_text", F.explode(cut).alias("_piece"))
         found = pieces.join(F.broadcast(lookup), "_piece").where(sure)
     else:
-        pieces = texts.select(
-            key, F.explode(cut).alias("_piece"), F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
-        )
+        salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
+        pieces = _segments(texts).select(key, F.explode(cut).alias("_piece"), salt)
         every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
         salted = lookup.withColumn("_salt", F.explode(every_salt))
         candidates = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
         found = candidates.join(texts, key).where(sure)
-    pairs = found.select(key, name)
+    # Two parts of one text may hold the same piece. Texts are partitioned by key: nothing moves here.
+    pairs = found.select(key, name).distinct()
     # The empty name is in every text.
     return pairs.unionAll(texts.select(key, F.lit("").alias(name))) if 0 in widths else pairs

@@ -192,3 +192,13 @@ def test_without_the_automaton_package(spark, monkeypatch):
     df = contains_join(left, right, "k", "text", "name")
     assert "ArrowEvalPython" not in plan_of(df)
     assert {(r["k"], r["name"], r["severity"]) for r in df.collect()} == brute(TEXTS, NAMES)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_texts_longer_than_a_segment(spark, monkeypatch, strategy):
+    from gramledger.operators import containment
+
+    monkeypatch.setattr(containment, "SEGMENT", 10)
+    texts = TEXTS + [(20, "0123456789 cold gear 0123456789 cold gears again, rituximab 10 mg, one\nline")]
+    left, right = frames(spark, texts, NAMES)
+    assert joined(left, right, strategy=strategy) == brute(texts, NAMES)
