@@ -69,8 +69,8 @@ def enrich_rows(
             for text in batch[prompt]:
                 rows.append(attempt_row(text))
                 time.sleep(between)
-            for field, values in zip(added, zip(*rows, strict=True), strict=True):
-                batch[field.name] = list(values)
+            for i, field in enumerate(added):
+                batch[field.name] = [row[i] for row in rows]
             yield batch
 
     spread = df.coalesce(1) if lanes == 1 else df.repartition(lanes)

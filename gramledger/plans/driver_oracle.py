@@ -4,9 +4,11 @@ from __future__ import annotations
 
 PART_TEXT = "p_name || ', ' || p_brand || ', size ' || p_size"
 
-PAYMENTS = f"""
+
+def _payments(text: str = PART_TEXT, first: str = "") -> str:
+    return f"""
 payments AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS hcpcs_code, {PART_TEXT} AS drug_desc, l_linestatus AS geography,
+  SELECT {first} CAST(l_partkey AS VARCHAR) AS hcpcs_code, {text} AS drug_desc, l_linestatus AS geography,
          CAST(l_linenumber AS DOUBLE) AS total_providers, l_quantity AS total_services,
          l_extendedprice AS avg_submitted_charge,
          l_extendedprice * (1 - l_discount) AS avg_medicare_allowed,
@@ -14,6 +16,7 @@ payments AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
+
 TOTALS = ("total_providers", "total_services")
 AVERAGES = ("avg_submitted_charge", "avg_medicare_allowed", "avg_medicare_paid")
 DERIVED = ("payment_gap_pct", "dollar_impact")
@@ -27,13 +30,14 @@ ROLLUP = f"""
   SELECT hcpcs_code, max(drug_desc) AS drug_desc, max(geography) AS geography, {TOTAL_COLUMNS}, {AVERAGE_COLUMNS}
   FROM payments {{where}} GROUP BY hcpcs_code"""
 
-GAP = """
-  SELECT *, (avg_submitted_charge - avg_medicare_paid) / nullif(avg_submitted_charge, 0) * 100 AS payment_gap_pct,
-         total_services * (avg_submitted_charge - avg_medicare_paid) AS dollar_impact
-  FROM rolled"""
+GAP_COLUMNS = """
+         (avg_submitted_charge - avg_medicare_paid) / nullif(avg_submitted_charge, 0) * 100 AS payment_gap_pct,
+         total_services * (avg_submitted_charge - avg_medicare_paid) AS dollar_impact"""
+
+GAP = f"SELECT *, {GAP_COLUMNS} FROM rolled"
 
 STAGED = f"""
-{PAYMENTS},
+{_payments()},
 rolled AS ({ROLLUP.format(where="WHERE geography = 'O'")}),
 staged AS ({GAP})"""
 
@@ -183,11 +187,7 @@ ORACLE: dict[str, str] = {
                TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
         FROM events""",
     "row_gap_impact": f"""
-        WITH {PAYMENTS}
-        SELECT * EXCLUDE (drug_desc),
-               (avg_submitted_charge - avg_medicare_paid) / nullif(avg_submitted_charge, 0) * 100 AS payment_gap_pct,
-               total_services * (avg_submitted_charge - avg_medicare_paid) AS dollar_impact
-        FROM payments""",
+        WITH {_payments()} SELECT * EXCLUDE (drug_desc), {GAP_COLUMNS} FROM payments""",
     "explode_names": """
         SELECT p_partkey, upper(trim(unnest(string_split(p_name, ' ')))) AS name FROM part""",
     "explode_outer_keep": """
@@ -216,7 +216,7 @@ ORACLE: dict[str, str] = {
                  AS score
         FROM rows_""",
     "weighted_rollup": f"""
-        WITH {PAYMENTS}, rolled AS ({ROLLUP.format(where="")}), staged AS ({GAP})
+        WITH {_payments()}, rolled AS ({ROLLUP.format(where="")}), staged AS ({GAP})
         SELECT {SETTLED.replace("* REPLACE", "* EXCLUDE (geography) REPLACE")} FROM staged""",
     "staged_payments": f"WITH {STAGED} SELECT {SETTLED} FROM staged",
     "staged_recalls": f"WITH {STAGED_RECALLS} SELECT * FROM staged_recalls",
@@ -304,11 +304,8 @@ ORACLE: dict[str, str] = {
     "bronze_roundtrip": f"WITH {ORDER_RECORDS} SELECT *, '2024-02-01T00:00:00' AS ingested_at FROM records",
     "append_then_dedup": f"WITH {ORDER_RECORDS} SELECT *, '2024-02-02T00:00:00' AS ingested_at FROM records",
     "bronze_to_silver_payments": f"""
-        WITH {PAYMENTS.replace(PART_TEXT, "p_name").replace("SELECT CAST(l_partkey", "SELECT l_orderkey AS id, '2024-02-01T00:00:00' AS ingested_at, CAST(l_partkey")}
-        SELECT *,
-               (avg_submitted_charge - avg_medicare_paid) / nullif(avg_submitted_charge, 0) * 100 AS payment_gap_pct,
-               total_services * (avg_submitted_charge - avg_medicare_paid) AS dollar_impact
-        FROM payments""",
+        WITH {_payments("p_name", "l_orderkey AS id, '2024-02-01T00:00:00' AS ingested_at,")}
+        SELECT *, {GAP_COLUMNS} FROM payments""",
     "bronze_to_silver_recalls": f"WITH {NOTICES} SELECT * FROM recalls",
     "paged_landing": f"""
         WITH {ORDER_RECORDS}

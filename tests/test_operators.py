@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_containment import plan_of
 
@@ -158,3 +160,29 @@ def test_newest_with_missing_dates(spark, n):
     df = spark.createDataFrame(rows, "k int, d string")
     got = [r["k"] for r in newest(df, "d", "k", pages=1, page_size=n).collect()]
     assert got == [3, 7, 0, 4, 1, 5, 2, 6][:n]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", None]),
+            st.one_of(st.none(), st.integers(0, 9)),
+            st.one_of(st.none(), st.integers(-9, 9)),
+            st.sampled_from(["x", "y"]),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_rollup_against_a_plain_loop(spark, rows):
+    df = spark.createDataFrame(rows, "k string, w int, v int, t string")
+    wanted = {}
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        weights = [w for _, w, _, _ in mine if w is not None]
+        products = [w * v for _, w, v, _ in mine if w is not None and v is not None]
+        average = sum(products) / sum(weights) if products and sum(weights) else None
+        wanted[key] = (max(r[3] for r in mine), sum(weights) if weights else None, average)
+    rolled = weighted_rollup(df, "k", "w", ["v"], ["w"], ["t"]).collect()
+    assert {r["k"]: (r["t"], r["w"], r["v"]) for r in rolled} == wanted
