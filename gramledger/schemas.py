@@ -46,6 +46,40 @@ BRONZE_RECALLS = T.StructType(
     ]
 )
 
+INGEST_DATE = T.StructField("ingest_date", T.DateType())
+
+SILVER_PAYMENTS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("ingested_at", T.StringType()),
+        T.StructField("hcpcs_code", T.StringType()),
+        T.StructField("drug_desc", T.StringType()),
+        T.StructField("geography", T.StringType()),
+        T.StructField("total_providers", T.DoubleType()),
+        T.StructField("total_services", T.DoubleType()),
+        T.StructField("avg_submitted_charge", T.DoubleType()),
+        T.StructField("avg_medicare_allowed", T.DoubleType()),
+        T.StructField("avg_medicare_paid", T.DoubleType()),
+        T.StructField("payment_gap_pct", T.DoubleType()),
+        T.StructField("dollar_impact", T.DoubleType()),
+        INGEST_DATE,
+    ]
+)
+
+SILVER_RECALLS = T.StructType(
+    [
+        T.StructField("recall_number", T.StringType()),
+        T.StructField("classification", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("recalling_firm", T.StringType()),
+        T.StructField("reason_for_recall", T.StringType()),
+        T.StructField("report_date", T.StringType()),
+        T.StructField("distribution_pattern", T.StringType()),
+        T.StructField("generic_name", T.StringType()),
+        INGEST_DATE,
+    ]
+)
+
 # Snapshot columns in file order; the file carries them in upper case.
 SNAPSHOT = T.StructType(
     [

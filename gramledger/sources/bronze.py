@@ -66,9 +66,18 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_parts(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
-    """A folder of Parquet parts as one table, columns matched by name across parts."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+def read_parts(
+    spark: SparkSession, path: str, day: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A folder of Parquet parts as one table, columns matched by name across parts.
+
+    With a ``schema`` no footer is read ahead; a column missing in a part is null there. Without one the
+    footers of all parts are merged first, which takes long for very many parts.
+    """
+    if schema is None:
+        df = spark.read.option("mergeSchema", True).parquet(path)
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df if day is None else df.where(F.col(INGEST_DATE) == F.lit(day).cast("date"))
 
 
