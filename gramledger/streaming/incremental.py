@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +33,10 @@ def land_new_files(
     kept on disk, so a run costs what its new files cost and never reads the target again. The Parquet
     sink commits each batch once; a run that is broken off and started again adds nothing twice. Put
     ``state`` and ``target`` in storage that all executors share. ``partitions`` is the number of parts of
-    the state, by default one per core; the first run settles it for good.
+    the state, by default one per core; the first run settles it for good. Keys are plain columns.
     """
     new = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
-    unseen = flatten(new).dropDuplicates(list(keys))
+    unseen = _combined(flatten(new), keys).dropDuplicates(list(keys))
     writer = (
         unseen.writeStream.format("parquet")
         .option("path", target)
@@ -48,6 +49,24 @@ def land_new_files(
         return writer.start()
 
 
+def _combined(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Repeats dropped within each Arrow batch, ahead of the shuffle.
+
+    A streaming ``dropDuplicates`` sends every row to the task that owns its key. So of a delivery that
+    repeats one key over and over, each batch passes on a single row.
+    """
+    names = list(keys)
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            numbered = rows.select(names).append_column("_row", pa.array(range(batch.num_rows)))
+            first = numbered.group_by(names, use_threads=False).aggregate([("_row", "min")])
+            yield from rows.take(first["_row_min"]).combine_chunks().to_batches()
+
+    return df.mapInArrow(first_rows, df.schema)
+
+
 def drop_repeats(df: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
     """Rows of an append-only table with repeats removed: the newest row per key stays.
 

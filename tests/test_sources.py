@@ -210,3 +210,18 @@ def test_incremental_run_leaves_the_session_as_it_was(spark, tmp_path):
     query.awaitTermination()
     assert [spark.conf.get(n) for n in names] == before
     assert len(list((tmp_path / "s" / "state" / "0").glob("[0-9]*"))) == 3
+
+
+def test_incremental_run_with_one_key_over_and_over(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v")
+    )
+    rows.write.json(source)
+    query = land_new_files(spark, source, ROW, lambda df: df, ["k"], target, state)
+    query.awaitTermination()
+    assert spark.read.parquet(target).count() == 6001
+    deduplicated = next(s for p in query.recentProgress for s in p.stateOperators if s.numRowsUpdated)
+    assert deduplicated.numRowsUpdated == 6001
+    dropped = sum(s.customMetrics.get("numDroppedDuplicateRows", 0) for p in query.recentProgress for s in p.stateOperators)
+    assert dropped < 100
