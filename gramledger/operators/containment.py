@@ -66,10 +66,10 @@ def contains_join(
 ) -> DataFrame:
     """``left`` rows with every ``right`` row whose ``name`` occurs in the normalized ``text``.
 
-    ``key`` is unique in ``left``. Left rows without a match are kept once, with nulls. A literal
-    match: ``%`` and ``_`` in a name stand for themselves. The empty name occurs in every text, unless
-    ``min_name_len`` shuts it out. ``right`` is written once to the shared folder, because it is both
-    measured and joined.
+    ``key`` is unique in ``left`` and never null. Left rows without a match are kept once, with nulls. A
+    literal match: ``%`` and ``_`` in a name stand for themselves. The empty name occurs in every text,
+    unless ``min_name_len`` shuts it out. ``right`` is written once to the shared folder, because it is
+    both measured and joined.
     """
     names, chars = _measured(_usable(right, name, min_name_len), name)
     prepared = left.withColumn("_text", normalize(F.col(text)))

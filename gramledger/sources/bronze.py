@@ -27,12 +27,16 @@ def write_dated(
 ) -> dict[str, object]:
     """Write date folders and return row count and schema, counted by the write itself.
 
-    ``day`` is the date of the whole frame; without it the frame brings its own ``ingest_date``.
+    ``day`` is the date of the whole frame. Without it the frame brings its own ``ingest_date``, and rows of
+    a day are brought together first, in as many tasks as the day needs.
     ``replace`` swaps the days that are written and leaves the others alone; ``append`` adds to them.
     """
     if mode not in ("replace", "append"):
         raise ValueError("mode is 'replace' or 'append'")
-    dated = df if day is None else df.withColumn(INGEST_DATE, F.lit(day).cast("date"))
+    if day is None:
+        dated = df.hint("rebalance", INGEST_DATE)
+    else:
+        dated = df.withColumn(INGEST_DATE, F.lit(day).cast("date"))
     seen = Observation()
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.partitionBy(INGEST_DATE).format(fmt)

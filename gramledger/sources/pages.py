@@ -21,9 +21,12 @@ SMALLEST_RECORD = 5
 
 
 def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE) -> None:
-    """Write rows as page folders; ``offset`` is each row's position in the feed, from 0."""
+    """Write rows as page folders; ``offset`` is each row's position in the feed, from 0.
+
+    Rows of a page are brought together first, or every task would add a file to every page.
+    """
     paged = df.withColumn(PAGE, F.floor(F.col(offset) / page_size).cast("long"))
-    paged.write.partitionBy(PAGE).json(path)
+    paged.hint("rebalance", PAGE).write.partitionBy(PAGE).json(path)
 
 
 def read_pages(

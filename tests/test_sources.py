@@ -225,3 +225,15 @@ def test_incremental_run_with_one_key_over_and_over(spark, tmp_path):
     assert deduplicated.numRowsUpdated == 6001
     dropped = sum(s.customMetrics.get("numDroppedDuplicateRows", 0) for p in query.recentProgress for s in p.stateOperators)
     assert dropped < 100
+
+
+def test_days_and_pages_are_not_scattered_over_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).select(
+        F.col("id").alias("k"), F.expr("date_add(date'2024-01-01', cast(id % 5 as int))").alias("ingest_date")
+    )
+    bronze.write_dated(df, str(tmp_path / "days"))
+    pages.land_pages(df.select("k"), "k", str(tmp_path / "pages"), page_size=1000)
+    for folder, parts in (("days", 5), ("pages", 4)):
+        files = list((tmp_path / folder).glob("*=*/part-*"))
+        assert len(files) == parts
+    assert bronze.read_parts(spark, str(tmp_path / "days")).count() == 4000
