@@ -223,13 +223,22 @@ def _pieces(text: Column, width: int) -> Column:
     return F.array_distinct(every)
 
 
-def _segments(texts: DataFrame) -> DataFrame:
-    """Long texts in parts that overlap by a piece, so that no task holds all pieces of a long text."""
+def _segments(texts: DataFrame, key: str, longest: int) -> DataFrame:
+    """Long texts in parts that overlap by a piece, so that no task holds all pieces of a long text.
+
+    ``_around`` is the part with as much text on both sides as the longest name takes: a name whose piece
+    lies in the part lies in there, so a candidate is checked without walking the whole text again.
+    """
     last = F.floor(F.greatest(F.length("_text") - 1, F.lit(0)) / SEGMENT)
     starts = texts.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     begin = (F.col("_nth") * SEGMENT + 1).cast("int")
-    segment = F.substring(F.col("_text"), begin, F.lit(SEGMENT + max(WIDTHS) - 1))
-    return starts.withColumn("_segment", segment)
+    length = F.lit(SEGMENT + max(WIDTHS) - 1)
+    before = F.least(begin - 1, F.lit(longest))
+    return starts.select(
+        key,
+        F.substring(F.col("_text"), begin, length).alias("_segment"),
+        F.substring(F.col("_text"), begin - before, length + before + longest).alias("_around"),
+    )
 
 
 def _width(name: str) -> Column:
@@ -255,26 +264,32 @@ def _piece_pairs(
     prepared: DataFrame, names: DataFrame, key: str, name: str, move: bool
 ) -> DataFrame:
     words = names.select(name).distinct()
-    # A handful of integers: which widths the names need at all.
-    widths = sorted(r[0] for r in words.select(_width(name)).distinct().collect())
+    # A handful of integers: which widths the names need at all, and how long they get.
+    sizes = words.groupBy(_width(name).alias("_width")).agg(F.max(F.length(name)).alias("_longest"))
+    lengths = {r["_width"]: r["_longest"] for r in sizes.collect()}
+    widths, longest = sorted(lengths), max(lengths.values(), default=0)
     # Cutting a text into pieces costs far more than moving it once, so texts are spread evenly first;
     # the later joins on the key use the same partitioning.
     texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text").repartition(key)
     lookup = _lookup_pieces(words, name)
     cuts = [_pieces(F.col("_segment"), w) for w in widths if w]
     cut = F.concat(F.array().cast("array<string>"), *cuts)
-    sure = (F.length(name) == F.col("_width")) | F.contains(F.col("_text"), F.col(name))
+    exact = F.length(name) == F.col("_width")
+    parts = _segments(texts, key, longest)
     if not move:
-        pieces = _segments(texts).select(key, "_text", F.explode(cut).alias("_piece"))
-        found = pieces.join(F.broadcast(lookup), "_piece").where(sure)
+        pieces = parts.select(key, "_around", F.explode(cut).alias("_piece"))
+        found = pieces.join(F.broadcast(lookup), "_piece")
+        # Two parts of one text may hold the same name. Texts are partitioned by key: nothing moves here.
+        checked = found.where(exact | F.contains(F.col("_around"), F.col(name)))
+        pairs = checked.select(key, name).distinct()
     else:
         salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
-        pieces = _segments(texts).select(key, F.explode(cut).alias("_piece"), salt)
+        pieces = parts.select(key, F.explode(cut).alias("_piece"), salt)
         every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
         salted = lookup.withColumn("_salt", F.explode(every_salt))
-        candidates = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
-        found = candidates.join(texts, key).where(sure)
-    # Two parts of one text may hold the same piece. Texts are partitioned by key: nothing moves here.
-    pairs = found.select(key, name).distinct()
+        found = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
+        # Candidates go to where their text is, once each, and are checked there.
+        candidates = found.repartition(key).distinct().join(texts, key)
+        pairs = candidates.where(exact | F.contains(F.col("_text"), F.col(name))).select(key, name)
     # The empty name is in every text.
     return pairs.unionAll(texts.select(key, F.lit("").alias(name))) if 0 in widths else pairs
