@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gramledger.session import materialize, settings
+
 #: Bytes of text that a Python worker turns into arrays at once. One longer text is taken alone.
 CHUNK = 8 << 20
 
@@ -18,6 +20,16 @@ CHUNK = 8 << 20
 SPACES = (9, 10, 11, 12, 13, 32)
 
 
+#: Lets Spark delete a finished query's shuffle files at once, not when the driver happens to collect its garbage.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": True}
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; its shuffle files are not needed any more and go."""
+    with settings(df.sparkSession, TIDY):
+        return materialize(df, tag)
+
+
 def unused(names: Sequence[str], wanted: str) -> str:
     """``wanted``, with underscores added until no column has the name (names ignore case)."""
     taken = {n.lower() for n in names}

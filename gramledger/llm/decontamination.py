@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import as_bytes, cut, joined, mixed, quoted, sums, word_keys, word_table
-from gramledger.session import materialize
+from gramledger.llm.common import as_bytes, cut, joined, mixed, quoted, sums, word_keys, word_table, written
 
 SPAN = 13
 GRAM = 5
@@ -181,7 +180,7 @@ def contamination(
         shared = spark.sparkContext.broadcast(vars(Block(held)))  # bounded by BLOCK_BYTES
         if following is None:
             break
-        frame = materialize(_scan(frame, shared, f"{kinds}, text string, hit array<long>, items array<string>", n, False), "windows")
+        frame = written(_scan(frame, shared, f"{kinds}, text string, hit array<long>, items array<string>", n, False), "windows")
         held = following
     result = _scan(frame, shared, f"{kinds}, r0 long, r1 long, r2 long, r3 string, r4 boolean", n, True)
     return result.toDF(*carry, *names)

@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import quoted
-from gramledger.session import materialize
+from gramledger.llm.common import quoted, written
 
 TREES = 12
 DEPTH = 32
@@ -117,8 +116,8 @@ def nearest(
         .groupBy("mark", "v")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
-    entries = materialize(entries.drop("mark"), "entries")
-    asked = materialize(asked, "queries")
+    entries = written(entries.drop("mark"), "entries")
+    asked = written(asked, "queries")
     total = entries.count()
     shards = max(1, -(-total // shard_rows))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))

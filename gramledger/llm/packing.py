@@ -24,8 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import cut, quoted
-from gramledger.session import materialize
+from gramledger.llm.common import cut, quoted, written
 
 LIMIT = 1024
 END = 2
@@ -312,8 +311,8 @@ def pack(
     Null and empty texts are the end token alone. Texts longer than ``limit`` tokens are cut into pieces of that
     length; the first may be shorter. Repeated rows are packed each for itself. An empty table gives no rows.
     """
-    made = materialize(pieces(docs, tokenizer, text, doc_id, limit), "pieces")
-    counts = materialize(made.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    made = written(pieces(docs, tokenizer, text, doc_id, limit), "pieces")
+    counts = written(made.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = np.zeros(limit + 1, np.int64)
     for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``limit`` rows
         histogram[row["length"]] = row["n"]

@@ -19,8 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import as_bytes, map_texts, quoted
-from gramledger.session import materialize
+from gramledger.llm.common import as_bytes, map_texts, quoted, written
 
 WORDS = 3
 BITS = 2
@@ -238,11 +237,11 @@ def components(edges: DataFrame) -> DataFrame:
         ).first()
         return row["n"], row["h"]
 
-    current = materialize(turned(edges), "links")
+    current = written(turned(edges), "links")
     before = None
     now = state(current)
     while now != before and now[0]:
-        current = materialize(star(star(current, True), False), "links")
+        current = written(star(star(current, True), False), "links")
         before, now = now, state(current)
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
@@ -268,9 +267,9 @@ def near_duplicates(
     plain = docs.select(
         *(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)), F.col(quoted(text)).alias("text")
     )
-    marked = materialize(fingerprints(plain, "text", tuple(f"c{i}" for i in range(len(columns))), "fp", size), "marks")
-    marks = materialize(marked.groupBy("fp").agg(F.min("c0").alias("least")), "distinct-marks")
-    joined = materialize(links(marks, bits, block_rows), "forest")
+    marked = written(fingerprints(plain, "text", tuple(f"c{i}" for i in range(len(columns))), "fp", size), "marks")
+    marks = written(marked.groupBy("fp").agg(F.min("c0").alias("least")), "distinct-marks")
+    joined = written(links(marks, bits, block_rows), "forest")
     member = components(joined)
     classes = (
         member.join(marks.withColumnRenamed("fp", "node"), "node")

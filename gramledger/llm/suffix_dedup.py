@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gramledger.llm.common import as_bytes, cut, mixed, quoted
-from gramledger.session import materialize
+from gramledger.llm.common import as_bytes, cut, mixed, quoted, written
 
 SPAN = 400
 WINDOW = 16
@@ -135,20 +134,27 @@ def _runs(at: np.ndarray, unique: np.ndarray, span: int) -> tuple[tuple, tuple]:
 
 
 class Runs:
-    """The open runs of one text with the keys of the phrases they touch and of those they hold."""
+    """The open runs of one text, and the keys of the phrases they touch and of those they hold."""
 
     def __init__(self, cuts: pa.Scalar, phrases: pa.Scalar, unique: pa.Scalar, span: int):
         at = cuts.values.to_numpy().astype(np.int64)
-        raw = phrases.values.to_numpy().tobytes()
         listed = unique.values
         once = np.zeros(0, np.int64) if listed is None else listed.to_numpy().astype(np.int64)
         self.touched, self.held = _runs(at, once, span)
         self.starts = max(0, int(at[-1]) - span + 1)
         self.whole = self.held[3] > self.held[2]  # some phrase is held whole
-        touched = [_key(raw[8 * a : 8 * b + 8]) for a, b in zip(self.touched[2].tolist(), self.touched[3].tolist())]
-        held = [_key(raw[8 * a : 8 * b]) for a, b in zip(self.held[2].tolist(), self.held[3].tolist())]
-        self.touched_keys = np.frombuffer(b"".join(touched), "<i8").reshape(-1, 2)
-        self.held_keys = np.frombuffer(b"".join(held), "<i8").reshape(-1, 2)
+        self._raw = phrases.values.to_numpy()
+
+    def _keys(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        raw = self._raw.tobytes()
+        keys = [_key(raw[a:b]) for a, b in zip((8 * first).tolist(), (8 * last).tolist())]
+        return np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+
+    def touched_keys(self) -> np.ndarray:
+        return self._keys(self.touched[2], self.touched[3] + 1)
+
+    def held_keys(self, which: np.ndarray) -> np.ndarray:
+        return self._keys(self.held[2][which], self.held[3][which])
 
 
 def _rows(names: list[str], *columns: object) -> pa.RecordBatch:
@@ -166,10 +172,10 @@ def _classes(found: DataFrame, span: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 runs = Runs(batch.column(1)[i], batch.column(2)[i], batch.column(3)[i], span)
-                keys = np.concatenate((runs.touched_keys, runs.held_keys[runs.whole]))
+                keys = np.concatenate((runs.touched_keys(), runs.held_keys(runs.whole)))
                 if not len(keys):
                     continue
-                kind = np.repeat(np.array([0, 1], np.int8), [len(runs.touched_keys), int(runs.whole.sum())])
+                kind = np.repeat(np.array([0, 1], np.int8), [len(runs.touched[0]), int(runs.whole.sum())])
                 yield _rows(
                     ["kind", "h1", "h2", "tid", "first", "end"],
                     kind,
@@ -221,29 +227,24 @@ def _sorted_out(known: DataFrame, span: int) -> DataFrame:
                 runs = Runs(batch.column(1)[i], batch.column(2)[i], batch.column(3)[i], span)
                 n = runs.starts
                 once = _starts(lone, n)
-                touched = np.zeros(n, bool)
-                rep = np.zeros(n, bool)
-                chosen = np.isin(runs.touched_keys[:, 0], np.array(stands or [], np.int64))
-                for a, b, c in zip(runs.touched[0].tolist(), runs.touched[1].tolist(), chosen.tolist()):
-                    touched[a:b] = True
-                    rep[a:b] = c
-                held = np.zeros(n, bool)
-                for a, b in zip(runs.held[0].tolist(), runs.held[1].tolist()):
-                    held[a:b] = True
-                rep &= ~once
-                left = once & held & ~_starts(alone, n)
+                touched = _starts(np.stack(runs.touched[:2], 1), n)
+                left = once & _starts(np.stack(runs.held[:2], 1), n) & ~_starts(alone, n)
                 out = [("closed", 0, 0, flat(touched & ~once)), ("open", 0, 0, flat(left))]
+                rep = np.zeros(n, bool)
+                if stands:
+                    chosen = np.isin(runs.touched_keys()[:, 0], np.array(stands, np.int64))
+                    rep = _starts(np.stack(runs.touched[:2], 1)[chosen], n) & ~once
+                a, b = runs.held[:2]
                 sums_left, sums_rep = (np.concatenate(([0], np.cumsum(f))) for f in (left, rep))
-                a, b = runs.held[0], runs.held[1]
                 some_left, some_rep = sums_left[b] > sums_left[a], sums_rep[b] > sums_rep[a]
-                for j in np.flatnonzero(some_left & runs.whole).tolist():
-                    out.append(("core", *runs.held_keys[j].tolist(), []))
-                for j in np.flatnonzero(some_rep).tolist():
-                    part = [int(a[j]) + x for x in flat(rep[a[j] : b[j]])]
-                    if runs.whole[j]:
-                        out.append(("rep", *runs.held_keys[j].tolist(), part))
-                    else:
-                        out.append(("free", 0, 0, part))
+                which = np.flatnonzero((some_left | some_rep) & runs.whole)
+                for j, key in zip(which.tolist(), runs.held_keys(which).tolist()):
+                    if some_left[j]:
+                        out.append(("core", *key, []))
+                    if some_rep[j]:
+                        out.append(("rep", *key, [int(a[j]) + x for x in flat(rep[a[j] : b[j]])]))
+                for j in np.flatnonzero(some_rep & ~runs.whole).tolist():
+                    out.append(("free", 0, 0, [int(a[j]) + x for x in flat(rep[a[j] : b[j]])]))
                 for w, x, y, r in out:
                     if r or w == "core":
                         tid.append(batch.column(0)[i].as_py())
@@ -266,10 +267,10 @@ def _sorted_out(known: DataFrame, span: int) -> DataFrame:
     return plain.mapInArrow(run, "tid long, what string, h1 long, h2 long, ranges array<int>")
 
 
-def _starts(lists: list | None, n: int) -> np.ndarray:
+def _starts(lists: list | np.ndarray | None, n: int) -> np.ndarray:
     """Flags of the starts in ranges given as flat (first, end) numbers."""
-    delta = np.zeros(n + 1, np.int64)
-    if lists:
+    delta = np.zeros(n + 1, np.int32)
+    if lists is not None and len(lists):
         pairs = np.array(lists, np.int64).reshape(-1, 2)
         np.add.at(delta, pairs[:, 0], 1)
         np.add.at(delta, pairs[:, 1], -1)
@@ -296,17 +297,17 @@ def remove_repeats(
         *(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(carry)), F.col(quoted(text)).alias("text")
     )
     frame = frame.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(span), F.col("text"))})
-    parsed = materialize(parse(frame, span).withColumn("tid", F.monotonically_increasing_id()), "parse")
+    parsed = written(parse(frame, span).withColumn("tid", F.monotonically_increasing_id()), "parse")
     # 1. phrases that occur once; the place of such a phrase is its smallest one
     phrases = parsed.select("tid", F.posexplode("phrases").alias("at", "phrase"))
     once = phrases.groupBy("phrase").agg(
         F.count(F.lit(1)).alias("n"), F.min("tid").alias("tid"), F.min("at").alias("at")
     )
     unique = once.where("n = 1").groupBy("tid").agg(F.collect_list("at").alias("unique"))
-    found = materialize(parsed.join(unique, "tid", "left"), "dictionary")
+    found = written(parsed.join(unique, "tid", "left"), "dictionary")
     # 2. classes of runs
     known = found.join(_facts(_classes(found, span)), "tid", "left")
-    sorted_out = materialize(_sorted_out(known, span), "classes")
+    sorted_out = written(_sorted_out(known, span), "classes")
     cores = sorted_out.where("what = 'core'").select("h1", "h2").distinct()
     rep = sorted_out.where("what = 'rep'").join(cores, ["h1", "h2"], "left_semi")
     compared = (
@@ -330,7 +331,7 @@ def remove_repeats(
     )
     facts = closed.join(open_, "tid", "full").join(lonely, "tid", "left").join(texts, "tid")
     # copies of a text have the same facts
-    facts = materialize(facts.dropDuplicates(["k1", "k2"]).drop("tid"), "facts")
+    facts = written(facts.dropDuplicates(["k1", "k2"]).drop("tid"), "facts")
     return _cut_out(frame.join(facts, ["k1", "k2"], "left"), n, span, kept_text, carry, names)
 
 

@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import quoted
-from gramledger.session import materialize
+from gramledger.llm.common import quoted, written
 
 #: (verdict, host, beginning of the path); the name of a rule is host and path together.
 RULES = (
@@ -86,7 +85,7 @@ def judge(
         }
     )
     for level in range(levels):
-        rows = materialize(_grown(rows, level, levels), "template")
+        rows = written(_grown(rows, level, levels), "template")
     known = rows.groupBy("host", "template").agg(F.sum("labelled").alias("known"), F.sum("bad").alias("known_bad"))
     rows = rows.join(known.withColumn("purity", smoothed(F.col("known_bad"), F.col("known"))), ["host", "template"])
     verdict, name = F.when(F.col("purity") >= REJECT, "block").otherwise("allow"), F.lit(None).cast("string")
