@@ -15,7 +15,7 @@ counting keys, which combines before the shuffle and splits hot ones, where sort
    One place of every class that step 2 found repeated takes part where it holds the phrases of an open start.
 
 Each step hands on only what is open. A text is known by a 128-bit key of its bytes, because equal texts have equal
-results; copies of a text count as different places. Keys of phrase sequences and passages have 128 bits.
+results; copies of a text count as different places. Keys of phrase sequences have 128 bits, those of passages 96.
 """
 
 from __future__ import annotations
@@ -336,7 +336,7 @@ def remove_repeats(
 
 
 def _windows(asked: DataFrame, span: int) -> DataFrame:
-    """The key of the passage at every start that is compared."""
+    """The key of the passage, in 96 bits, at every start that is compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,9 +347,10 @@ def _windows(asked: DataFrame, span: int) -> DataFrame:
                     at = starts[k : k + (1 << 16)]
                     keys = np.frombuffer(b"".join([_key(data[a : a + span]) for a in at.tolist()]), "<i8")
                     tid = np.full(len(at), batch.column(0)[i].as_py())
-                    yield _rows(["h1", "h2", "tid", "first"], keys[::2], keys[1::2], tid, at.astype(np.int32))
+                    half = keys[1::2].astype(np.int32)
+                    yield _rows(["h1", "h2", "tid", "first"], keys[::2], half, tid, at.astype(np.int32))
 
-    return asked.mapInArrow(run, "h1 long, h2 long, tid long, first int")
+    return asked.mapInArrow(run, "h1 long, h2 int, tid long, first int")
 
 
 def _cut_out(frame: DataFrame, n: int, span: int, kept_text: str | None, carry: tuple, names: tuple) -> DataFrame:
