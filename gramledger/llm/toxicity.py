@@ -20,9 +20,11 @@ from gramledger.llm.common import as_bytes, joined, map_texts, quoted, sums, wor
 SAMPLE_ROWS = 12_000
 SAMPLE_BYTES = 32 << 20
 SLOTS = 1 << 18
-STEPS = 120
-#: Penalty on squared weights, per document.
-PENALTY = 2e-6
+STEPS = 80
+#: Penalty on the weights' size, per document: what a word must explain to count at all.
+PENALTY = 5e-4
+#: Share of the sample's documents that must hold a word for it to get a weight.
+COMMON = 0.01
 
 WORD = word_table([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _END = np.zeros(256, bool)
@@ -64,22 +66,25 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     if not len(texts) or labels.min() == labels.max():
         return weights, (4.0 if len(texts) and labels.min() == 1 else -30.0)
     bags = Bags(texts)
-    first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
     owner = np.repeat(np.arange(len(bags.first)), bags.count)
+    seen = np.unique(bags.owner[owner] * SLOTS + bags.slots) % SLOTS
+    usable = np.bincount(seen, minlength=SLOTS) >= COMMON * len(texts)
+    first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
     for step in range(1, STEPS + 1):
         logits = sentence_logits(bags, weights, bias)
         clean = sums(clean_chance(logits), bags.text_first, bags.text_count)  # log of 1 - p
         p = -np.expm1(clean)
         # d loss / d log(1 - p): 1 - label/p; each sentence's share of it is its own probability
         slope = np.where(labels == 1, -(1 - p) / np.maximum(p, 1e-9), 1.0)
-        toward = slope[bags.owner] / (1 + np.exp(-logits)) / len(texts)
-        grad = np.append(
-            np.bincount(bags.slots, weights=toward[owner], minlength=SLOTS) + PENALTY * weights, toward.sum()
-        )
+        toward = slope[bags.owner] * np.exp(-np.logaddexp(0.0, -logits)) / len(texts)
+        pull = np.bincount(bags.slots, weights=toward[owner], minlength=SLOTS)
+        at_rest = np.sign(pull) * np.maximum(np.abs(pull) - PENALTY, 0.0)
+        grad = np.append(np.where(weights == 0, at_rest, pull + PENALTY * np.sign(weights)) * usable, toward.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         move = 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-        weights -= move[:-1]
+        moved = weights - move[:-1]
+        weights = np.where(moved * weights < 0, 0.0, moved)  # a weight that changes sides stops at zero
         bias -= move[-1]
     return weights, float(bias)
 
@@ -144,7 +149,7 @@ def score(
                 pa.array(np.where(has, worst - bags.text_first, -1)),
                 pa.array(pick(bags.begin)),
                 pa.array(pick(bags.end)),
-                pa.array(pick(1 / (1 + np.exp(-logits))).astype(np.float64)),
+                pa.array(pick(np.exp(-np.logaddexp(0.0, -logits))).astype(np.float64)),
             ]
 
         return work
