@@ -26,7 +26,7 @@ BITS = 2
 SEED = 42
 FANOUT = 8
 #: Fingerprints per block, and blocks at most: their patterns are known to every task.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 512
 MOST_BLOCKS = 8192
 #: Fingerprints that go down the index together.
 QUERIES = 8192
