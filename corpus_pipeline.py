@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gramledger.llm import decontamination, language_id, packing, simhash, suffix_dedup
 from gramledger.llm.common import quoted, unused
-from gramledger.llm.queries import read, tokenizer_path
+from gramledger.llm.queries import read, tokenizer_paths
 from gramledger.session import fresh_path
 
 
@@ -62,7 +62,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, *tokenizer_paths())
 
 
 STAGES = [

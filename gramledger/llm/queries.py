@@ -28,11 +28,11 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def tokenizer_path() -> str:
-    """Where this machine keeps the public tokenizer; its path is an argument of the operator."""
+def tokenizer_paths() -> tuple[str, str]:
+    """Where this machine keeps the public tokenizer and its ranks; the paths are arguments of the operator."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return tuple(str(public_tokenizers.path(f"byte_bpe_50k.{kind}")) for kind in ("json", "tiktoken"))
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(read(spark, folder, "documents"), tokenizer_path())
+    return packing.pack(read(spark, folder, "documents"), *tokenizer_paths())
 
 
 QUERIES: dict[str, Query] = {
