@@ -67,10 +67,10 @@ def severity_rank(
     c: Column, ranks: Mapping[str, int] = SEVERITY_RANKS, other: int = OTHER_SEVERITY
 ) -> Column:
     """Class text to a rank, lower is worse; unknown and missing text take ``other``."""
-    chain = F
-    for text, rank in ranks.items():
-        chain = chain.when(c == text, F.lit(rank))
-    return chain.otherwise(F.lit(other))
+    chain = F.lit(other)
+    for text, rank in reversed(list(ranks.items())):
+        chain = F.when(c == text, F.lit(rank)).otherwise(chain)
+    return chain
 
 
 def tier_by_limit(
@@ -79,10 +79,10 @@ def tier_by_limit(
     lowest: str = LOWEST_COST_TIER,
 ) -> Column:
     """First tier whose limit is reached; null falls to the lowest one."""
-    chain = F
-    for limit, tier in limits:
-        chain = chain.when(c >= limit, F.lit(tier))
-    return chain.otherwise(F.lit(lowest))
+    chain = F.lit(lowest)
+    for limit, tier in reversed(limits):
+        chain = F.when(c >= limit, F.lit(tier)).otherwise(chain)
+    return chain
 
 
 def safety_tier(recalls: Column, worst: Column) -> Column:

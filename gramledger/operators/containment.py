@@ -43,6 +43,8 @@ WIDTHS = (1, 2, 3, 4, 8)
 # Characters of a text that are cut into pieces at a time.
 SEGMENT = 50_000
 SALTS = 8
+# The key as a struct, which is equal to itself where the key is null.
+KEY = "_key"
 
 
 def automaton_available() -> bool:
@@ -66,20 +68,20 @@ def contains_join(
 ) -> DataFrame:
     """``left`` rows with every ``right`` row whose ``name`` occurs in the normalized ``text``.
 
-    ``key`` is unique in ``left`` and never null. Left rows without a match are kept once, with nulls. A
+    ``key`` is unique in ``left``; one row may have a null key. Left rows without a match are kept once, with nulls. A
     literal match: ``%`` and ``_`` in a name stand for themselves. The empty name occurs in every text,
     unless ``min_name_len`` shuts it out. ``right`` is written once to the shared folder, because it is
     both measured and joined.
     """
     names, chars = _measured(_usable(right, name, min_name_len), name)
-    prepared = left.withColumn("_text", normalize(F.col(text)))
+    prepared = left.withColumns({"_text": normalize(F.col(text)), KEY: F.struct(key)})
     strategy, passes = _choose(strategy, chars, scan_chars)
     if strategy == "scan" and passes == 1:
         found = _finder(_shared(names, name), T.ArrayType(T.StringType()))
         matched = prepared.withColumn(name, F.explode_outer(found(F.col("_text"))))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    matches = _pairs(prepared, names, key, name, strategy, passes).join(names, name)
-    joined = left.join(matches.select(key, *right.columns), key, "left")
+    matches = _pairs(prepared, names, KEY, name, strategy, passes).join(names, name)
+    joined = prepared.join(matches.select(KEY, *right.columns), KEY, "left")
     return joined.select(*left.columns, *right.columns)
 
 
@@ -102,15 +104,15 @@ def best_contained(
     """
     single = best_match(_usable(right, name, min_name_len), name, order)
     names, chars = _measured(single, name)
-    prepared = left.withColumn("_text", normalize(F.col(text)))
+    prepared = left.withColumns({"_text": normalize(F.col(text)), KEY: F.struct(key)})
     strategy, passes = _choose(strategy, chars, scan_chars)
     if strategy == "scan" and passes == 1:
         found = _finder(_shared(names.orderBy(*order), name), T.StringType())
         matched = prepared.withColumn(name, found(F.col("_text")))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    pairs = _pairs(prepared, names, key, name, strategy, passes).join(names, name)
-    best = best_match(pairs.select(key, *right.columns), key, order)
-    return left.join(best, key, "left").select(*left.columns, *right.columns)
+    pairs = _pairs(prepared, names, KEY, name, strategy, passes).join(names, name)
+    best = best_match(pairs.select(KEY, *right.columns), KEY, order)
+    return prepared.join(best, KEY, "left").select(*left.columns, *right.columns)
 
 
 def _usable(right: DataFrame, name: str, min_name_len: int) -> DataFrame:
@@ -174,6 +176,7 @@ def _pairs(
 
 def _shared(names: DataFrame, name: str) -> Broadcast:
     """Names, in the order of the frame, for all tasks. The caller has checked their size."""
+    # the same name many times, or the empty one, counts once; the order of the frame stays
     listed = list(dict.fromkeys(row[name] for row in names.select(name).collect()))
     return names.sparkSession.sparkContext.broadcast({"names": listed})
 
@@ -274,13 +277,12 @@ def _piece_pairs(
     lookup = _lookup_pieces(words, name)
     cuts = [_pieces(F.col("_segment"), w) for w in widths if w]
     cut = F.concat(F.array().cast("array<string>"), *cuts)
-    exact = F.length(name) == F.col("_width")
     parts = _segments(texts, key, longest)
     if not move:
         pieces = parts.select(key, "_around", F.explode(cut).alias("_piece"))
         found = pieces.join(F.broadcast(lookup), "_piece")
         # Two parts of one text may hold the same name. Texts are partitioned by key: nothing moves here.
-        checked = found.where(exact | F.contains(F.col("_around"), F.col(name)))
+        checked = found.where(F.contains(F.col("_around"), F.col(name)))
         pairs = checked.select(key, name).distinct()
     else:
         salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
@@ -290,6 +292,6 @@ def _piece_pairs(
         found = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
         # Candidates go to where their text is, once each, and are checked there.
         candidates = found.repartition(key).distinct().join(texts, key)
-        pairs = candidates.where(exact | F.contains(F.col("_text"), F.col(name))).select(key, name)
+        pairs = candidates.where(F.contains(F.col("_text"), F.col(name))).select(key, name)
     # The empty name is in every text.
     return pairs.unionAll(texts.select(key, F.lit("").alias(name))) if 0 in widths else pairs

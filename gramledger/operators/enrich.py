@@ -29,11 +29,13 @@ def enrich_rows(
     busy_wait: float = BUSY_WAIT,
     pause: float = PAUSE,
     lanes: int = 1,
+    wait_for: Callable[[Exception], float | None] | None = None,
 ) -> DataFrame:
     """``df`` with the generated text and ``status``, ``attempts`` and ``error`` per row.
 
-    An error whose text starts with ``QUOTA`` or ``BUSY`` is tried again after a wait; any other error
-    ends the row at once. A row that fails keeps its place with ``status = 'failed'``, and the others go
+    ``wait_for(error)`` says how long to wait before the next attempt, or None to give the row up. By
+    default quota errors (a text that starts with ``QUOTA`` or holds ``RESOURCE_EXHAUSTED``) wait
+    ``quota_wait``, and busy ones (``BUSY``, or any error class named as a server error) ``busy_wait``. A row that fails keeps its place with ``status = 'failed'``, and the others go
     on. ``generate`` is called again when Spark repeats a task, so it must stand repetition. Calls run in
     ``lanes`` tasks and each waits ``pause * lanes`` between two calls, which keeps the overall rate
     whatever the number of lanes. Write the result once before using it twice.
@@ -44,9 +46,18 @@ def enrich_rows(
         T.StructField("attempts", T.IntegerType()),
         T.StructField("error", T.StringType()),
     ]
-    waits = {QUOTA: quota_wait, BUSY: busy_wait}
     between = pause * lanes
 
+    def usual_wait(failure: Exception) -> float | None:
+        text = str(failure)
+        if text.startswith(QUOTA) or "RESOURCE_EXHAUSTED" in text:
+            return quota_wait
+        if text.startswith(BUSY) or type(failure).__name__.endswith("ServerError"):
+            return busy_wait
+        return None
+
+    waits = wait_for or usual_wait
+
     def attempt_row(text: str) -> tuple[str | None, str, int, str | None]:
         import time
 
@@ -55,7 +66,7 @@ def enrich_rows(
                 return generate(text).strip(), "ok", tried, None
             except Exception as failure:  # any failure of the generator belongs to this row alone
                 error = str(failure)
-                wait = next((s for head, s in waits.items() if error.startswith(head)), None)
+                wait = waits(failure)
                 if wait is None or tried == attempts:
                     return None, "failed", tried, error
                 time.sleep(wait)

@@ -83,7 +83,7 @@ def main() -> None:
     parser.add_argument("root", help="folder that holds raw/, and gets silver/, gold/ and snapshot/")
     parser.add_argument("--date", help="day to run; today if left out")
     parser.add_argument("--arrays", action="store_true", help="raw files hold one JSON array each")
-    parser.add_argument("--pause", type=float, default=0.0, help="seconds between two generated texts")
+    parser.add_argument("--pause", type=float, default=PAUSE, help="seconds between two generated texts")
     options = parser.parse_args()
     spark = build_session("gramledger-daily")
     run(spark, options.root, bronze.run_date(options.date), options.arrays, options.pause)

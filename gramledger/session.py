@@ -30,6 +30,7 @@ def build_session(app: str = "gramledger", master: str | None = None, **conf: ob
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         **conf,
     }
     for name, value in settings.items():

@@ -29,7 +29,8 @@ def write_dated(
 
     ``day`` is the date of the whole frame. Without it the frame brings its own ``ingest_date``, and rows of
     a day are brought together first, in as many tasks as the day needs.
-    ``replace`` swaps the days that are written and leaves the others alone; ``append`` adds to them.
+    ``replace`` swaps the days that are written and leaves the others alone; with ``day``, that day is
+    swapped even if there are no rows. ``append`` adds to them.
     """
     if mode not in ("replace", "append"):
         raise ValueError("mode is 'replace' or 'append'")
@@ -40,11 +41,13 @@ def write_dated(
     seen = Observation()
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.partitionBy(INGEST_DATE).format(fmt)
-    if mode == "replace":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.save(path)
+    if mode == "append":
+        writer.mode("append").save(path)
+    elif day is None:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+    else:  # the folder itself, so that a delivery without rows leaves none of the old ones
+        folder = f"{path.rstrip('/')}/{INGEST_DATE}={day}"
+        counted.drop(INGEST_DATE).write.format(fmt).mode("overwrite").save(folder)
     return {"rows": seen.get["rows"], "schema": df.schema.simpleString()}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,6 @@ PAYMENT_PAGE_SIZE, PAYMENT_PAGES = 5000, 40
 RECALL_PAGE_SIZE, RECALL_PAGES = 1000, 10
 
 PAGE = "page"
-# Bytes that a file with at least one record cannot fall below; ``[]`` and blank files do.
-SMALLEST_RECORD = 5
 
 
 def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE) -> None:
@@ -34,12 +33,10 @@ def read_pages(
 ) -> DataFrame:
     """Rows of the landed pages ahead of the first empty one.
 
-    Which pages are filled is seen from the file sizes; no row is read for it.
+    A page is filled if a record is parsed from it, whatever the size or the compression of its file.
     """
     paged = T.StructType([*schema.fields, T.StructField(PAGE, T.LongType())])
-    files = spark.read.format("binaryFile").load(path).select(F.col(PAGE).cast("long"), "length")
-    filled = files.where(F.col("length") >= SMALLEST_RECORD)
-    return until_empty_page(spark.read.schema(paged).json(path), max_pages, filled)
+    return until_empty_page(spark.read.schema(paged).json(path), max_pages)
 
 
 def until_empty_page(
@@ -69,7 +66,11 @@ def read_envelopes(
 
 
 class PagedFeed(DataSource):
-    """Live feed read by one task per page. Make it concrete with :func:`paged_feed`."""
+    """Live feed. Make it concrete with :func:`paged_feed`.
+
+    With the option ``pages``, so many pages are read, a task each; without it one task reads page after
+    page up to the first empty one.
+    """
 
     feed_name = "paged_feed"
     row_schema = T.StructType([])
@@ -83,13 +84,13 @@ class PagedFeed(DataSource):
         return T.StructType([T.StructField(PAGE, T.LongType()), *self.row_schema.fields])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        pages = int(self.options.get("pages", PAYMENT_PAGES))
+        pages = int(self.options["pages"]) if "pages" in self.options else None
         size = int(self.options.get("size", PAYMENT_PAGE_SIZE))
         return PagedReader(type(self).fetch, self.row_schema.fieldNames(), pages, size)
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, fetch: Callable, columns: list[str], pages: int, size: int) -> None:
+    def __init__(self, fetch: Callable, columns: list[str], pages: int | None, size: int) -> None:
         self.fetch, self.columns, self.pages, self.size = fetch, columns, pages, size
         self.wanted: dict[str, object] = {}
 
@@ -102,12 +103,16 @@ class PagedReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(page) for page in range(self.pages)]
+        return [InputPartition(page) for page in ([None] if self.pages is None else range(self.pages))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        page = partition.value
-        for row in self.fetch(page * self.size, self.size, self.wanted):
-            yield (page, *row)
+        for page in count() if partition.value is None else [partition.value]:
+            filled = False
+            for row in self.fetch(page * self.size, self.size, self.wanted):
+                filled = True
+                yield (page, *row)
+            if not filled:
+                return
 
 
 def paged_feed(
