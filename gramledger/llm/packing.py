@@ -53,6 +53,20 @@ def _classes() -> np.ndarray:
     return kinds
 
 
+class _Known(dict):
+    """Ids of the cuts seen so far, ``most`` at most; what is not among them is encoded when asked for."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most = encode, most
+
+    def __missing__(self, cut: str) -> bytes:
+        ids = self.encode(cut)
+        if len(self) < self.most:
+            self[cut] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian 32-bit bytes.
 
@@ -78,8 +92,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.kinds = _classes()
-        self.known: dict[str, bytes] = {}
-        self.most = most
+        self.known = _Known(self._cut, most)
+
+    def _cut(self, text: str) -> bytes:
+        if self.ranked:
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
+        return self._encode([text])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -106,31 +124,16 @@ class Encoder:
         space = kind[start] == _SPACE
         after = np.append(start[1:], len(kind))
         whole_run = kind[np.minimum(after, len(kind) - 1)] == _BETWEEN
-        first = np.concatenate(
-            (
-                start[space],  # white space, without its last character if a word follows
-                after[space & ~whole_run] - 1,
-                start[~space & (kind[start] != _BETWEEN) & ~(before & (start > 0))],
-                ends,
-            )
-        )
-        first = np.unique(first)
+        begins = np.zeros(len(kind), bool)
+        begins[start[space]] = True  # white space, without its last character if a word follows
+        begins[after[space & ~whole_run] - 1] = True
+        begins[start[~space & (kind[start] != _BETWEEN) & ~(before & (start > 0))]] = True
+        begins[ends] = True
+        first = np.flatnonzero(begins)
         last = np.append(first[1:], len(kind))
         real = kind[first] != _BETWEEN
         cuts = [whole[a:b] for a, b in zip(first[real].tolist(), last[real].tolist())]
-        known = self.known
-        new = list({c for c in cuts if c not in known})
-        if self.ranked:
-            encode = self.ranked.encode_ordinary
-            fresh = {c: array("I", encode(c)).tobytes() for c in new}
-        else:
-            fresh = dict(zip(new, self._encode(new)))
-        if len(known) + len(fresh) <= self.most:
-            known.update(fresh)
-            found = known.__getitem__
-        else:
-            both = {**fresh, **{c: known[c] for c in set(cuts) if c in known}}
-            found = both.__getitem__
+        found = self.known.__getitem__
         edges = np.searchsorted(first[real], np.concatenate(([0], ends))).tolist()
         for i, a, b in zip(rest, edges, edges[1:]):
             out[i] = b"".join(map(found, cuts[a:b]))
