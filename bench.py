@@ -1,4 +1,4 @@
-"""Times the headline queries and prints one JSON line.
+"""Times all queries on the given tables and prints one JSON line.
 
 Each query runs once on the smallest tables first, if they lie beside the timed ones, so that the times
 are not those of a cold JVM.
@@ -14,25 +14,6 @@ from pathlib import Path
 from gramledger.plans.driver_queries import QUERIES
 from gramledger.session import build_session
 
-HEADLINES = [
-    "scored_table",
-    "weighted_rollup",
-    "history_summary",
-    "contains_join_scan",
-    "contains_join_grams",
-    "contains_passages",
-    "best_match",
-    "best_contained",
-    "matched_payments",
-    "row_gap_impact",
-    "tiers",
-    "bronze_to_silver_payments",
-    "bronze_to_silver_recalls",
-    "gold_checks",
-    "explained_snapshot",
-    "incremental_dedup",
-]
-
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -44,7 +25,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES")
-    chosen = names.split(",") if names else HEADLINES
+    chosen = names.split(",") if names else list(QUERIES)
     smallest = Path(folder).parent / "sf0.001"
     if smallest.exists():
         for name in chosen:

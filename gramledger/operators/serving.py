@@ -14,15 +14,17 @@ def top_n(df: DataFrame, n: int, score: str = "combined_risk_score", key: str =
     return df.orderBy(F.col(score).desc_nulls_last(), F.col(key).asc()).limit(n)
 
 
-def newest(df: DataFrame, date: str, key: str, pages: int = 10, page_size: int = 1000) -> DataFrame:
-    """The newest rows, as many as the feed hands out: ``pages`` pages of ``page_size`` rows.
+def newest(df: DataFrame, date: str, key: str, n: int) -> DataFrame:
+    """The ``n`` newest rows by a column of dates or timestamps.
 
     That many rows from every task would be too much for the one task that merges them. So rows are first
-    counted per day, and only days that can still be among the newest are read for the sort.
+    counted per day, and only days that can still be among the newest are read for the sort. The task that
+    adds the counts up sees one row per day, which is why other types are refused.
     """
-    n = pages * page_size
-    moment = isinstance(df.schema[date].dataType, T.TimestampType | T.TimestampNTZType)
-    day = F.date_trunc("day", date) if moment else F.col(date)
+    kind = df.schema[date].dataType
+    if not isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
+        raise TypeError(f"{date} must be a date or a timestamp, not {kind.simpleString()}")
+    day = F.col(date) if isinstance(kind, T.DateType) else F.date_trunc("day", date)
     per_day = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
     newer = Window.orderBy(F.col("_day").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     ahead = per_day.withColumn("_ahead", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))

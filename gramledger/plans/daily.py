@@ -9,9 +9,12 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gramledger.functions.columns import report_date
 from gramledger.operators.enrich import PAUSE
 from gramledger.operators.quality import run_checks
+from gramledger.operators.serving import newest
 from gramledger.plans import explain, gold
 from gramledger.plans.silver import silver_payments, silver_recalls
 from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS, SILVER_PAYMENTS, SILVER_RECALLS
@@ -20,6 +23,43 @@ from gramledger.sources import bronze, snapshot
 
 PAYMENTS, RECALLS = "payments", "recalls"
 
+# Fixed value: what marks a payment row as one for a drug.
+DRUG_FLAG = "Y"
+
+
+def land_payments(
+    feed: DataFrame, root: str, day: str, run_ts: str, flag: str = DRUG_FLAG
+) -> dict[str, object]:
+    """Land the flagged rows of the payment feed for a day: nested, numbered, stamped.
+
+    ``feed`` is what ``read_pages`` or a live feed gives, after ``until_empty_page``.
+    """
+    rows = feed.where(F.col("HCPCS_Drug_Ind") == flag)
+    number = F.monotonically_increasing_id().alias("id")
+    landed = rows.select(number, F.struct(*rows.columns).alias("record"))
+    return bronze.write_dated(bronze.stamp_rows(landed, run_ts), f"{root}/raw/{PAYMENTS}", day, fmt="json")
+
+
+def land_recalls(
+    documents: DataFrame, root: str, day: str, run_ts: str, newest_rows: int | None = None
+) -> dict[str, object]:
+    """Land recall documents for a day, all of them or the newest ones by report date."""
+    if newest_rows is not None:
+        reported = documents.withColumn("_day", report_date(F.col("report_date")))
+        documents = newest(reported, "_day", "recall_number", newest_rows).drop("_day")
+    stamped = bronze.stamp_rows(documents, run_ts, "_ingested_at")
+    return bronze.write_dated(stamped, f"{root}/raw/{RECALLS}", day, fmt="json")
+
+
+def to_bronze(
+    payments: DataFrame, recalls: DataFrame, root: str, day: str, run_ts: str, newest_rows: int | None = None
+) -> dict[str, dict]:
+    """Land both feeds; returns rows and schema per table. :func:`to_silver` goes on from there."""
+    return {
+        PAYMENTS: land_payments(payments, root, day, run_ts),
+        RECALLS: land_recalls(recalls, root, day, run_ts, newest_rows),
+    }
+
 
 def to_silver(spark: SparkSession, root: str, day: str, arrays: bool = False) -> dict[str, dict]:
     """Flatten one day's landed files; returns rows and schema per table."""

@@ -43,22 +43,36 @@ staged AS ({GAP})"""
 
 NOTICES = f"""
 notices AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS recall_number, o_orderpriority AS classification,
+  SELECT CAST(l_orderkey AS VARCHAR) AS recall_number, p_type AS classification,
          o_orderstatus AS status, CAST(l_suppkey AS VARCHAR) AS recalling_firm,
          CAST(NULL AS VARCHAR) AS reason_for_recall, strftime(o_orderdate, '%Y%m%d') AS report_date,
          CAST(NULL AS VARCHAR) AS distribution_pattern,
-         [{PART_TEXT}, CASE WHEN o_orderpriority = '1-URGENT' THEN ' ' || lower({PART_TEXT}) || ' ' END] AS names
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE l_returnflag = 'R' AND l_linestatus = 'F'
+         [CASE WHEN length(first_word) <= 4 THEN first_word END,
+          CASE WHEN length(second_word) <= 4 THEN
+            CASE o_orderpriority WHEN '1-URGENT' THEN ' ' || lower(exact) || ' ' ELSE exact END END] AS names
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN (SELECT p_partkey, p_type, split_part(p_name, ' ', 1) AS first_word, split_part(p_name, ' ', 2) AS second_word,
+               split_part(p_name, ' ', 2) || ', ' || p_brand || ', size ' || p_size AS exact FROM part)
+    ON l_partkey = p_partkey
 ),
 recalls AS (SELECT * EXCLUDE (names), unnest(names) AS generic_name FROM notices)"""
 
 SEVERITY = """CASE {c} WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END"""
+TYPE_SEVERITY = "CASE classification WHEN 'PROMO' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END"
+
+AWKWARD = f"""
+{_payments()},
+awkward AS (
+  SELECT * REPLACE (CASE WHEN total_providers = 7 THEN 0 ELSE avg_submitted_charge END AS avg_submitted_charge,
+                    CASE WHEN total_providers <> 6 THEN avg_medicare_paid END AS avg_medicare_paid,
+                    CASE WHEN hcpcs_code LIKE '%9' THEN 0 ELSE total_services END AS total_services)
+  FROM payments
+)"""
 
 STAGED_RECALLS = f"""
 {NOTICES},
 staged_recalls AS (
-  SELECT recall_number, classification, CAST({SEVERITY.format(c="classification")} AS BIGINT) AS severity_rank,
+  SELECT recall_number, classification, CAST({TYPE_SEVERITY} AS BIGINT) AS severity_rank,
          status, recalling_firm, reason_for_recall,
          CAST(strptime(report_date, '%Y%m%d') AS DATE) AS report_date, distribution_pattern,
          upper(trim(generic_name)) AS generic_name_clean
@@ -183,11 +197,11 @@ SEVERITY_TEXTS = ("Class I", "Class II", "Class III")
 ORACLE: dict[str, str] = {
     "scored_table": f"WITH {SCORED} SELECT {SETTLED} FROM scored",
     "flatten_json": """
-        SELECT event_id, json_extract_string(props, '$.k') AS k_text,
-               TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
-        FROM events""",
+        SELECT event_id, k AS k_text, TRY_CAST(k AS DOUBLE) AS k
+        FROM (SELECT event_id, json_extract_string(props, '$.k') || CASE event_type WHEN 'error' THEN ' units' ELSE '' END
+                AS k FROM events)""",
     "row_gap_impact": f"""
-        WITH {_payments()} SELECT * EXCLUDE (drug_desc), {GAP_COLUMNS} FROM payments""",
+        WITH {AWKWARD} SELECT * EXCLUDE (drug_desc), {GAP_COLUMNS} FROM awkward""",
     "explode_names": """
         SELECT p_partkey, upper(trim(unnest(string_split(p_name, ' ')))) AS name FROM part""",
     "explode_outer_keep": """
@@ -197,7 +211,9 @@ ORACLE: dict[str, str] = {
         SELECT p_partkey, NULL AS name FROM part WHERE p_type NOT IN ('LARGE', 'SMALL', 'MEDIUM')""",
     "severity_case": f"""
         SELECT o_orderkey, CAST({SEVERITY.format(c="o_orderpriority")} AS BIGINT) AS severity_rank FROM orders""",
-    "parse_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS report_date FROM orders",
+    "parse_date": """
+        SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS report_date
+        FROM orders""",
     "short_label": """
         SELECT doc_id, substring(text, 1, 30) || CASE WHEN length(text) > 30 THEN '...' ELSE '' END AS short_label
         FROM documents""",
@@ -216,9 +232,11 @@ ORACLE: dict[str, str] = {
                  AS score
         FROM rows_""",
     "weighted_rollup": f"""
-        WITH {_payments()}, rolled AS ({ROLLUP.format(where="")}), staged AS ({GAP})
+        WITH {AWKWARD}, rolled AS ({ROLLUP.format(where="").replace("FROM payments", "FROM awkward")}),
+        staged AS ({GAP})
         SELECT {SETTLED.replace("* REPLACE", "* EXCLUDE (geography) REPLACE")} FROM staged""",
     "staged_payments": f"WITH {STAGED} SELECT {SETTLED} FROM staged",
+    "staged_payments_carry": f"WITH {STAGED} SELECT {SETTLED} FROM staged",
     "staged_recalls": f"WITH {STAGED_RECALLS} SELECT * FROM staged_recalls",
     "history_summary": f"WITH {SUMMARY} SELECT * FROM summary",
     "contains_join_scan": FOUND,
@@ -310,9 +328,22 @@ ORACLE: dict[str, str] = {
     "paged_landing": f"""
         WITH {ORDER_RECORDS}
         SELECT *, o_orderkey // 5000 AS page FROM records WHERE o_orderstatus = 'O'""",
+    "paged_stop": f"""
+        WITH {ORDER_RECORDS}
+        SELECT *, o_orderkey // 250 AS page FROM records
+        WHERE o_orderkey // 250 < (SELECT max(o_orderkey) // 250 // 2 FROM records)""",
+    "landing_to_silver": f"""
+        WITH {_payments("p_name", "l_returnflag,")}
+        SELECT * EXCLUDE (l_returnflag), '2024-02-01T00:00:00' AS ingested_at, {GAP_COLUMNS}
+        FROM payments WHERE l_returnflag = 'A'""",
     "envelope_pages": f"WITH {ORDER_RECORDS} SELECT * FROM records",
     "newest_capped": """
         SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_day FROM orders
         ORDER BY o_orderdate DESC, o_orderkey LIMIT 10000""",
-    "incremental_dedup": f"WITH {ORDER_RECORDS} SELECT * FROM records",
+    "incremental_dedup": f"""
+        WITH {ORDER_RECORDS}
+        SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS name,
+               CASE o_orderstatus WHEN 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+               CASE o_orderstatus WHEN 'F' THEN '2024-02-01T00:00:00' ELSE '2024-02-02T00:00:00' END AS ingested_at
+        FROM records""",
 }

@@ -15,10 +15,10 @@ from gramledger.operators.flatten import add_gap_and_impact, explode_keep, flatt
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check, run_checks
 from gramledger.operators.rollup import weighted_rollup
 from gramledger.operators.serving import board_filter, kpi_row, newest, top_n, value_options
-from gramledger.plans import board, explain, gold
+from gramledger.plans import board, daily, explain, gold
 from gramledger.plans import driver_tables as D
 from gramledger.plans.silver import silver_payments, silver_recalls
-from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS
+from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS, PAYMENT_RECORD
 from gramledger.session import fresh_path, materialize, spread_small
 from gramledger.sources import bronze, pages, snapshot
 from gramledger.streaming.incremental import drop_repeats, land_new_files
@@ -59,14 +59,15 @@ def order_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flatten_json(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = D.table(spark, folder, "events").select(
-        "event_id", F.from_json("props", "k string").alias("record")
-    )
+    """Event records; those of errors hold text where a number belongs."""
+    k = F.from_json("props", "k string")["k"]
+    said = F.when(F.col("event_type") == "error", F.concat(k, F.lit(" units"))).otherwise(k)
+    parsed = D.table(spark, folder, "events").select("event_id", F.struct(said.alias("k")).alias("record"))
     return flatten_fields(parsed, ("event_id",), {"k_text": "record.k"}, {"k": "record.k"})
 
 
 def row_gap_impact(spark: SparkSession, folder: str) -> DataFrame:
-    return add_gap_and_impact(D.payments(spark, folder))
+    return add_gap_and_impact(D.awkward_payments(spark, folder))
 
 
 def explode_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,8 +93,11 @@ def severity_case(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_date(spark: SparkSession, folder: str) -> DataFrame:
-    texts = order_records(spark, folder)
-    return texts.select("o_orderkey", C.report_date(F.col("o_orderdate")).alias("report_date"))
+    """Eight-digit dates; urgent orders write theirs in ISO form, low ones write none that can be read."""
+    digits, priority = F.col("o_orderdate"), F.col("o_orderpriority")
+    iso = F.concat_ws("-", digits.substr(1, 4), digits.substr(5, 2), digits.substr(7, 2))
+    text = F.when(priority == D.URGENT, iso).when(priority == "5-LOW", F.lit("unknown")).otherwise(digits)
+    return order_records(spark, folder).select("o_orderkey", C.report_date(text).alias("report_date"))
 
 
 def short_label(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,8 +146,8 @@ def render_prompt(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weighted_rollup_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line, with its description carried through the rollup."""
-    lines = D.payments(spark, folder).join(D.descriptions(spark, folder), "hcpcs_code")
+    """Every line, with its description carried through the rollup; some measures and weights are missing."""
+    lines = D.awkward_payments(spark, folder).join(D.descriptions(spark, folder), "hcpcs_code")
     rolled = weighted_rollup(
         lines, "hcpcs_code", "total_services", gold.AVERAGES, gold.TOTALS, carry=("drug_desc",)
     )
@@ -154,6 +158,12 @@ def staged_payments(spark: SparkSession, folder: str) -> DataFrame:
     return settled_scores(D.staged(spark, folder))
 
 
+def staged_payments_carry(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the text on every row, as the daily run has it."""
+    rows = D.payments(spark, folder).join(D.descriptions(spark, folder), "hcpcs_code")
+    return settled_scores(gold.staged_payments(rows, national=D.RANKED_GEOGRAPHY))
+
+
 def staged_recalls(spark: SparkSession, folder: str) -> DataFrame:
     staged = D.staged_notices(spark, folder)
     return staged.withColumn("severity_rank", F.col("severity_rank").cast("long"))
@@ -333,16 +343,17 @@ def parquet_parts(spark: SparkSession, folder: str) -> DataFrame:
     is_open = F.col("l_linestatus") == "O"
     lines.where(is_open).write.parquet(path)
     lines.where(~is_open).drop("l_tax").write.mode("append").parquet(path)
-    return bronze.read_parts(spark, path)
+    return bronze.read_parts(spark, path, schema=lines.schema)
 
 
 def date_slice(spark: SparkSession, folder: str) -> DataFrame:
     """Events landed by day, one day read back."""
     path = fresh_path(spark, "events")
     events = D.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    bronze.write_dated(events.withColumn(bronze.INGEST_DATE, F.to_date("ts")).drop("ts"), path)
+    dated = events.withColumn(bronze.INGEST_DATE, F.to_date("ts")).drop("ts")
+    bronze.write_dated(dated, path)
     day = bronze.run_date("2024-01-15")
-    return bronze.read_parts(spark, path, day).drop(bronze.INGEST_DATE)
+    return bronze.read_parts(spark, path, day, dated.schema).drop(bronze.INGEST_DATE)
 
 
 def bronze_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -364,14 +375,16 @@ def append_then_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeats(landed, ["o_orderkey"], newest_by="ingested_at")
 
 
-def bronze_to_silver_payments(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines as nested landed records with numbers as text, flattened again."""
+def _payment_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines as the payment feed hands them out, all values as text, with their order."""
 
     def text(c: Column) -> Column:
         return c.cast("string")
 
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    record = F.struct(
+    lines, parts = spread_small(D.table(spark, folder, "lineitem")), D.table(spark, folder, "part")
+    return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
+        "l_orderkey",
         text(F.col("l_partkey")).alias("HCPCS_Cd"),
         F.col("p_name").alias("HCPCS_Desc"),
         F.col("l_returnflag").alias("HCPCS_Drug_Ind"),
@@ -382,8 +395,13 @@ def bronze_to_silver_payments(spark: SparkSession, folder: str) -> DataFrame:
         text(price * (1 - discount)).alias("Avg_Mdcr_Alowd_Amt"),
         text(price * (1 - discount * 10)).alias("Avg_Mdcr_Pymt_Amt"),
     )
-    lines, parts = spread_small(D.table(spark, folder, "lineitem")), D.table(spark, folder, "part")
-    landed = lines.join(parts, lines.l_partkey == parts.p_partkey).select(
+
+
+def bronze_to_silver_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines as nested landed records with numbers as text, flattened again."""
+    feed = _payment_feed(spark, folder)
+    record = F.struct(*[c for c in feed.columns if c != "l_orderkey"])
+    landed = feed.select(
         F.col("l_orderkey").alias("id"), F.lit(RUN_TS).alias("ingested_at"), record.alias("record")
     )
     path = fresh_path(spark, "payments")
@@ -408,6 +426,27 @@ def paged_landing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(F.col("o_orderstatus") == "O")
 
 
+def paged_stop(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as small pages of which the middle one came empty: the pages ahead of it count."""
+    path, size = fresh_path(spark, "pages"), 250
+    orders = order_records(spark, folder)
+    page = F.floor(F.col("o_orderkey") / size)
+    middle = orders.agg(F.floor(F.floor(F.max("o_orderkey") / size) / 2)).scalar()
+    pages.land_pages(orders.where(page != middle), "o_orderkey", path, size)
+    return pages.read_pages(spark, path, ORDER_RECORD)
+
+
+def landing_to_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines as feed pages; the flagged ones landed for a day and flattened."""
+    root = fresh_path(spark, "landing")
+    feed = _payment_feed(spark, folder).withColumn("position", F.col("l_orderkey")).drop("l_orderkey")
+    pages.land_pages(feed, "position", f"{root}/pages")
+    landed = pages.read_pages(spark, f"{root}/pages", PAYMENT_RECORD).drop(pages.PAGE)
+    daily.land_payments(landed, root, DAY, RUN_TS, flag="A")
+    flat = silver_payments(bronze.read_dated_json(spark, f"{root}/raw/{daily.PAYMENTS}", BRONZE_PAYMENTS, DAY))
+    return flat.drop("id")
+
+
 def envelope_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Orders wrapped a page at a time under ``results`` and unwrapped again."""
     path = fresh_path(spark, "envelopes")
@@ -419,20 +458,36 @@ def envelope_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def newest_capped(spark: SparkSession, folder: str) -> DataFrame:
-    rows = newest(D.table(spark, folder, "orders"), "o_orderdate", "o_orderkey")
+    n = pages.RECALL_PAGES * pages.RECALL_PAGE_SIZE
+    rows = newest(D.table(spark, folder, "orders"), "o_orderdate", "o_orderkey", n)
     return rows.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"))
 
 
 def incremental_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Two deliveries that overlap, taken in by two runs of the stream."""
+    """Two deliveries taken in by two runs of the stream: the second repeats, updates and adds documents."""
     source, target, state = (fresh_path(spark, tag) for tag in ("delivered", "taken", "state"))
-    rows = order_records(spark, folder)
-    for delivery in (rows.where("o_orderstatus <> 'P'"), rows):
+    status, later = F.col("o_orderstatus"), F.lit("2024-02-02T00:00:00")
+    rows = order_records(spark, folder).select(
+        "o_orderkey", F.split("o_orderpriority", "-").alias("names"), "o_orderstatus"
+    )
+    updated = rows.select(
+        "o_orderkey",
+        "names",
+        F.when(status == "O", F.lit("F")).otherwise(status).alias("o_orderstatus"),
+        F.when(status == "F", F.lit(RUN_TS)).otherwise(later).alias("ingested_at"),
+    )
+    first = bronze.stamp_rows(rows.where(status != "P"), RUN_TS)
+
+    def flat(documents: DataFrame) -> DataFrame:
+        return explode_keep(documents, "names", "name", ["o_orderkey", "o_orderstatus", "ingested_at"])
+
+    keys, schema = ["o_orderkey", "name"], updated.schema
+    for delivery in (first, updated):
         delivery.write.mode("append").json(source)
         land_new_files(
-            spark, source, ORDER_RECORD, lambda df: df, ["o_orderkey"], target, state
+            spark, source, schema, flat, keys, target, state, version="ingested_at"
         ).awaitTermination()
-    return spark.read.schema(ORDER_RECORD).parquet(target)
+    return drop_repeats(spark.read.parquet(target), keys, newest_by="ingested_at")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -447,6 +502,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tiers": tiers,
     "weighted_rollup": weighted_rollup_query,
     "staged_payments": staged_payments,
+    "staged_payments_carry": staged_payments_carry,
     "staged_recalls": staged_recalls,
     "history_summary": history_summary,
     "contains_join_scan": contains_join_scan,
@@ -476,6 +532,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_to_silver_payments": bronze_to_silver_payments,
     "bronze_to_silver_recalls": bronze_to_silver_recalls,
     "paged_landing": paged_landing,
+    "paged_stop": paged_stop,
+    "landing_to_silver": landing_to_silver,
     "envelope_pages": envelope_pages,
     "newest_capped": newest_capped,
     "incremental_dedup": incremental_dedup,

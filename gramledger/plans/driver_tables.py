@@ -1,9 +1,10 @@
 """The order and part tables seen as payments and recalls.
 
-A line is a payment row for its part, its line status the geography, of which ``O`` is ranked. A finished
-returned line is a recall notice for its part, with its order's priority as class. The description of a part
-is its name, brand and size; a notice names that description, and when urgent once more in small letters
-between spaces.
+A line is a payment row for its part, its line status the geography, of which ``O`` is ranked. It is a recall
+notice for its part too, with the part's type as class. The description of a part is its name, brand and size.
+A notice names short pieces of it: the first word of the name, and the second word with brand and size, in
+small letters between spaces when the order is urgent. Only words of up to four letters are named, so one name
+lies inside many descriptions, several names in one, and none in some.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from gramledger.plans.gold import recall_summary, scored_table, staged_payments,
 from gramledger.session import spread_small
 
 PRIORITY_RANKS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3}
+TYPE_RANKS = {"PROMO": 1, "LARGE": 2, "MEDIUM": 3}
 ONGOING_STATUS = "O"
 URGENT = "1-URGENT"
 RANKED_GEOGRAPHY = "O"
+NAMED_LETTERS = 4
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,25 +52,40 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def awkward_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows with what feeds get wrong: zero charges, missing payments, codes without any volume."""
+    line = F.col("total_providers")
+    return payments(spark, folder).withColumns(
+        {
+            "avg_submitted_charge": F.when(line == 7, F.lit(0)).otherwise(F.col("avg_submitted_charge")),
+            "avg_medicare_paid": F.when(line != 6, F.col("avg_medicare_paid")),
+            "total_services": F.when(F.col("hcpcs_code").endswith("9"), 0).otherwise(F.col("total_services")),
+        }
+    )
+
+
 def notices(spark: SparkSession, folder: str) -> DataFrame:
-    """Returned lines as recall notices, with their names as an array."""
-    lines = table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_linestatus = 'F'")
+    """Lines as recall notices, with their names as an array."""
+    lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
-    repeated = F.concat(F.lit(" "), F.lower(_description()), F.lit(" "))
-    urgent_name = F.when(F.col("o_orderpriority") == URGENT, repeated)
+    first, second = (F.split("p_name", " ")[i] for i in (0, 1))
+    exact = F.concat(second, F.lit(", "), F.col("p_brand"), F.lit(", size "), F.col("p_size"))
+    spaced = F.concat(F.lit(" "), F.lower(exact), F.lit(" "))
+    spelled = F.when(F.col("o_orderpriority") == URGENT, spaced).otherwise(exact)
+    named = [F.when(F.length(w) <= NAMED_LETTERS, n) for w, n in ((first, first), (second, spelled))]
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(parts, lines.l_partkey == parts.p_partkey)
         .select(
             F.col("l_orderkey").cast("string").alias("recall_number"),
-            F.col("o_orderpriority").alias("classification"),
+            F.col("p_type").alias("classification"),
             F.col("o_orderstatus").alias("status"),
             F.col("l_suppkey").cast("string").alias("recalling_firm"),
             F.lit(None).cast("string").alias("reason_for_recall"),
             F.date_format("o_orderdate", "yyyyMMdd").alias("report_date"),
             F.lit(None).cast("string").alias("distribution_pattern"),
-            F.array(_description(), urgent_name).alias("names"),
+            F.array(*named).alias("names"),
         )
     )
 
@@ -82,7 +100,7 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staged_notices(spark: SparkSession, folder: str) -> DataFrame:
-    return staged_recalls(recalls(spark, folder), PRIORITY_RANKS)
+    return staged_recalls(recalls(spark, folder), TYPE_RANKS)
 
 
 def summary(spark: SparkSession, folder: str) -> DataFrame:

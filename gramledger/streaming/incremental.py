@@ -26,9 +26,13 @@ def land_new_files(
     state: str,
     files_per_batch: int = 1000,
     partitions: int | None = None,
+    version: str | None = None,
 ) -> StreamingQuery:
     """Run over the files that came in since the last run and append unseen keys to ``target``.
 
+    Documents that get updated bring a ``version`` column, such as the time of their delivery: every new
+    version of a key is appended, and :func:`drop_repeats` with ``newest_by=version`` reads the newest.
+
     The keys already written live in the state store under ``state``, spread by key over the tasks and
     kept on disk, so a run costs what its new files cost and never reads the target again. The Parquet
     sink commits each batch once; a run that is broken off and started again adds nothing twice. Put
@@ -36,7 +40,8 @@ def land_new_files(
     the state, by default one per core; the first run settles it for good. Keys are plain columns.
     """
     new = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
-    unseen = _combined(flatten(new), keys).dropDuplicates(list(keys))
+    known = list(keys) if version is None else [*keys, version]
+    unseen = _combined(flatten(new), known).dropDuplicates(known)
     writer = (
         unseen.writeStream.format("parquet")
         .option("path", target)

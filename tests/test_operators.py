@@ -108,9 +108,11 @@ def test_top_n_keeps_n_rows_per_task(spark):
 
 
 def test_newest_takes_whole_pages(spark):
-    df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 10).alias("d"))
-    top = newest(df, "d", "k", pages=2, page_size=10)
-    assert top.count() == 20 and top.where("d < 8").isEmpty()
+    day = F.expr("date_add(date'2024-01-01', cast(id % 10 as int))")
+    top = newest(spark.range(100).select(F.col("id").alias("k"), day.alias("d")), "d", "k", 20)
+    assert top.count() == 20 and top.where("d < date'2024-01-09'").isEmpty()
+    with pytest.raises(TypeError, match="date"):
+        newest(spark.range(3), "id", "id", 2)
 
 
 def test_filter_defaults_to_all_present_values(spark):
@@ -157,8 +159,10 @@ def test_enrichment_paces_over_lanes(spark):
 @pytest.mark.parametrize("n", [1, 3, 5, 7, 8, 20])
 def test_newest_with_missing_dates(spark, n):
     rows = [(i, day) for i, day in enumerate(["b", "a", None, "c", "b", "a", None, "c"])]
-    df = spark.createDataFrame(rows, "k int, d string")
-    got = [r["k"] for r in newest(df, "d", "k", pages=1, page_size=n).collect()]
+    days = {"a": "2024-01-01", "b": "2024-01-02", "c": "2024-01-03", None: None}
+    df = spark.createDataFrame([(i, days[d]) for i, d in rows], "k int, d string")
+    df = df.withColumn("d", F.col("d").cast("date"))
+    got = [r["k"] for r in newest(df, "d", "k", n).collect()]
     assert got == [3, 7, 0, 4, 1, 5, 2, 6][:n]
 
 
