@@ -25,6 +25,8 @@ STEPS = 80
 PENALTY = 5e-4
 #: Share of the sample's documents that must hold a word for it to get a weight.
 COMMON = 0.01
+#: Bytes of the sample that are cut into words at once.
+CUT = 1 << 20
 
 WORD = word_table([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _END = np.zeros(256, bool)
@@ -51,7 +53,39 @@ class Bags:
         self.end = ends[new + self.count - 1] - at[self.owner] if len(new) else begin
 
 
-def sentence_logits(bags: Bags, weights: np.ndarray, bias: float) -> np.ndarray:
+class Sample:
+    """Sentences of the texts to learn from, with only those words that ``COMMON`` of the texts hold.
+
+    Other words have no weight. Texts are cut into words about ``CUT`` bytes at a time, since the arrays made for
+    that take many times the text; what is kept takes some 8 bytes a word.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        held, parts, start = np.zeros(SLOTS, np.int64), [], 0
+        ends = np.cumsum([len(t) for t in texts])
+        while start < len(texts):
+            taken = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, taken + CUT)))
+            bags = Bags(texts[start:stop])
+            sentence = np.repeat(np.arange(len(bags.first)), bags.count)
+            held += np.bincount(np.unique(bags.owner[sentence] * SLOTS + bags.slots) % SLOTS, minlength=SLOTS)
+            parts.append((bags.slots.astype(np.int32), bags.count, bags.text_count))
+            start = stop
+        usable = held >= COMMON * len(texts)
+        slots, counts = [], []
+        for words, count, _ in parts:
+            kept = usable[words]
+            slots.append(words[kept])
+            counts.append(np.bincount(np.repeat(np.arange(len(count)), count)[kept], minlength=len(count)))
+        self.slots, self.count = np.concatenate(slots), np.concatenate(counts)
+        self.first = np.cumsum(self.count) - self.count
+        self.sentence = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
+        self.text_count = np.concatenate([n for _, _, n in parts])
+        self.text_first = np.cumsum(self.text_count) - self.text_count
+        self.owner = np.repeat(np.arange(len(texts)), self.text_count)
+
+
+def sentence_logits(bags: Bags | Sample, weights: np.ndarray, bias: float) -> np.ndarray:
     return bias + sums(weights[bags.slots], bags.first, bags.count)
 
 
@@ -65,10 +99,7 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     weights, bias = np.zeros(SLOTS), -4.0
     if not len(texts) or labels.min() == labels.max():
         return weights, (4.0 if len(texts) and labels.min() == 1 else -30.0)
-    bags = Bags(texts)
-    owner = np.repeat(np.arange(len(bags.first)), bags.count)
-    seen = np.unique(bags.owner[owner] * SLOTS + bags.slots) % SLOTS
-    usable = np.bincount(seen, minlength=SLOTS) >= COMMON * len(texts)
+    bags = Sample(texts)
     first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
     for step in range(1, STEPS + 1):
         logits = sentence_logits(bags, weights, bias)
@@ -77,9 +108,9 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         # d loss / d log(1 - p): 1 - label/p; each sentence's share of it is its own probability
         slope = np.where(labels == 1, -(1 - p) / np.maximum(p, 1e-9), 1.0)
         toward = slope[bags.owner] * np.exp(-np.logaddexp(0.0, -logits)) / len(texts)
-        pull = np.bincount(bags.slots, weights=toward[owner], minlength=SLOTS)
+        pull = np.bincount(bags.slots, weights=toward[bags.sentence], minlength=SLOTS)
         at_rest = np.sign(pull) * np.maximum(np.abs(pull) - PENALTY, 0.0)
-        grad = np.append(np.where(weights == 0, at_rest, pull + PENALTY * np.sign(weights)) * usable, toward.sum())
+        grad = np.append(np.where(weights == 0, at_rest, pull + PENALTY * np.sign(weights)), toward.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         move = 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
