@@ -5,7 +5,7 @@ Spark plans such a join as a nested loop over all pairs. Here every description
 ``scan``     the names, whose total size is checked first, go to all tasks; each task walks its texts
              through one multi-pattern automaton and adds the array of names found. No text is moved,
              rows keep their partitioning, and the work grows with the text and not with the pairs.
-             Names beyond one task's memory are split by hash into several passes.
+             Names beyond one task's memory are left to the next way, which reads the texts once too.
 ``grams``    the same with built-in functions only, for workers without the automaton package: an
              equi-join on fixed-width pieces of the text against the broadcast names, then ``contains``.
 ``shuffle``  any number of names: the pieces (key and piece, not the text) are shuffled on a salted key,
@@ -20,7 +20,6 @@ one name, so that no rows are multiplied, sorted or shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 from itertools import accumulate, chain
 
 import pyarrow as pa
@@ -32,9 +31,8 @@ from pyspark.sql import types as T
 from gramledger.operators.best_match import best_match
 from gramledger.session import fresh_path
 
-# Characters of names held in memory per pass; an automaton takes some 40 bytes for each.
+# Characters of names held in memory by a task; an automaton takes some 40 bytes for each.
 SCAN_CHARS = 4_000_000
-SCAN_PASSES = 16
 # Characters of names, and bytes of the joined name table, that may be broadcast as a hash table.
 BROADCAST_CHARS = 16_000_000
 BROADCAST_BYTES = 128_000_000
@@ -75,12 +73,12 @@ def contains_join(
     """
     names, chars = _measured(_usable(right, name, min_name_len), name)
     prepared = left.withColumns({"_text": normalize(F.col(text)), KEY: F.struct(key)})
-    strategy, passes = _choose(strategy, chars, scan_chars)
-    if strategy == "scan" and passes == 1:
+    strategy = _choose(strategy, chars, scan_chars)
+    if strategy == "scan":
         found = _finder(_shared(names, name), T.ArrayType(T.StringType()))
         matched = prepared.withColumn(name, F.explode_outer(found(F.col("_text"))))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    matches = _pairs(prepared, names, KEY, name, strategy, passes).join(names, name)
+    matches = _piece_pairs(prepared, names, KEY, name, move=strategy == "shuffle").join(names, name)
     joined = prepared.join(matches.select(KEY, *right.columns), KEY, "left")
     return joined.select(*left.columns, *right.columns)
 
@@ -105,12 +103,12 @@ def best_contained(
     single = best_match(_usable(right, name, min_name_len), name, order)
     names, chars = _measured(single, name)
     prepared = left.withColumns({"_text": normalize(F.col(text)), KEY: F.struct(key)})
-    strategy, passes = _choose(strategy, chars, scan_chars)
-    if strategy == "scan" and passes == 1:
+    strategy = _choose(strategy, chars, scan_chars)
+    if strategy == "scan":
         found = _finder(_shared(names.orderBy(*order), name), T.StringType())
         matched = prepared.withColumn(name, found(F.col("_text")))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    pairs = _pairs(prepared, names, KEY, name, strategy, passes).join(names, name)
+    pairs = _piece_pairs(prepared, names, KEY, name, move=strategy == "shuffle").join(names, name)
     best = best_match(pairs.select(KEY, *right.columns), KEY, order)
     return prepared.join(best, KEY, "left").select(*left.columns, *right.columns)
 
@@ -119,16 +117,15 @@ def _usable(right: DataFrame, name: str, min_name_len: int) -> DataFrame:
     return right.where(F.col(name).isNotNull() & (F.length(name) >= min_name_len))
 
 
-def _choose(strategy: str, chars: int, scan_chars: int) -> tuple[str, int]:
+def _choose(strategy: str, chars: int, scan_chars: int) -> str:
     """The wished way if the names are small enough for it, else the next one that takes them all."""
     if strategy not in ("auto", "scan", "grams", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    passes = max(1, -(-chars // scan_chars))
-    if strategy in ("auto", "scan") and automaton_available() and passes <= SCAN_PASSES:
-        return "scan", passes
+    if strategy in ("auto", "scan") and automaton_available() and chars <= scan_chars:
+        return "scan"
     if strategy != "shuffle" and chars <= BROADCAST_CHARS:
-        return "grams", passes
-    return "shuffle", passes
+        return "grams"
+    return "shuffle"
 
 
 def _measured(right: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -161,19 +158,6 @@ def _bytes(field: T.StructField) -> Column:
     return F.coalesce(size, F.lit(0)).cast("long") + 16
 
 
-def _pairs(
-    prepared: DataFrame, names: DataFrame, key: str, name: str, strategy: str, passes: int
-) -> DataFrame:
-    """(key, name) for every name in every text, each pair once."""
-    if strategy == "scan":
-        part = F.pmod(F.xxhash64(name), F.lit(passes))
-        listed = T.ArrayType(T.StringType())
-        finders = [_finder(_shared(names.where(part == i), name), listed) for i in range(passes)]
-        found = [prepared.select(key, F.explode(f(F.col("_text"))).alias(name)) for f in finders]
-        return reduce(DataFrame.unionAll, found)
-    return _piece_pairs(prepared, names, key, name, move=strategy == "shuffle")
-
-
 def _shared(names: DataFrame, name: str) -> Broadcast:
     """Names, in the order of the frame, for all tasks. The caller has checked their size."""
     # the same name many times, or the empty one, counts once; the order of the frame stays

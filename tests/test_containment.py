@@ -78,7 +78,7 @@ def test_equals_brute_force(spark, strategy, extra):
     assert joined(left, right, strategy=strategy) == brute(TEXTS, NAMES + extra)
 
 
-def test_several_passes(spark):
+def test_names_beyond_one_task(spark):
     left, right = frames(spark, TEXTS, NAMES)
     assert joined(left, right, strategy="scan", scan_chars=10) == brute(TEXTS, NAMES)
 
@@ -173,7 +173,6 @@ def test_names_too_many_for_a_way_take_the_next(spark, monkeypatch):
     from gramledger.operators import containment
 
     left, right = frames(spark, TEXTS, NAMES)
-    monkeypatch.setattr(containment, "SCAN_PASSES", 1)
     assert "_salt" not in plan_of(contains_join(left, right, "k", "text", "name", scan_chars=10))
     monkeypatch.setattr(containment, "BROADCAST_CHARS", 10)
     monkeypatch.setattr(containment, "BROADCAST_BYTES", 10)
