@@ -9,7 +9,7 @@ import pytest
 
 from gramledger.operators.serving import top_n
 from gramledger.plans import daily
-from gramledger.schemas import SILVER_PAYMENTS, SILVER_RECALLS
+from gramledger.schemas import BRONZE_RECALLS, PAYMENT_RECORD, SILVER_PAYMENTS, SILVER_RECALLS
 from gramledger.sources import bronze, snapshot
 
 
@@ -44,6 +44,30 @@ def test_daily_run(spark, tmp_path, capsys):
     assert silver.where("ingest_date = '2024-02-01'").count() == 9
 
 
+def test_feeds_land_flagged_and_newest_rows(spark, tmp_path):
+    feed = [
+        {"HCPCS_Cd": "J1", "HCPCS_Drug_Ind": "Y", "Tot_Srvcs": "2", "Avg_Sbmtd_Chrg": "0", "Avg_Mdcr_Pymt_Amt": "1"},
+        {"HCPCS_Cd": "J2", "HCPCS_Drug_Ind": "N", "Tot_Srvcs": "2"},
+        {"HCPCS_Cd": "J3", "HCPCS_Drug_Ind": None},
+    ]
+    documents = [
+        {"recall_number": number, "report_date": day, "openfda": {"generic_name": names}}
+        for number, day, names in (("D-1", "20240103", ["A", "B"]), ("D-2", "20240101", ["C"]), ("D-3", "soon", None))
+    ]
+    payments = spark.createDataFrame(feed, PAYMENT_RECORD)
+    recalls = spark.createDataFrame(documents, BRONZE_RECALLS).drop("_ingested_at")
+    root, day, stamp = str(tmp_path), "2024-02-01", "2024-02-01T00:00:00"
+    for newest_rows, kept, names in ((None, 3, 4), (1, 1, 2)):
+        done = daily.to_bronze(payments, recalls, root, day, stamp, newest_rows)
+        assert {feed: d["rows"] for feed, d in done.items()} == {"payments": 1, "recalls": kept}
+        assert {feed: d["rows"] for feed, d in daily.to_silver(spark, root, day).items()} == {
+            "payments": 1,
+            "recalls": names,
+        }
+    row = bronze.read_parts(spark, f"{root}/silver/payments", day, SILVER_PAYMENTS).first()
+    assert (row["hcpcs_code"], row["ingested_at"], row["payment_gap_pct"]) == ("J1", stamp, None)
+
+
 def test_declared_schema_fills_missing_columns(spark, tmp_path):
     path = str(tmp_path / "silver")
     spark.createDataFrame([("D-1",)], "recall_number string").write.parquet(f"{path}/ingest_date=2024-02-01")
