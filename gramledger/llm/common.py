@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from gramledger.session import materialize, settings
 
-#: Bytes of text that a Python worker turns into arrays at once. One longer text is taken alone.
-CHUNK = 8 << 20
+#: Bytes of text that a Python worker turns into arrays at once, which take some 50 times as much. One longer text is
+#: taken alone.
+CHUNK = 1 << 20
 
 #: White space that separates words: space and the control characters 9 to 13.
 SPACES = (9, 10, 11, 12, 13, 32)

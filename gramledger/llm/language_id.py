@@ -30,19 +30,27 @@ SAMPLE_TOTAL = 48_000_000
 MAX_LANGUAGES = 64
 #: What stands before the first byte of every text.
 START = b"\n" * ORDER
+#: Bytes of text that are coded at once. A longer text is coded in parts, each with the ORDER bytes before it.
+PART = 1 << 20
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Every byte of the texts with the ORDER bytes before it as one number, and the length of each text."""
-    buffer, _ = joined(texts, START, b"")
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+def led(text: bytes) -> list[bytes]:
+    """The text in parts of at most PART bytes, each behind the ORDER bytes it follows."""
+    whole = START + text
+    return [whole[a : a + ORDER + PART] for a in range(0, max(1, len(text)), PART)]
+
+
+def runs(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte of the parts with the ORDER bytes before it as one number, and how many each part has."""
+    buffer, _ = joined(parts, b"", b"")
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) - ORDER
     if not sizes.sum():
         return np.zeros(0, np.uint64), sizes
     value = np.zeros(len(buffer) - ORDER, np.uint64)
     for k in range(ORDER + 1):
         value = (value << np.uint64(8)) | buffer[k : len(buffer) - ORDER + k]
     keep = np.ones(len(value), bool)
-    ends = np.cumsum(sizes + ORDER)[:-1] - ORDER  # a run may not cross into the next text's start
+    ends = np.cumsum(sizes + ORDER)[:-1] - ORDER  # a run may not cross into what leads the next part
     keep[(ends[:, None] + np.arange(ORDER)).ravel()] = False
     return value[keep], sizes
 
@@ -88,12 +96,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict | Non
             for part in cut(batch, 1):
                 tags = part.column(0)
                 for tag in pc.unique(tags).to_pylist():
-                    values, _ = runs(as_bytes(part.column(1).filter(pc.equal(tags, tag))))
-                    keys, n = np.unique(values, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([tag] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)],
-                        ["lang", "run", "n"],
-                    )
+                    for group, _ in _groups(as_bytes(part.column(1).filter(pc.equal(tags, tag)))):
+                        keys, n = np.unique(runs(group)[0], return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([tag] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)],
+                            ["lang", "run", "n"],
+                        )
 
     counts = few.mapInArrow(count, "lang string, run long, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # at most one row per byte of the sample
@@ -159,23 +167,40 @@ def _bits(values: np.ndarray, tree: list[tuple[np.ndarray, ...]]) -> np.ndarray:
     return bits
 
 
+def _groups(texts: list[bytes]) -> Iterator[tuple[list[bytes], list[int]]]:
+    """Parts of the texts, about PART bytes at a time, and the number of the text that each belongs to."""
+    group, owner, held = [], [], 0
+    for i, text in enumerate(texts):
+        for part in led(text):
+            if held and held + len(part) > PART + ORDER:
+                yield group, owner
+                group, owner, held = [], [], 0
+            group.append(part)
+            owner.append(i)
+            held += len(part)
+    if group:
+        yield group, owner
+
+
 def code_lengths(texts: list[bytes], model: dict) -> np.ndarray:
     """Bits that each language's model needs for each text: one row per text, one column per language."""
-    values, sizes = runs(texts)
     out = np.zeros((len(texts), len(model["names"])))
-    if not len(values):
-        return out
-    distinct, where = np.unique(values, return_inverse=True)
-    table = np.empty((len(distinct), len(model["names"])), np.float32)
-    at, hit = _found(model["known"], distinct)
-    table[hit] = model["bits"][at[hit]]
-    rest = distinct[~hit]
-    for k, tree in enumerate(model["trees"]):
-        table[~hit, k] = _bits(rest, tree)
-    some = np.flatnonzero(sizes)
-    first = np.cumsum(sizes)[some] - sizes[some]
-    for k in range(table.shape[1]):
-        out[some, k] = np.add.reduceat(table[where, k], first, dtype=np.float64)
+    for group, owner in _groups(texts):
+        values, sizes = runs(group)
+        if not len(values):
+            continue
+        distinct, where = np.unique(values, return_inverse=True)
+        table = np.empty((len(distinct), len(model["names"])), np.float32)
+        at, hit = _found(model["known"], distinct)
+        table[hit] = model["bits"][at[hit]]
+        rest = distinct[~hit]
+        for k, tree in enumerate(model["trees"]):
+            table[~hit, k] = _bits(rest, tree)
+        some = np.flatnonzero(sizes)
+        first = np.cumsum(sizes)[some] - sizes[some]
+        for k in range(table.shape[1]):
+            part = np.add.reduceat(table[where, k], first, dtype=np.float64)
+            np.add.at(out[:, k], np.array(owner)[some], part)
     return out
 
 

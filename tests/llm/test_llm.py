@@ -171,7 +171,7 @@ def test_language_and_rejection(docs, empty):
 
 
 def test_ppm_probabilities_sum_to_less_than_one():
-    values, _ = language_id.runs([b"abracadabra " * 20])
+    values, _ = language_id.runs(language_id.led(b"abracadabra " * 20))
     keys, n = np.unique(values, return_counts=True)
     tree = language_id._tree(keys, n)
     after = np.uint64(int.from_bytes(b"abra", "big") << 8) + np.arange(256, dtype=np.uint64)
@@ -179,6 +179,19 @@ def test_ppm_probabilities_sum_to_less_than_one():
     assert 0.5 < total <= 1.0 + 1e-6
 
 
+def test_ppm_codes_long_texts_in_parts(monkeypatch):
+    text = words(random.Random(8), 900).encode()
+    texts = [text, b"", text[:7], text[100:2500]]
+    keys, n = np.unique(language_id.runs(language_id.led(text[:3000]))[0], return_counts=True)
+    tree = language_id._tree(keys, n)
+    model = {"names": ["a"], "trees": [tree], "known": keys, "bits": language_id._bits(keys, tree)[:, None]}
+    whole = language_id.code_lengths(texts, model)
+    values = np.array([int.from_bytes((language_id.START + text)[i : i + 5], "big") for i in range(len(text))], np.uint64)
+    assert whole[0, 0] == pytest.approx(language_id._bits(values, tree).sum(dtype=float))
+    monkeypatch.setattr(language_id, "PART", 64)
+    assert language_id.code_lengths(texts, model) == pytest.approx(whole)
+
+
 def test_toxicity_finds_the_sentence(spark):
     rng = random.Random(5)
     rows = [(i, ". ".join(words(rng, 8) for _ in range(6)), 0) for i in range(300)]
