@@ -253,6 +253,20 @@ def test_neighbours_by_brute_force(spark):
     assert neighbours.nearest(df.where("false")).count() == 0
 
 
+def test_neighbours_recall_does_not_fall_with_the_shard(spark):
+    x = np.random.default_rng(6).standard_normal((4096, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for n in (2000, 4096):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:n])], "vec_id long, embedding array<double>")
+        found = {(r["query_id"], r["vec_id"]) for r in neighbours.nearest(df).collect()}
+        hits = 0
+        for q in range(0, n, 50):
+            score = x[:n] @ x[q]
+            score[q] = -9
+            hits += sum((q, int(i)) in found for i in np.argsort(-score)[:5])
+        assert hits / (5 * len(range(0, n, 50))) >= 0.9
+
+
 def test_decontamination_edges(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 100)  # several blocks
     long_item = " ".join(f"w{i}" for i in range(20))
