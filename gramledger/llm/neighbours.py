@@ -6,7 +6,8 @@ one bit at a time, until the prefixes match enough vectors in all, which is a sh
 count, so that recall does not fall as shards fill. Those are compared by their exact cosine.
 
 The vectors are dealt to shards by a hash of their id, each with a forest of its own; the query set visits every shard
-in blocks and the best of all shards remain. There is no cap on a prefix: the last step up takes all it finds. Equal
+and the best of all shards remain. A task reads its rows as a stream, for each shard the vectors first and then the
+queries, of which it holds no more than a block at a time. There is no cap on a prefix: the last step up takes all it finds. Equal
 vectors are one entry of the index that stands for its smallest ids, as many as can be in a result, so a hot vector
 costs a row per task before the shuffle.
 """
@@ -30,7 +31,7 @@ SHARD_ROWS = 4096
 #: least ENOUGH. Chosen by recall against brute force on a table of 2,000 and on full shards.
 SHARE = 1.2
 ENOUGH = 400
-#: Queries that visit a shard together.
+#: Queries that visit a shard together, and those that a task holds.
 QUERY_BLOCK = 512
 SEED = 7
 
@@ -90,6 +91,78 @@ def valid(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
 
 
+class Shard:
+    """The vectors of a shard, gathered part by part, and a forest for each length of them."""
+
+    def __init__(self):
+        self.parts: list[tuple[pa.Array, pa.Array]] = []
+        self.forests: dict[int, tuple[Forest, list[list[int]]]] | None = None
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append((part.column(3), part.column(4)))
+
+    def forest(self, width: int) -> tuple[Forest, list[list[int]]] | None:
+        if self.forests is None:
+            self.forests = {}
+            if self.parts:
+                vectors, ids = (pa.concat_arrays(x) for x in zip(*self.parts))
+                for w, (at, values) in by_width(vectors).items():
+                    self.forests[w] = Forest(values), ids.take(pa.array(at)).to_pylist()
+            self.parts = []
+        return self.forests.get(width)
+
+
+def by_width(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length of vectors, where they are and their numbers, one row per vector."""
+    widths = np.diff(vectors.offsets.to_numpy())
+    found = {}
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == width)
+        found[width] = at, vectors.take(pa.array(at)).flatten().to_numpy().astype(np.float64).reshape(-1, width)
+    return found
+
+
+def blocks(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``limit`` rows that are all of one shard, and all vectors or all queries."""
+    shard, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero((shard[1:] != shard[:-1]) | (asks[1:] != asks[:-1])) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+        for start in range(a, b, limit):
+            yield batch.slice(start, min(limit, b - start))
+
+
+def answers(shard: Shard, asked: pa.RecordBatch, k: int, enough: int, share: float) -> pa.RecordBatch:
+    """(query_id, vec_id, score): the ``k`` best of the shard for each query of a block."""
+    out: list[tuple[int, int, float]] = []
+    for width, (rows, queries) in by_width(asked.column(3)).items():
+        known_here = shard.forest(width)
+        if known_here is None:
+            continue
+        forest, ids = known_here
+        names = asked.column(2).take(pa.array(rows)).to_pylist()
+        hits = max(enough, int(share * len(forest.vectors)))
+        for q, at in enumerate(forest.candidates(queries, hits)):
+            score = forest.scores(queries[q], at)
+            best: list[tuple[float, int]] = []
+            own, floor = names[q], np.inf
+            for i in np.argsort(-score, kind="stable").tolist():
+                s = float(score[i])
+                if len(best) > k and s < floor:  # equal scores go on, since the smaller id wins
+                    break
+                known = ids[at[i]]
+                if own in known and np.array_equal(forest.vectors[at[i]], queries[q]):
+                    known = known.copy()
+                    known.remove(own)
+                best += [(s, other) for other in known]
+                floor = s
+            best.sort(key=lambda b: (-b[0], b[1]))
+            out += [(own, other, s) for s, other in best[:k]]
+    kinds = (pa.int64(), pa.int64(), pa.float64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], ["query_id", "vec_id", "score"]
+    )
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame | None = None,
@@ -125,58 +198,30 @@ def nearest(
     asked = written(asked, "queries")
     total = entries.count()
     shards = max(1, -(-total // shard_rows))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    dealt = entries.withColumn("shard", F.pmod(F.xxhash64("v", F.lit(1)), F.lit(shards)))
-    every_shard = asked.withColumns(
-        {
-            "block": F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)),
-            "shard": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))),
-        }
-    )
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
-        widths = np.array([len(x) for x in left["v"].to_pylist()])
-        ids = left["ids"].to_pylist()
-        query_width = np.diff(right["v"].combine_chunks().offsets.to_numpy())
-        for width in np.unique(widths).tolist():
-            mine = np.flatnonzero(widths == width)
-            theirs = np.flatnonzero(query_width == width)
-            if not len(theirs):
-                continue
-            wanted = np.array(right["v"].take(pa.array(theirs)).to_pylist(), np.float64)
-            names = right["vec_id"].take(pa.array(theirs)).to_pylist()
-            forest = Forest(np.array(left["v"].take(pa.array(mine)).to_pylist(), np.float64))
-            hits = max(enough, int(share * len(mine)))
-            for start in range(0, len(theirs), QUERY_BLOCK):
-                part = wanted[start : start + QUERY_BLOCK]
-                for q, at in enumerate(forest.candidates(part, hits)):
-                    score = forest.scores(part[q], at)
-                    best: list[tuple[float, int]] = []
-                    own, floor = names[start + q], np.inf
-                    for i in np.argsort(-score, kind="stable").tolist():
-                        s = float(score[i])
-                        if len(best) > k and s < floor:  # equal scores go on, since the smaller id wins
-                            break
-                        known = ids[mine[at[i]]]
-                        if own in known and np.array_equal(forest.vectors[at[i]], part[q]):
-                            known = known.copy()
-                            known.remove(own)
-                        best += [(s, other) for other in known]
-                        floor = s
-                    best.sort(key=lambda b: (-b[0], b[1]))
-                    out += [(names[start + q], other, s) for s, other in best[:k]]
-        return pa.table(
-            {
-                "query_id": pa.array([o[0] for o in out], pa.int64()),
-                "vec_id": pa.array([o[1] for o in out], pa.int64()),
-                "score": pa.array([o[2] for o in out], pa.float64()),
-            }
-        )
-
-    found = (
-        dealt.groupBy("shard").cogroup(every_shard.groupBy("shard")).applyInArrow(search, "query_id long, vec_id long, score double")
+    shard = F.pmod(F.xxhash64("v", F.lit(1)), F.lit(shards))
+    dealt = entries.select(shard.alias("shard"), F.lit(False).alias("asks"), F.lit(None).cast("long").alias("vec_id"), "v", "ids")
+    every_shard = asked.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+        F.lit(True).alias("asks"),
+        "vec_id",
+        "v",
+        F.lit(None).cast("array<bigint>").alias("ids"),
     )
+    # a shard's rows come one after the other, its vectors before the queries
+    stream = dealt.union(every_shard).repartition("shard").sortWithinPartitions("shard", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard = -1, None
+        for batch in batches:
+            for part in blocks(batch, QUERY_BLOCK):
+                if part.column(0)[0].as_py() != at:
+                    at, shard = part.column(0)[0].as_py(), Shard()
+                if part.column(1)[0].as_py():
+                    yield answers(shard, part, k, enough, share)
+                else:
+                    shard.add(part)
+
+    found = stream.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

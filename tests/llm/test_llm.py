@@ -10,6 +10,7 @@ from pathlib import Path
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -267,6 +268,29 @@ def test_neighbours_recall_does_not_fall_with_the_shard(spark):
         assert hits / (5 * len(range(0, n, 50))) >= 0.9
 
 
+def test_neighbours_hold_a_block_of_queries(spark, monkeypatch):
+    def cogroup(*args):
+        raise AssertionError("all queries of a shard would meet in one group")
+
+    grouped = type(spark.range(1).groupBy("id"))
+    monkeypatch.setattr(grouped, "cogroup", cogroup)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    x = np.random.default_rng(8).standard_normal((300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, every=3, shard_rows=100, enough=10**6).collect()  # all are compared
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = {}
+    for q in range(0, 300, 3):
+        score = unit @ unit[q]
+        score[q] = -9
+        want |= {(q, r + 1): int(i) for r, i in enumerate(np.argsort(-score)[:5])}
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in found} == want
+    # a block has rows of one shard and one kind, whatever the batches are
+    batch = pa.table({"shard": [0] * 20 + [1] * 9, "asks": [False] * 3 + [True] * 17 + [False] * 9}).to_batches()[0]
+    parts = [(p.num_rows, p.column(0).unique().to_pylist(), p.column(1).unique().to_pylist()) for p in neighbours.blocks(batch, 7)]
+    assert parts == [(3, [0], [False]), (7, [0], [True]), (7, [0], [True]), (3, [0], [True]), (7, [1], [False]), (2, [1], [False])]
+
+
 def test_decontamination_edges(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 100)  # several blocks
     long_item = " ".join(f"w{i}" for i in range(20))
