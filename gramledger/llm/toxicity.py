@@ -23,7 +23,7 @@ SLOTS = 1 << 18
 STEPS = 80
 #: Penalty on the weights' size, per document: what a word must explain to count at all.
 PENALTY = 5e-4
-#: Share of the sample's documents that must hold a word for it to get a weight.
+#: Share of the sample's documents that hold a common word. Rarer ones need evidence, and are penalised in proportion.
 COMMON = 0.01
 #: Bytes of the sample that are cut into words at once.
 CUT = 1 << 20
@@ -53,25 +53,39 @@ class Bags:
         self.end = ends[new + self.count - 1] - at[self.owner] if len(new) else begin
 
 
+def telling(held: np.ndarray, hurt: np.ndarray, rate: float) -> np.ndarray:
+    """Whether ``hurt`` of ``held`` texts being toxic is beyond the chance of any word (Chernoff bound)."""
+    share = hurt / np.maximum(held, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        apart = np.where(share > 0, share * np.log(share / rate), 0.0)
+        apart += np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0.0)
+    return (share > rate) & (held * apart >= np.log(max(2, np.count_nonzero(held))))
+
+
 class Sample:
-    """Sentences of the texts to learn from, with only those words that ``COMMON`` of the texts hold.
+    """Sentences of the texts to learn from, with only those words that can get a weight.
 
-    Other words have no weight. Texts are cut into words about ``CUT`` bytes at a time, since the arrays made for
+    These are the words that ``COMMON`` of the texts hold, and of the rarer ones those that toxic texts hold more often
+    than chance gives any of so many words. How many texts that takes grows with the logarithm of the number of words
+    only, not with the sample. Texts are cut into words about ``CUT`` bytes at a time, since the arrays made for
     that take many times the text; what is kept takes some 8 bytes a word.
     """
 
-    def __init__(self, texts: list[bytes]):
-        held, parts, start = np.zeros(SLOTS, np.int64), [], 0
+    def __init__(self, texts: list[bytes], toxic: np.ndarray):
+        held, hurt, parts, start = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64), [], 0
         ends = np.cumsum([len(t) for t in texts])
         while start < len(texts):
             taken = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, taken + CUT)))
             bags = Bags(texts[start:stop])
             sentence = np.repeat(np.arange(len(bags.first)), bags.count)
-            held += np.bincount(np.unique(bags.owner[sentence] * SLOTS + bags.slots) % SLOTS, minlength=SLOTS)
+            owner, slot = np.divmod(np.unique(bags.owner[sentence] * SLOTS + bags.slots), SLOTS)
+            held += np.bincount(slot, minlength=SLOTS)
+            hurt += np.bincount(slot[toxic[start:stop][owner]], minlength=SLOTS)
             parts.append((bags.slots.astype(np.int32), bags.count, bags.text_count))
             start = stop
-        usable = held >= COMMON * len(texts)
+        usable = (held >= COMMON * len(texts)) | telling(held, hurt, toxic.mean())
+        self.penalty = PENALTY * np.minimum(1.0, held / (COMMON * len(texts)))
         slots, counts = [], []
         for words, count, _ in parts:
             kept = usable[words]
@@ -99,7 +113,8 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     weights, bias = np.zeros(SLOTS), -4.0
     if not len(texts) or labels.min() == labels.max():
         return weights, (4.0 if len(texts) and labels.min() == 1 else -30.0)
-    bags = Sample(texts)
+    bags = Sample(texts, labels == 1)
+    penalty = bags.penalty
     first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
     for step in range(1, STEPS + 1):
         logits = sentence_logits(bags, weights, bias)
@@ -109,8 +124,8 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         slope = np.where(labels == 1, -(1 - p) / np.maximum(p, 1e-9), 1.0)
         toward = slope[bags.owner] * np.exp(-np.logaddexp(0.0, -logits)) / len(texts)
         pull = np.bincount(bags.slots, weights=toward[bags.sentence], minlength=SLOTS)
-        at_rest = np.sign(pull) * np.maximum(np.abs(pull) - PENALTY, 0.0)
-        grad = np.append(np.where(weights == 0, at_rest, pull + PENALTY * np.sign(weights)), toward.sum())
+        at_rest = np.sign(pull) * np.maximum(np.abs(pull) - penalty, 0.0)
+        grad = np.append(np.where(weights == 0, at_rest, pull + penalty * np.sign(weights)), toward.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         move = 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)

@@ -208,6 +208,25 @@ def test_toxicity_finds_the_sentence(spark):
     assert toxicity.score(docs, toxicity.learn(docs, none)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_learns_rare_insults():
+    """Ten insults, each in 0.3 % of the documents, among thousands of words as rare."""
+    rng = random.Random(5)
+    texts, labels = [], []
+    for i in range(6000):
+        sentences = [[f"w{int(rng.paretovariate(0.6))}" for _ in range(10)] for _ in range(4)]
+        if i % 1000 < 30:
+            sentences[rng.randrange(4)].insert(rng.randrange(10), f"insult{i % 10}")
+        texts.append(". ".join(map(" ".join, sentences)).encode())
+        labels.append(int(i % 1000 < 30))
+    weights, bias = toxicity.train(texts[:4000], np.array(labels[:4000]))
+    bags = toxicity.Bags(texts[4000:])
+    logits = toxicity.sentence_logits(bags, weights, bias)
+    predicted = -np.expm1(toxicity.sums(toxicity.clean_chance(logits), bags.text_first, bags.text_count)) >= 0.5
+    toxic = np.array(labels[4000:]) == 1
+    assert predicted[toxic].sum() >= 54  # of 60
+    assert predicted[~toxic].sum() <= 5
+
+
 def test_language_model_base_and_distribution(docs, rows, empty):
     def tokens(text):
         return [w for w in (text or "").encode().lower().split()] + ["end"]
