@@ -7,7 +7,8 @@ statistics are frozen after learning, so the exact code length of a byte depends
 and each distinct run of ``ORDER + 1`` bytes of a chunk is coded once.
 
 Learning uses a documented bounded sample: at most about ``SAMPLE_BYTES`` of distinct whole texts per language and
-``SAMPLE_TOTAL`` in all, chosen by a hash of the text. Scoring covers every whole text.
+``SAMPLE_TOTAL`` in all, chosen by a hash of the text. Every tag that has text is learned: the more there are, the
+smaller the share of each. Scoring covers every whole text.
 """
 
 from __future__ import annotations
@@ -26,8 +27,12 @@ ORDER = 4
 #: Bytes of text learned per language, and in all.
 SAMPLE_BYTES = 3_000_000
 SAMPLE_TOTAL = 48_000_000
-#: Languages learned: those with most text. A tag beyond that is never predicted.
-MAX_LANGUAGES = 64
+#: Code lengths that are held at once: those of the sample's runs, and those of texts, in all languages. Beyond that,
+#: the trees are asked anew, and fewer texts are taken together.
+CELLS = 1 << 26
+TEXT_CELLS = 1 << 22
+#: Languages whose code lengths of a group of texts are looked up together.
+LANGUAGES = 16
 #: What stands before the first byte of every text.
 START = b"\n" * ORDER
 #: Bytes of text that are coded at once. A longer text is coded in parts, each with the ORDER bytes before it.
@@ -59,23 +64,19 @@ def _sample(docs: DataFrame, text: str, lang: str) -> tuple[list[str], DataFrame
     known = docs.select(F.col(quoted(lang)).cast("string").alias("lang"), F.col(quoted(text)).alias("text")).where(
         F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     )
-    sizes = (
-        known.groupBy("lang")
-        .agg(F.sum(F.octet_length("text")).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    )
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()  # a row per language
     if not sizes:
         return None
-    budget = min(SAMPLE_BYTES, SAMPLE_TOTAL // len(sizes))
+    budget = max(1, min(SAMPLE_BYTES, SAMPLE_TOTAL // len(sizes)))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for row in sizes:
-        chosen |= (F.col("lang") == row["lang"]) & (place < max(64, int((1 << 20) * 1.5 * budget / row["n"])))
+    limits = docs.sparkSession.createDataFrame(
+        [(row["lang"], max(64, int((1 << 20) * 1.5 * budget / row["n"]))) for row in sizes], "lang string, below long"
+    )
     before = Window.partitionBy("lang").orderBy(place, "text").rowsBetween(Window.unboundedPreceding, -1)
     few = (
-        known.where(chosen)
+        known.join(F.broadcast(limits), "lang")
+        .where(place < F.col("below"))
+        .select("lang", "text")
         .distinct()
         .withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
         .where(F.col("before") < budget)
@@ -110,6 +111,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict | Non
         part = table.filter(pc.equal(table["lang"], name))
         trees.append(_tree(part["run"].to_numpy().view(np.uint64), part["n"].to_numpy().astype(np.int64)))
     known = np.unique(table["run"].to_numpy().view(np.uint64))
+    if len(known) * len(names) > CELLS:  # too many languages: all their runs are looked up in the trees
+        known = known[:0]
     return {
         "names": names,
         "trees": trees,
@@ -190,17 +193,21 @@ def code_lengths(texts: list[bytes], model: dict) -> np.ndarray:
         if not len(values):
             continue
         distinct, where = np.unique(values, return_inverse=True)
-        table = np.empty((len(distinct), len(model["names"])), np.float32)
-        at, hit = _found(model["known"], distinct)
-        table[hit] = model["bits"][at[hit]]
+        if len(model["known"]):
+            at, hit = _found(model["known"], distinct)
+        else:
+            at, hit = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
         rest = distinct[~hit]
-        for k, tree in enumerate(model["trees"]):
-            table[~hit, k] = _bits(rest, tree)
         some = np.flatnonzero(sizes)
         first = np.cumsum(sizes)[some] - sizes[some]
-        for k in range(table.shape[1]):
-            part = np.add.reduceat(table[where, k], first, dtype=np.float64)
-            np.add.at(out[:, k], np.array(owner)[some], part)
+        for start in range(0, len(model["names"]), LANGUAGES):
+            trees = model["trees"][start : start + LANGUAGES]
+            table = np.empty((len(distinct), len(trees)), np.float32)
+            table[hit] = model["bits"][at[hit], start : start + LANGUAGES]
+            for k, tree in enumerate(trees):
+                table[~hit, k] = _bits(rest, tree)
+                part = np.add.reduceat(table[where, k], first, dtype=np.float64)
+                np.add.at(out[:, start + k], np.array(owner)[some], part)
     return out
 
 
@@ -228,10 +235,14 @@ def predict(
                 none = pa.nulls(len(texts), pa.float64())
                 return [pa.array(["und"] * len(texts)), pc.fill_null(none, 0.0), none]
             raw = [t if some else b"" for t, some in zip(as_bytes(texts), letters)]
-            bits = code_lengths(raw, frozen)
-            best = bits.argmin(1)
-            least = bits.min(1)
-            share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
+            best, least, share = np.zeros(len(raw), np.int64), np.zeros(len(raw)), np.zeros(len(raw))
+            few = max(1, TEXT_CELLS // len(frozen["names"]))
+            for start in range(0, len(raw), few):
+                span = slice(start, start + few)
+                bits = code_lengths(raw[span], frozen)
+                best[span] = bits.argmin(1)
+                least[span] = bits.min(1)
+                share[span] = 1 / np.exp2(np.maximum(least[span, None] - bits, -1000)).sum(1)
             size = np.maximum(1, np.fromiter(map(len, raw), np.int64, len(raw)))
             return [
                 pa.array([frozen["names"][k] if some else "und" for k, some in zip(best.tolist(), letters)]),

@@ -171,6 +171,21 @@ def test_language_and_rejection(docs, empty):
     assert none is None and language_id.predict(docs, none).where("lang_pred != 'und'").count() == 0
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(70 * 6)]  # six letters of its own for each of 70 languages
+    text = lambda k, n: "".join(rng.choice(letters[6 * k : 6 * k + 6] + [" "]) for _ in range(n))
+    rows = [(k, text(k, 400 - k), f"x{k:02}") for k in range(70)]
+    asked = spark.createDataFrame([(k, text(k, 60)) for k in range(70)], "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: tuple(r) for r in language_id.predict(asked, language_id.learn(docs)).collect()}
+    assert all(found[k][1] == f"x{k:02}" for k in range(70))
+    monkeypatch.setattr(language_id, "CELLS", 0)  # trees instead of a table, and few texts together
+    monkeypatch.setattr(language_id, "TEXT_CELLS", 200)
+    again = {r["doc_id"]: tuple(r) for r in language_id.predict(asked, language_id.learn(docs)).collect()}
+    assert all(again[k] == pytest.approx(found[k]) for k in range(70))
+
+
 def test_ppm_probabilities_sum_to_less_than_one():
     values, _ = language_id.runs(language_id.led(b"abracadabra " * 20))
     keys, n = np.unique(values, return_counts=True)
