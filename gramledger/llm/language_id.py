@@ -7,7 +7,7 @@ statistics are frozen after learning, so the exact code length of a byte depends
 and each distinct run of ``ORDER + 1`` bytes of a chunk is coded once.
 
 Learning uses a documented bounded sample: at most about ``SAMPLE_BYTES`` of distinct whole texts per language and
-``SAMPLE_TOTAL`` in all, chosen by a hash of the text. Every tag that has text is learned: the more there are, the
+``SAMPLE_TOTAL`` in all, those of smallest hash until that is reached. Every tag that has text is learned: the more there are, the
 smaller the share of each. Scoring covers every whole text.
 """
 
@@ -21,12 +21,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import as_bytes, cut, joined, map_texts, quoted
+from gramledger.llm.common import as_bytes, cut, joined, map_texts, quoted, written
 
 ORDER = 4
 #: Bytes of text learned per language, and in all.
 SAMPLE_BYTES = 3_000_000
 SAMPLE_TOTAL = 48_000_000
+#: Bits of the hash that texts are chosen by, and ranges of it per doubling.
+PLACES = 20
+FINE = 64
 #: Code lengths that are held at once: those of the sample's runs, and those of texts, in all languages. Beyond that,
 #: the trees are asked anew, and fewer texts are taken together.
 CELLS = 1 << 26
@@ -64,25 +67,38 @@ def _sample(docs: DataFrame, text: str, lang: str) -> tuple[list[str], DataFrame
     known = docs.select(F.col(quoted(lang)).cast("string").alias("lang"), F.col(quoted(text)).alias("text")).where(
         F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     )
-    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()  # a row per language
-    if not sizes:
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << PLACES))
+    # bytes of distinct texts by ranges of the hash, finer towards its start: at most PLACES * FINE rows a language
+    ranges = (
+        known.select("lang", F.xxhash64("text").alias("h"), F.octet_length("text").alias("n"))
+        .groupBy("lang", "h")
+        .agg(F.max("n").alias("n"))
+        .groupBy("lang", F.floor(F.log2(F.pmod("h", F.lit(1 << PLACES)) + 1) * FINE).alias("range"))
+        .agg(F.sum("n").alias("n"))
+    )
+    ranges = written(ranges, "language-ranges")
+    tags = [r["lang"] for r in ranges.select("lang").distinct().collect()]
+    if not tags:
         return None
-    budget = max(1, min(SAMPLE_BYTES, SAMPLE_TOTAL // len(sizes)))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    limits = docs.sparkSession.createDataFrame(
-        [(row["lang"], max(64, int((1 << 20) * 1.5 * budget / row["n"]))) for row in sizes], "lang string, below long"
+    budget = max(1, min(SAMPLE_BYTES, SAMPLE_TOTAL // len(tags)))
+    lower = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    limits = (
+        ranges.withColumn("lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+        .where(F.col("lower") < budget)
+        .groupBy("lang")
+        .agg(F.max("range").alias("last"))
     )
     before = Window.partitionBy("lang").orderBy(place, "text").rowsBetween(Window.unboundedPreceding, -1)
     few = (
-        known.join(F.broadcast(limits), "lang")
-        .where(place < F.col("below"))
+        known.join(F.broadcast(limits), "lang")  # a row per language
+        .where(F.floor(F.log2(place + 1) * FINE) <= F.col("last"))
         .select("lang", "text")
         .distinct()
         .withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
         .where(F.col("before") < budget)
         .select("lang", "text")
     )
-    return sorted(r["lang"] for r in sizes), few
+    return sorted(tags), few
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict | None:

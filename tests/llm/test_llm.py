@@ -186,6 +186,20 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert all(again[k] == pytest.approx(found[k]) for k in range(70))
 
 
+def test_language_sample_is_filled(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 20_000)
+    rng = random.Random(10)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(text(1000), "copies") for _ in range(100)] + [(text(1000), "copies")] * 10_000
+    rows += [(text(20), "long") for _ in range(30)] + [(text(3_000_000), "long") for _ in range(2)]
+    _, few = language_id._sample(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    found = {}
+    for r in few.collect():
+        found.setdefault(r["lang"], []).append(r["text"])
+    assert len(found["copies"]) == len(set(found["copies"])) == 20
+    assert sum(map(len, found["long"])) >= 600  # all short ones, or a long one and what is before it
+
+
 def test_ppm_probabilities_sum_to_less_than_one():
     values, _ = language_id.runs(language_id.led(b"abracadabra " * 20))
     keys, n = np.unique(values, return_counts=True)
