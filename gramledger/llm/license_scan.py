@@ -1,7 +1,8 @@
 """License scan: normalised text against license templates by the Dice coefficient of their word bigrams.
 
 Letters are lower-cased, everything but letters, digits and bytes beyond ASCII separates words, and a unit is the set
-of its distinct word pairs. Units are the whole text and each of its lines. A coefficient of ``least`` bounds the size
+of its distinct word pairs. Units are the whole text, each of its lines, and all runs of words, wherever their lines
+end, that begin and end with a pair of the template and are at most as long as it allows. A coefficient of ``least`` bounds the size
 of the other set on both sides, so a unit is compared only with templates of a fitting size, and with none if it
 shares no pair with them. Pairs are compared as 64-bit keys.
 """
@@ -50,6 +51,34 @@ TEMPLATES = {
     "substantial portions of the Software.",
 }
 
+_AS_IS = (
+    "PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN "
+    "NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: Whole texts of those licenses whose template ends before the warranty part.
+WHOLE = {
+    "BSD-2-Clause-whole": TEMPLATES["BSD-2-Clause"] + " THIS SOFTWARE IS " + _AS_IS,
+    "GPL-3.0-notice-whole": TEMPLATES["GPL-3.0-notice"] + " This program is distributed in the hope that it will be "
+    "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+    "PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the "
+    "GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "ISC-whole": TEMPLATES["ISC"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+    "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
+    "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT-text-whole": TEMPLATES["MIT-text"] + " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+    "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+    "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+    "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+    "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
+
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +105,7 @@ class Templates:
         self.pair, self.owner = both[0], both[1].astype(np.int64)
         self.size = np.bincount(self.owner, minlength=len(self.names))
         self.known = np.unique(self.pair)
+        self.length = np.bincount(owner, minlength=len(self.names))
 
     def match(self, texts: list[bytes], by_line: bool, least: float) -> tuple[np.ndarray, ...]:
         """Text, template and coefficient of the matches of at least ``least``; and the unit each is in."""
@@ -110,6 +140,35 @@ class Templates:
         return text_of[some[row[good]]], owner[good], score[good], some[row[good]]
 
 
+    def runs(self, texts: list[bytes], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, template and coefficient of the best runs of words of at least ``least``, a row per begin of a run."""
+        pair, text_of, _ = _pairs(texts, False)
+        found: list[tuple[int, int, float]] = []
+        if not len(pair) or not len(self.known):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.known, pair), len(self.known) - 1)
+        some = np.flatnonzero(self.known[at] == pair)
+        for k, size in enumerate(self.size.tolist()):
+            hits = some[np.isin(pair[some], self.pair[self.owner == k])]
+            # a coefficient of least needs so many shared pairs, and they must lie within the longest run
+            need = max(1, int(np.ceil(size * least / (2 - least) - 1e-9)))
+            longest = int(np.ceil(self.length[k] * (2 - least) / least))
+            if not size or len(hits) < need:
+                continue
+            first, last = hits[: len(hits) - need + 1], hits[need - 1 :]
+            near = first[(last - first < longest) & (text_of[first] == text_of[last])]
+            ends = np.minimum(near + longest, np.searchsorted(text_of, text_of[near], side="right"))
+            for start, end in zip(near.tolist(), ends.tolist()):
+                new = np.zeros(end - start, bool)
+                new[np.unique(pair[start:end], return_index=True)[1]] = True
+                shared = np.zeros(end - start, bool)
+                shared[hits[np.searchsorted(hits, start) : np.searchsorted(hits, end)] - start] = True
+                score = float((2.0 * np.cumsum(new & shared) / (np.cumsum(new) + size)).max())
+                if score >= least:
+                    found.append((int(text_of[start]), k, score))
+        return tuple(np.array([f[i] for f in found], kind) for i, kind in enumerate((np.int64, np.int64, np.float64)))
+
+
 def scan(
     docs: DataFrame,
     text: str = "text",
@@ -119,19 +178,24 @@ def scan(
 ) -> DataFrame:
     """Carried columns with the number of lines that match a template, the best license, and its coefficient.
 
+    The best is that of all units: whole text, lines, and runs of words, which are also compared with ``WHOLE`` unless
+    templates are given. Lines are counted that match by themselves.
     Of equal coefficients the first name in alphabetical order wins. Without a match the license is null and the
     coefficient 0; so it is for null and empty texts. Repeated rows get equal results.
     """
     wanted = TEMPLATES if templates is None else templates
+    longer = {**TEMPLATES, **WHOLE} if templates is None else templates
 
     def kernel():
-        known = Templates(wanted)
+        known, full = Templates(wanted), Templates(longer)
+        place = np.array([full.names.index(n) for n in known.names], np.int64)
 
         def work(texts: pa.Array) -> list[pa.Array]:
             raw = as_bytes(texts)
             lines = known.match(raw, True, least)
             whole = known.match(raw, False, least)
-            owner, name, score = (np.concatenate((a, b)) for a, b in zip(lines[:3], whole[:3]))
+            units = [(m[0], place[m[1]], m[2]) for m in (lines, whole)] + [full.runs(raw, least)]
+            owner, name, score = (np.concatenate(x) for x in zip(*units))
             best: dict[int, tuple[float, int]] = {}
             for t, k, s in zip(owner.tolist(), name.tolist(), score.tolist()):
                 best[t] = min(best.get(t, (1.0, 0)), (-s, k))
@@ -139,7 +203,7 @@ def scan(
             licensed = np.unique(np.stack([lines[0], lines[3]]), axis=1)[0]
             return [
                 pa.array(np.bincount(licensed, minlength=len(raw)).astype(np.int64)),
-                pa.array([None if f is None else known.names[f[1]] for f in found], pa.string()),
+                pa.array([None if f is None else full.names[f[1]] for f in found], pa.string()),
                 pa.array([0.0 if f is None else -f[0] for f in found], pa.float64()),
             ]
 

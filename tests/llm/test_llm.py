@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -384,6 +385,25 @@ def test_licenses(docs, spark, empty):
     assert license_scan.scan(docs).count() == docs.count() and license_scan.scan(empty).count() == 0
 
 
+def test_licenses_over_lines_and_within_them(spark):
+    rng = random.Random(12)
+    prose = " ".join(words(rng, 50) for _ in range(20))
+    wrap = lambda t: "\n".join(textwrap.wrap(t, 79))
+    whole = license_scan.WHOLE["MIT-text-whole"]
+    texts = [
+        (1, wrap(license_scan.TEMPLATES["MIT-text"]) + "\n\n" + prose, "MIT-text"),
+        (2, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + wrap(whole), "MIT-text"),  # both are there
+        (3, f"{prose} This work is licensed under a Creative Commons Attribution 4.0 International License. {prose}", "CC-BY-4.0-notice"),
+        (4, prose, None),
+    ]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    assert {i: found[i]["license"] for i, _, _ in texts} == {i: name for i, _, name in texts}
+    assert all(found[i]["dice"] > 0.95 for i in (1, 2, 3))
+    full = license_scan.Templates({"whole": whole})
+    assert full.runs([texts[1][1].encode()], 0.8)[2].max() == 1.0
+
+
 def test_stages_keep_their_columns(spark, docs, empty, tmp_path):
     bench = spark.createDataFrame([(1, "not in any of the texts at all")], "item_id long, text string")
     bench.write.parquet(f"{tmp_path}/benchmark.parquet")
