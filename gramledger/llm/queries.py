@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramledger.llm import (
+    centroids,
     decontamination,
     language_id,
     license_scan,
@@ -82,6 +83,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), *tokenizer_paths())
 
 
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_neighbours,
         op10_packing,
+        op12_centroids,
     )
 }
 
@@ -123,4 +129,5 @@ ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.scan_sql(),
     "op6_url_filter": url_filter.judge_sql(),
     "op8_decontamination": CONTAMINATION_SQL,
+    "op12_centroids": centroids.cluster_sql(),
 }
