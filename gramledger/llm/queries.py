@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramledger.llm import (
+    bpe_codec,
     centroids,
     decontamination,
     language_id,
@@ -36,6 +37,12 @@ def tokenizer_paths() -> tuple[str, str]:
     return tuple(str(public_tokenizers.path(f"byte_bpe_50k.{kind}")) for kind in ("json", "tiktoken"))
 
 
+def word_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, folder, "documents"))
 
@@ -83,6 +90,17 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), *tokenizer_paths())
 
 
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    found = bpe_codec.encode(read(spark, folder, "documents"), word_tokenizer_path())
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster(read(spark, folder, "embeddings"))
 
@@ -100,6 +118,7 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_neighbours,
         op10_packing,
+        op11_bpe,
         op12_centroids,
     )
 }
