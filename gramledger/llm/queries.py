@@ -16,6 +16,7 @@ from gramledger.llm import (
     lm_score,
     neighbours,
     packing,
+    prefix_trie,
     simhash,
     suffix_dedup,
     toxicity,
@@ -105,6 +106,10 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster(read(spark, folder, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -120,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op10_packing,
         op11_bpe,
         op12_centroids,
+        op13_prefix_trie,
     )
 }
 
@@ -149,4 +155,5 @@ ORACLE: dict[str, str] = {
     "op6_url_filter": url_filter.judge_sql(),
     "op8_decontamination": CONTAMINATION_SQL,
     "op12_centroids": centroids.cluster_sql(),
+    "op13_prefix_trie": prefix_trie.trie_sql(),
 }
