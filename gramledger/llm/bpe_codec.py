@@ -26,6 +26,7 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -60,6 +61,14 @@ def _composing() -> frozenset[str]:
     return frozenset(second)
 
 
+def _byte_names() -> list[str]:
+    """How byte-level vocabularies write a byte: as itself if it can be seen, else as the next letter from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = (b for b in range(0x100) if b not in seen)
+    names = {b: chr(b) for b in seen} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+    return [names[b] for b in range(0x100)]
+
+
 class Kinds(dict):
     """How the tokenizer's pattern sees a character; unsure if that may depend on the characters around it."""
 
@@ -109,6 +118,13 @@ class Codec:
         self.ends = np.array([n.endswith(self.suffix) or n in self.specials for n in self.names])
         self.kinds = Kinds()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        # characters of one or two bytes that the normalizer only lowers, and the pattern for lowered ones
+        sure = [c for c in map(chr, range(0x250)) if self.kinds[c] not in (_SPACE, _UNSURE)]
+        letters, numbers = (re.escape("".join(c for c in sure if self.kinds[c] == k)) for k in (_LETTER, _NUMBER))
+        self.plain = re.compile(f"[{re.escape(''.join(sure))}]+")
+        self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{letters}{numbers}]+")
+        self.byte_names = _byte_names()
 
     # whole texts
 
@@ -152,14 +168,35 @@ class Codec:
             if len(known) > REMEMBERED:
                 known.clear()
                 new = list({s for s in stretches if s})
-            for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[s] = np.array(e.ids, "<i4").tobytes()
+            if len(self.words) > REMEMBERED:
+                self.words.clear()
+            other = []
+            for s in new:
+                if self.plain.fullmatch(s) and not any(t in s for t in self.specials):
+                    known[s] = b"".join(map(self._word, self.pattern.findall(s.lower())))
+                else:
+                    other.append(s)
+            for s, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+                known[s] = array("i", e.ids).tobytes()
         out = np.frombuffer(b"".join([known[s] for s in stretches if s]), "<i4")
         for s in new:
             if len(s) > LONGEST:
                 del known[s]
         return out
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        ids = self.words.get(word)
+        if ids is None:
+            symbols = word if word.isalpha() and word.isascii() else self._symbols(word)
+            ids = array("i", [t.id for t in self.ended.tokenize(symbols)]).tobytes()
+            if len(word) <= LONGEST:
+                self.words[word] = ids
+        return ids
+
+    def _symbols(self, word: str) -> str:
+        return "".join(map(self.byte_names.__getitem__, word.encode()))
+
     # joins
 
     def join(self, text: str, start: int, at: int, end: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
