@@ -3,8 +3,8 @@
 A sequence of ``LIMIT`` tokens that is filled by some multiset of piece lengths is a configuration. The program asks
 for the fewest configurations that cover the histogram of lengths. It has too many columns to write down, so they are
 priced: every length has a weight, a knapsack dynamic program finds the configuration of largest weight, it is used
-for a step, and the weights of the lengths that it covered shrink by a factor (multiplicative weights). Rounding keeps
-whole uses, and packs what they leave over best-fit, a length at a time.
+until a length in it is covered, and the weights of the lengths that it covered shrink by a factor (multiplicative
+weights). Rounding keeps whole uses, and packs what they leave over best-fit, a length at a time.
 
 The program sees the histogram only (at most ``LIMIT`` numbers), so it is the same work for any number of documents.
 Pieces never move through the driver: each is numbered among those of its length, and the plan says which number goes
@@ -19,6 +19,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,12 @@ from gramledger.llm.common import cut, quoted, written
 
 LIMIT = 1024
 END = 2
-#: Pricing steps at most; the share of what a configuration could cover that one step gives it; how fast the weight
-#: of a length falls as it is covered.
-STEPS = 800
-SHARE = 0.25
-RATE = 1.0
+#: How fast the weight of a length falls as it is covered; steps between two bounds; the share of a sequence that a
+#: configuration may leave empty is one over ROOM; the shares of fractional uses that roundings keep.
+RATE = 0.1
+BOUNDS = 64
+ROOM = 32
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
 
 # Classes of characters below 0x250, as the tokenizer's pattern tells them apart.
 _PLAIN = 0x250
@@ -195,53 +197,70 @@ def pieces(
     return frame.mapInArrow(run, schema)
 
 
-def _best(value: np.ndarray, limit: int) -> np.ndarray:
-    """Knapsack: the multiset of lengths of largest value that fits, as a count per length."""
+def knapsack(value: np.ndarray, most: np.ndarray, limit: int) -> np.ndarray:
+    """The multiset of lengths of largest value that fits, as a count per length; ``most[n]`` of length n at most.
+
+    Counts are taken in powers of two, so a length is a few items. Of equal values the one with long pieces wins:
+    what is left then is short, and easy to place.
+    """
     best = np.zeros(limit + 1)
-    pick = np.zeros(limit + 1, np.int64)
-    for room in range(1, limit + 1):
-        total = best[room - 1 :: -1] + value[1 : room + 1]
-        k = int(total.argmax())
-        if total[k] > best[room - 1]:
-            best[room], pick[room] = total[k], k + 1
-        else:
-            best[room] = best[room - 1]
+    items = []
+    for n in np.flatnonzero(most).tolist():
+        left, k = min(int(most[n]), limit // n), 1
+        while left:
+            k = min(k, left)
+            left -= k
+            total = best[: limit + 1 - n * k] + value[n] * k
+            taken = total >= best[n * k :] * (1 - 1e-12)
+            np.copyto(best[n * k :], total, where=taken)
+            items.append((n, k, taken))
+            k *= 2
     count = np.zeros(limit + 1, np.int64)
     room = limit
-    while room > 0:
-        if pick[room]:
-            count[pick[room]] += 1
-            room -= pick[room]
-        else:
-            room -= 1
+    for n, k, taken in reversed(items):
+        if room >= n * k and taken[room - n * k]:
+            count[n] += k
+            room -= n * k
     return count
 
 
-def configurations(histogram: np.ndarray, limit: int = LIMIT) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often the fractional solution uses them. ``histogram[n]``: pieces of length n.
+def configurations(histogram: np.ndarray, limit: int = LIMIT) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """Configurations with how often the fractional solution uses them, and a bound on the number of sequences.
 
-    A length's price is its length times a weight that falls as the length is covered. Pricing stops when no full
-    configuration is left; what is uncovered then is for the rounding.
+    ``histogram[n]``: pieces of length n. A length's price is its length times a weight that falls by a factor as the
+    length is covered. The dearest configuration is used until a length in it is covered; if it leaves room, the
+    fullest one is. Pricing stops when even that leaves more than a ``ROOM``-th of a sequence; what is uncovered then
+    is for the rounding.
+
+    Any prices give a bound: all pieces together cost no more than the dearest configuration does per sequence. The
+    bound is the largest one that the prices of the steps, and a price of one for lengths above half, give.
     """
-    demand = histogram.astype(float)
     lengths = np.arange(limit + 1)
-    left = demand.copy()
+    left = histogram.astype(float)
     weight = np.ones(limit + 1)
     use: dict[bytes, float] = {}
-    for _ in range(STEPS):
-        config = _best(np.where(left > 0, weight * lengths, 0.0), limit)
-        config = np.minimum(config, histogram)
+    bound = float(histogram[limit // 2 + 1 :].sum())
+    step = 0
+    while left.any():
+        price = weight * lengths
+        if step % BOUNDS == 0:
+            dearest = price @ knapsack(price, histogram, limit)
+            bound = max(bound, price @ histogram / dearest)
+        step += 1
+        open_ = np.ceil(left - 1e-9).astype(np.int64)
+        config = knapsack(price, open_, limit)
+        if config @ lengths < limit:
+            config = knapsack(lengths.astype(float), open_, limit)
+            if config @ lengths < limit - limit // ROOM:
+                break
         some = config > 0
-        if limit - int((config * lengths).sum()) > limit // 512:
-            break
-        most = (left[some] / config[some]).min()
-        step = most if most <= 1 else max(1.0, SHARE * most)
-        use[config.tobytes()] = use.get(config.tobytes(), 0.0) + step
-        left[some] = np.maximum(0.0, left[some] - step * config[some])
-        left[left < 1e-9] = 0.0
-        weight[some] *= np.exp(-RATE * step * config[some] / demand[some])
+        amount = (left[some] / config[some]).min()
+        use[config.tobytes()] = use.get(config.tobytes(), 0.0) + amount
+        left[some] -= amount * config[some]
+        left[left < 1e-6] = 0.0
+        weight[some] *= np.exp(-RATE * amount * config[some] / histogram[some])
         weight /= weight.max()
-    return [(np.frombuffer(k, np.int64), v) for k, v in use.items()]
+    return [(np.frombuffer(k, np.int64), v) for k, v in use.items()], bound
 
 
 def best_fit(histogram: np.ndarray, limit: int = LIMIT) -> list[tuple[np.ndarray, int]]:
@@ -285,14 +304,18 @@ def best_fit(histogram: np.ndarray, limit: int = LIMIT) -> list[tuple[np.ndarray
 def rounded(histogram: np.ndarray, limit: int = LIMIT) -> list[tuple[np.ndarray, int]]:
     """Whole uses of configurations that hold every piece: the fewest of several roundings.
 
-    A rounding keeps the whole part of a share of each fractional use and packs the rest best-fit.
+    A rounding keeps the whole part of a share of each fractional use, of all configurations or of those that leave no
+    room, and packs the rest best-fit. The last share is none at all: where lengths spread so evenly that no program beats best-fit, as may happen with pieces that are
+    uniform over all lengths, its sequences are taken.
     """
-    columns = configurations(histogram, limit)
+    columns, _ = configurations(histogram, limit)
     best: list[tuple[np.ndarray, int]] = []
-    for share in (1.0, 0.75, 0.5, 0.0):
+    lengths = np.arange(limit + 1)
+    full = [(config, amount) for config, amount in columns if config @ lengths == limit]
+    for share, kept in product(SHARES, (full, columns)):
         left = histogram.astype(np.int64).copy()
         made = []
-        for config, amount in columns:
+        for config, amount in kept:
             some = config > 0
             times = min(int(share * amount + 1e-6), int((left[some] // config[some]).min()))
             if times:

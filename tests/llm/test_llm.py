@@ -163,6 +163,46 @@ def test_packing_plan_is_near_the_bound():
     assert least <= table["sequence"].max() + 1 <= 1.02 * max(least, histogram[513:].sum())
 
 
+@pytest.mark.parametrize("kind", ["short", "wide", "uniform", "few"])
+def test_configurations_carry_the_packing(kind):
+    rng = np.random.default_rng(4)
+    limit = 256
+    sizes = {
+        "short": np.clip(rng.lognormal(3.8, 0.7, 20_000), 1, limit - 1),
+        "wide": np.clip(rng.lognormal(4.4, 0.9, 20_000), 1, limit - 1),
+        "uniform": rng.integers(1, limit, 20_000),
+        "few": rng.choice([150, 100, 53, 3, 1], 20_000),
+    }[kind].astype(np.int64)
+    histogram = np.bincount(sizes, minlength=limit + 1)
+    columns, bound = packing.configurations(histogram, limit)
+    assert columns and all(c @ np.arange(limit + 1) <= limit and (c <= histogram).all() for c, _ in columns)
+    covered = sum(c * amount for c, amount in columns)
+    assert (covered <= histogram + 1e-3).all() and covered.sum() > 0.9 * histogram.sum()
+    made = packing.rounded(histogram, limit)
+    assert (sum(c * times for c, times in made) == histogram).all()
+    number, plain = (sum(times for _, times in bins) for bins in (made, packing.best_fit(histogram, limit)))
+    assert bound <= number <= plain and number <= 1.01 * bound + np.count_nonzero(histogram)
+    if kind in ("short", "wide"):  # the program's own bins, not best-fit's
+        assert number < plain and any((c == d).all() for c, _ in made for d, _ in columns)
+
+
+def test_knapsack_by_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        most = rng.integers(0, 3, 13)
+        most[0] = 0
+        value = rng.random(13)
+        best = {0: 0.0}
+        for n in range(1, 13):
+            for _ in range(most[n]):
+                for room, worth in list(best.items()):
+                    if room + n <= 12:
+                        best[room + n] = max(best.get(room + n, 0.0), worth + value[n])
+        found = packing.knapsack(value, most, 12)
+        assert (found <= most).all() and found @ np.arange(13) <= 12
+        assert found @ value == pytest.approx(max(best.values()))
+
+
 def test_language_and_rejection(docs, empty):
     model = language_id.learn(docs)
     found = {r["doc_id"]: r for r in language_id.predict(docs, model).collect()}
