@@ -346,4 +346,12 @@ ORACLE: dict[str, str] = {
                CASE o_orderstatus WHEN 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
                CASE o_orderstatus WHEN 'F' THEN '2024-02-01T00:00:00' ELSE '2024-02-02T00:00:00' END AS ingested_at
         FROM records""",
+    "incremental_recent": f"""
+        WITH {ORDER_RECORDS},
+        runs AS (SELECT * FROM (VALUES (DATE '2024-01-05', 'P'), (DATE '2024-01-10', 'O'), (DATE '2024-02-20', 'PF'),
+            (DATE '2024-02-23', '')) AS t(day, without)),
+        came AS (SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS name, o_orderstatus, day
+            FROM records JOIN runs ON NOT contains(without, o_orderstatus))
+        SELECT o_orderkey, name, o_orderstatus, min(day) AS taken_on FROM came
+        GROUP BY o_orderkey, name, o_orderstatus, (day - DATE '1970-01-01') // 14""",
 }

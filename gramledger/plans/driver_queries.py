@@ -21,7 +21,7 @@ from gramledger.plans.silver import silver_payments, silver_recalls
 from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS, PAYMENT_RECORD
 from gramledger.session import fresh_path, materialize, spread_small
 from gramledger.sources import bronze, pages, snapshot
-from gramledger.streaming.incremental import drop_repeats, land_new_files
+from gramledger.streaming.incremental import drop_repeats, land_new_files, land_recent_files
 
 RUN_TS = "2024-02-01T00:00:00"
 DAY, OTHER_DAY = "2024-02-01", "2024-02-02"
@@ -490,6 +490,36 @@ def incremental_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeats(spark.read.parquet(target), keys, newest_by="ingested_at")
 
 
+def incremental_recent(spark: SparkSession, folder: str) -> DataFrame:
+    """Four deliveries over two months, each order taken once in two weeks; what was taken, and when.
+
+    The second delivery repeats finished orders in the same two weeks, the third open ones weeks later, the fourth all
+    orders when only those of the third are still remembered.
+    """
+    source, target, state = (fresh_path(spark, tag) for tag in ("delivered", "taken", "state"))
+    rows = order_records(spark, folder).select(
+        "o_orderkey", F.split("o_orderpriority", "-").alias("names"), "o_orderstatus"
+    )
+    status = F.col("o_orderstatus")
+
+    def flat(documents: DataFrame) -> DataFrame:
+        return explode_keep(documents, "names", "name", ["o_orderkey", "o_orderstatus"])
+
+    deliveries = [
+        ("2024-01-05T00:00:00", rows.where(status != "P")),
+        ("2024-01-10T00:00:00", rows.where(status != "O")),
+        ("2024-02-20T00:00:00", rows.where(status == "O")),
+        ("2024-02-23T00:00:00", rows),
+    ]
+    for at, delivery in deliveries:
+        delivery.write.mode("append").json(source)
+        land_recent_files(
+            spark, source, rows.schema, flat, ["o_orderkey", "name"], target, state, at, days=14
+        ).awaitTermination()
+    taken = spark.read.parquet(target)
+    return taken.select("o_orderkey", "name", "o_orderstatus", F.to_date("taken_at").alias("taken_on"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scored_table": scored_table,
     "flatten_json": flatten_json,
@@ -537,4 +567,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_pages": envelope_pages,
     "newest_capped": newest_capped,
     "incremental_dedup": incremental_dedup,
+    "incremental_recent": incremental_recent,
 }

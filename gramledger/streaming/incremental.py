@@ -1,10 +1,15 @@
-"""Incremental landing: take new files only, flatten, drop repeats, append."""
+"""Incremental landing: take new files only, flatten, drop repeats, append.
+
+Two ways to know a repeat. :func:`land_new_files` remembers every key for ever. :func:`land_recent_files` takes a key once
+per period, so its state holds the keys of the last periods only, however long the feed runs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +59,76 @@ def land_new_files(
         return writer.start()
 
 
+def land_recent_files(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    flatten: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    target: str,
+    state: str,
+    run_ts: str,
+    days: int,
+    stamp: str = "taken_at",
+    files_per_batch: int = 1000,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Like :func:`land_new_files`, with keys remembered for the rest of a period of ``days``, counted from 1970.
+
+    All rows of a run get the time of the run, ``run_ts``, as their column ``stamp``; a run that is started again after a
+    failure is given the same one. The stamp is the stream's event time, so no row is late, whatever dates it holds:
+
+    * a key that comes again in the period in which it was taken is dropped;
+    * one that comes again in a later period is taken once more, with its later stamp, and :func:`drop_repeats` with
+      ``newest_by=stamp`` reads the newest; nothing is lost.
+
+    That is the same however the files fall into batches. The state holds the keys of at most two periods: the first
+    batch of a run moves the watermark to ``days`` before the run, and keys of runs before that go at its end. Runs whose time
+    goes back are refused, as the stream would drop their rows.
+    """
+    new = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
+    at = F.lit(run_ts).cast("timestamp")
+    newest = _newest(spark, target, stamp)
+    if newest is not None and spark.range(1).where(at < F.lit(newest).cast("timestamp")).count():
+        raise ValueError(f"run of {run_ts} after one of {newest}")
+    rows = _combined(flatten(new), keys).withColumn(stamp, at)
+    period = unused_name(rows.columns, "period")
+    periods = rows.withColumn(period, F.floor(F.unix_seconds(stamp) / (days * 86_400)))
+    unseen = periods.withWatermark(stamp, f"{days} days").dropDuplicatesWithinWatermark([*keys, period]).drop(period)
+    writer = (
+        unseen.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", state)
+        .outputMode("append")
+        .trigger(availableNow=True)
+    )
+    parts = partitions or spark.sparkContext.defaultParallelism
+    with settings(spark, {STATE_STORE: ROCKSDB, "spark.sql.shuffle.partitions": parts}):
+        return writer.start()
+
+
+def unused_name(names: Sequence[str], wanted: str) -> str:
+    while wanted in names:
+        wanted += "_"
+    return wanted
+
+
+def keys_held(query: StreamingQuery) -> int:
+    """Keys in the state after the query's last batch; 0 if it had none."""
+    progress = [p for p in query.recentProgress if p.stateOperators]
+    return progress[-1].stateOperators[0].numRowsTotal if progress else 0
+
+
+def _newest(spark: SparkSession, target: str, stamp: str) -> str | None:
+    """Newest stamp in the target, from the footers of its files; None if there is no target yet."""
+    try:
+        taken = spark.read.parquet(target)
+    except AnalysisException:  # nothing was landed yet
+        return None
+    with settings(spark, {"spark.sql.parquet.aggregatePushdown": True}):
+        return taken.agg(F.max(stamp).cast("string").alias("newest")).collect()[0]["newest"]
+
+
 def _combined(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Repeats dropped within each Arrow batch, ahead of the shuffle.
 
