@@ -6,8 +6,9 @@ Spark plans such a join as a nested loop over all pairs. Here every description
              through one multi-pattern automaton and adds the array of names found. No text is moved,
              rows keep their partitioning, and the work grows with the text and not with the pairs.
              Names beyond one task's memory are left to the next way, which reads the texts once too.
-``grams``    the same with built-in functions only, for workers without the automaton package: an
-             equi-join on fixed-width pieces of the text against the broadcast names, then ``contains``.
+``grams``    for workers without the automaton package: an equi-join on fixed-width pieces of the text
+             against the broadcast names, then ``contains``. A name is looked up by the one of its pieces
+             that is rarest in the texts, and only pieces that some name is looked up by leave a text.
 ``shuffle``  any number of names: the pieces (key and piece, not the text) are shuffled on a salted key,
              candidates meet their text once, and ``contains`` decides.
 
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gramledger.operators.best_match import best_match
-from gramledger.session import fresh_path
+from gramledger.operators.pieces import cheapest_pieces, known_pieces, piece_filter, sketch
+from gramledger.session import fresh_path, materialize
 
 # Characters of names held in memory by a task; an automaton takes some 40 bytes for each.
 SCAN_CHARS = 4_000_000
@@ -204,12 +206,6 @@ def _finder(shared: Broadcast, returns: T.DataType) -> Callable[[Column], Column
     return F.arrow_udf(find, returns)
 
 
-def _pieces(text: Column, width: int) -> Column:
-    """Distinct pieces of ``width`` characters, at every position, in time linear in the text."""
-    every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
-    return F.array_distinct(every)
-
-
 def _segments(texts: DataFrame, key: str, longest: int) -> DataFrame:
     """Long texts in parts that overlap by a piece, so that no task holds all pieces of a long text.
 
@@ -234,19 +230,6 @@ def _width(name: str) -> Column:
     return F.coalesce(*fits, F.lit(0))
 
 
-def _lookup_pieces(words: DataFrame, name: str) -> DataFrame:
-    """Each name with its width and its rarest piece of that width, rarity counted over the names.
-
-    Names that share a common beginning so still spread over many pieces.
-    """
-    sized = words.withColumn("_width", _width(name))
-    cut = F.coalesce(*[F.when(F.col("_width") == w, _pieces(F.col(name), w)) for w in WIDTHS])
-    exploded = sized.withColumn("_piece", F.explode(cut))
-    shared_by = exploded.groupBy("_piece").agg(F.count(F.lit(1)).alias("_shared"))
-    rarest = F.min(F.struct("_shared", "_piece"))["_piece"]
-    return exploded.join(shared_by, "_piece").groupBy(name, "_width").agg(rarest.alias("_piece"))
-
-
 def _piece_pairs(
     prepared: DataFrame, names: DataFrame, key: str, name: str, move: bool
 ) -> DataFrame:
@@ -255,22 +238,18 @@ def _piece_pairs(
     sizes = words.groupBy(_width(name).alias("_width")).agg(F.max(F.length(name)).alias("_longest"))
     lengths = {r["_width"]: r["_longest"] for r in sizes.collect()}
     widths, longest = sorted(lengths), max(lengths.values(), default=0)
-    # Cutting a text into pieces costs far more than moving it once, so texts are spread evenly first;
-    # the later joins on the key use the same partitioning.
-    texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text").repartition(key)
-    lookup = _lookup_pieces(words, name)
-    cuts = [_pieces(F.col("_segment"), w) for w in widths if w]
-    cut = F.concat(F.array().cast("array<string>"), *cuts)
-    parts = _segments(texts, key, longest)
+    texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text")
+    cut = [w for w in widths if w]
+    lookup = cheapest_pieces(words, name, cut, sketch(texts, "_text", cut), sketch(words, name, cut))
+    lookup = materialize(lookup, "lookup")
+    pieces = known_pieces(_segments(texts, key, longest), "_segment", cut, piece_filter(lookup))
     if not move:
-        pieces = parts.select(key, "_around", F.explode(cut).alias("_piece"))
         found = pieces.join(F.broadcast(lookup), "_piece")
-        # Two parts of one text may hold the same name. Texts are partitioned by key: nothing moves here.
+        # Texts stay where they are; what moves are names found, once each, as two parts of a text may hold the same.
         checked = found.where(F.contains(F.col("_around"), F.col(name)))
         pairs = checked.select(key, name).distinct()
     else:
-        salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
-        pieces = parts.select(key, F.explode(cut).alias("_piece"), salt)
+        pieces = pieces.select(key, "_piece", F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt"))
         every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
         salted = lookup.withColumn("_salt", F.explode(every_salt))
         found = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")

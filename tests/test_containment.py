@@ -201,3 +201,37 @@ def test_texts_longer_than_a_segment(spark, monkeypatch, strategy):
     texts = TEXTS + [(20, "0123456789 cold gear 0123456789 cold gears again, rituximab 10 mg, one\nline")]
     left, right = frames(spark, texts, NAMES)
     assert joined(left, right, strategy=strategy) == brute(texts, NAMES)
+
+
+def test_piece_that_is_in_every_text_is_not_looked_up(spark):
+    """Each name's only piece of its own stands in every text; what all names share stands in none but a few."""
+    from gramledger.operators import pieces
+
+    n = 300
+    numbers = " ".join(f"{i:08d}" for i in range(n))
+    texts = [(k, numbers + (f" QZXWVUTS{k:08d} end" if k % 50 == 0 else "")) for k in range(200)]
+    left = spark.createDataFrame(texts, "k long, t string").repartition(4)
+    right = spark.createDataFrame([(f"QZXWVUTS{i:08d}",) for i in range(n)], "w string")
+    widths = [1, 2, 3, 4, 8]
+    in_texts, in_names = pieces.sketch(left, "t", widths), pieces.sketch(right, "w", widths)
+    lookup = pieces.cheapest_pieces(right, "w", widths, in_texts, in_names)
+    chosen = {r["w"]: r["_piece"] for r in lookup.collect()}
+    assert all(not piece.isdigit() for piece in chosen.values())
+    found = pieces.known_pieces(left.select("k", "t"), "t", widths, pieces.piece_filter(lookup))
+    assert found.join(lookup, "_piece").count() < 2 * n  # rarest among the names: one candidate per name and text, 60,000
+    for strategy in ("scan", "grams", "shuffle"):
+        matched = contains_join(left, right, "k", "t", "w", strategy=strategy).where("w IS NOT NULL")
+        assert sorted((r["k"], r["w"]) for r in matched.collect()) == [(k, f"QZXWVUTS{k:08d}") for k in (0, 50, 100, 150)]
+
+
+def test_sketch_never_counts_too_low(spark):
+    from gramledger.operators import pieces
+
+    texts = ["abcabcab", "", "a\0b\0", "\U0001f602x\U0001f602x\U0001f602", "ab" * 700, None, "ß" * 9]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    for width in (1, 2, 4, 8):
+        counted = pieces.sketch(frame, "t", [width])
+        for piece in {t[i : i + width] for t in texts if t for i in range(len(t) - width + 1)}:
+            real = sum(t.startswith(piece, i) for t in texts if t for i in range(len(t)))
+            estimate = counted[pieces.slots(pieces._own_hashes([piece]))].min()
+            assert real <= estimate <= real + 2
