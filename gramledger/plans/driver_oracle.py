@@ -354,4 +354,7 @@ ORACLE: dict[str, str] = {
             FROM records JOIN runs ON NOT contains(without, o_orderstatus))
         SELECT o_orderkey, name, o_orderstatus, min(day) AS taken_on FROM came
         GROUP BY o_orderkey, name, o_orderstatus, (day - DATE '1970-01-01') // 14""",
+    "feed_followed": f"""
+        WITH {ORDER_RECORDS}
+        SELECT o_orderkey // 500 AS page, records.* FROM records""",
 }

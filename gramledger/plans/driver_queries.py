@@ -25,6 +25,7 @@ from gramledger.streaming.incremental import drop_repeats, land_new_files, land_
 
 RUN_TS = "2024-02-01T00:00:00"
 DAY, OTHER_DAY = "2024-02-01", "2024-02-02"
+FEED_PAGE = 500
 
 ORDER_RECORD = T.StructType(
     [
@@ -436,6 +437,44 @@ def paged_stop(spark: SparkSession, folder: str) -> DataFrame:
     return pages.read_pages(spark, path, ORDER_RECORD)
 
 
+def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None) -> Callable:
+    """``fetch`` of a feed whose pages are the files of a landed folder; shows the first ``rows_seen`` rows."""
+
+    def fetch(offset: int, size: int, wanted: dict) -> list[tuple]:
+        import json
+
+        from pyarrow import fs
+
+        size = size if rows_seen is None else max(0, min(size, rows_seen - offset))
+        files, root = fs.FileSystem.from_uri(path)
+        rows: list[tuple] = []
+        for page in range(offset // FEED_PAGE, (offset + size - 1) // FEED_PAGE + 1 if size else 0):
+            listed = files.get_file_info(fs.FileSelector(f"{root}/page={page}", allow_not_found=True))
+            lines = [
+                json.loads(line)
+                for f in listed
+                if f.base_name.endswith(".json")
+                for line in files.open_input_stream(f.path).read().decode().splitlines()
+            ]
+            lines.sort(key=lambda r: r["position"])
+            rows += [tuple(r.get(c) for c in schema.fieldNames()) for r in lines if r["position"] >= offset]
+        return rows[:size]
+
+    return fetch
+
+
+def feed_followed(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a live feed that is followed three times while it grows; each row landed once, with its page."""
+    path, target, state = (fresh_path(spark, tag) for tag in ("feed", "followed", "state"))
+    orders = order_records(spark, folder)
+    pages.land_pages(orders.withColumn("position", F.col("o_orderkey")), "position", path, FEED_PAGE)
+    n = orders.count()
+    for seen in (n // 3, n // 3, None):
+        spark.dataSource.register(pages.paged_feed("orders_feed", ORDER_RECORD, _page_files(path, ORDER_RECORD, seen)))
+        pages.follow_feed(spark, "orders_feed", target, state, batch_pages=8, size=FEED_PAGE)
+    return spark.read.parquet(target)
+
+
 def landing_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Lines as feed pages; the flagged ones landed for a day and flattened."""
     root = fresh_path(spark, "landing")
@@ -563,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_to_silver_recalls": bronze_to_silver_recalls,
     "paged_landing": paged_landing,
     "paged_stop": paged_stop,
+    "feed_followed": feed_followed,
     "landing_to_silver": landing_to_silver,
     "envelope_pages": envelope_pages,
     "newest_capped": newest_capped,

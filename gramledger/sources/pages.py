@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from itertools import count
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    InputPartition,
+)
 
 from gramledger.schemas import envelope
 
@@ -69,7 +78,7 @@ class PagedFeed(DataSource):
     """Live feed. Make it concrete with :func:`paged_feed`.
 
     With the option ``pages``, so many pages are read, a task each; without it one task reads page after
-    page up to the first empty one.
+    page up to the first empty one. As a stream it reads any number of pages, a task each: :func:`follow_feed`.
     """
 
     feed_name = "paged_feed"
@@ -88,6 +97,11 @@ class PagedFeed(DataSource):
         size = int(self.options.get("size", PAYMENT_PAGE_SIZE))
         return PagedReader(type(self).fetch, self.row_schema.fieldNames(), pages, size)
 
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        size = int(self.options.get("size", PAYMENT_PAGE_SIZE))
+        limit = int(self.options["limit"]) if "limit" in self.options else None
+        return FollowedReader(type(self).fetch, size, limit, json.loads(self.options.get("where", "{}")))
+
 
 class PagedReader(DataSourceReader):
     def __init__(self, fetch: Callable, columns: list[str], pages: int | None, size: int) -> None:
@@ -115,6 +129,89 @@ class PagedReader(DataSourceReader):
                 return
 
 
+class FollowedReader(DataSourceStreamReader):
+    """The feed as a stream: an offset is a number of rows, a batch the rows that came after the last one, a page a task.
+
+    With ``limit`` the stream ends at that many rows for now. ``where`` goes to the server with every call.
+    """
+
+    def __init__(self, fetch: Callable, size: int, limit: int | None, where: Mapping[str, object]) -> None:
+        self.fetch, self.size, self.limit, self.where = fetch, size, limit, where
+        self.known = 0
+
+    def initialOffset(self) -> dict:
+        return {"rows": 0}
+
+    def latestOffset(self) -> dict:
+        """How many rows the feed holds, found by asking for single ones: some 40 calls, however many there are."""
+        low, step = self.known, self.size
+        high = low + step if self.limit is None else self.limit
+        while self._holds(high - 1):
+            low = high
+            if self.limit is not None:
+                break
+            step *= 2
+            high = low + step
+        while low < high and low + 1 <= high - 1:
+            middle = (low + high) // 2
+            if self._holds(middle - 1):
+                low = middle
+            else:
+                high = middle
+        self.known = low
+        return {"rows": low}
+
+    def _holds(self, row: int) -> bool:
+        return row < 0 or next(iter(self.fetch(row, 1, self.where)), None) is not None
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        edges = [*range(start["rows"], end["rows"], self.size), end["rows"]]
+        return [InputPartition((a, b)) for a, b in zip(edges, edges[1:])]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        first, end = partition.value
+        rows = list(self.fetch(first, end - first, self.where))
+        if len(rows) != end - first:  # rows that were there are gone; going on would lose what moved up
+            raise ValueError(f"the feed gave {len(rows)} of {end - first} rows from {first} on")
+        for i, row in enumerate(rows):
+            yield ((first + i) // self.size, *row)
+
+
+def follow_feed(
+    spark: SparkSession,
+    name: str,
+    target: str,
+    state: str,
+    batch_pages: int = PAYMENT_PAGES,
+    size: int = PAYMENT_PAGE_SIZE,
+    where: Mapping[str, object] | None = None,
+) -> int:
+    """Append to ``target`` what the feed registered as ``name`` holds beyond it; returns the rows there now.
+
+    ``batch_pages`` pages at a time are read, a task each, and committed together with the place they end at. A run
+    that breaks off is called again and goes on after the last commit: nothing is missing and nothing comes twice.
+    ``size`` and ``where`` stay the same for a target, whose rows count as the place reached. The feed keeps the order
+    of its rows and grows at the end.
+    """
+    options = {"size": size, "where": json.dumps(dict(where or {}))}
+    rows = _rows(spark, target)
+    while True:
+        feed = spark.readStream.format(name).options(**options, limit=rows + batch_pages * size).load()
+        writer = feed.writeStream.format("parquet").option("path", target).option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        before, rows = rows, _rows(spark, target)
+        if rows == before:
+            return rows
+
+
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows committed to a target, counted in the footers of its files."""
+    try:
+        return spark.read.parquet(target).count()
+    except AnalysisException:  # no target yet, or one without a file
+        return 0
+
+
 def paged_feed(
     name: str,
     schema: T.StructType,
