@@ -357,4 +357,10 @@ ORACLE: dict[str, str] = {
     "feed_followed": f"""
         WITH {ORDER_RECORDS}
         SELECT o_orderkey // 500 AS page, records.* FROM records""",
+    "quarantined_records": f"""
+        WITH {ORDER_RECORDS},
+        judged AS (SELECT *, CASE WHEN o_orderpriority LIKE '1%' AND o_orderstatus = 'P' THEN 'not_json'
+            WHEN o_orderpriority LIKE '1%' THEN 'wrong_type' WHEN o_orderstatus = 'P' OR o_custkey IS NULL THEN 'missing'
+            ELSE 'good' END AS reason FROM records)
+        SELECT o_orderkey, reason, CASE WHEN reason = 'good' THEN o_totalprice END AS o_totalprice FROM judged""",
 }

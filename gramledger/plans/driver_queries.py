@@ -475,6 +475,24 @@ def feed_followed(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def quarantined_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as JSON lines of which some are cut short, hold text for a number, or lack their customer."""
+    path, target, quarantine = (fresh_path(spark, tag) for tag in ("lines", "landed", "quarantine"))
+    orders = order_records(spark, folder)
+    urgent, pending = F.col("o_orderpriority").startswith("1"), F.col("o_orderstatus") == "P"
+    priced = F.to_json(F.struct(*[F.lit("a lot").alias(c) if c == "o_totalprice" else F.col(c) for c in orders.columns]))
+    whole = F.to_json(F.struct(*[c for c in orders.columns if c != "o_custkey"], F.when(~pending, F.col("o_custkey")).alias("o_custkey")))
+    cut = F.left(whole, F.length(whole) - 1 - F.col("o_orderkey") % 40)
+    line = F.when(urgent & pending, cut).when(urgent, priced).otherwise(whole)
+    orders.select(line.alias("value")).write.text(path)
+    for _ in range(2):  # the second time replaces the first
+        bronze.land_checked(spark, path, ORDER_RECORD, target, quarantine, DAY, required=["o_orderkey", "o_custkey"])
+    good = bronze.read_parts(spark, target).select("o_orderkey", F.lit("good").alias("reason"), "o_totalprice")
+    key = F.regexp_extract("raw", '"o_orderkey":([0-9]+)', 1).cast("long").alias("o_orderkey")
+    bad = bronze.read_parts(spark, quarantine).select(key, "reason", F.lit(None).cast("double").alias("o_totalprice"))
+    return good.unionAll(bad)
+
+
 def landing_to_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Lines as feed pages; the flagged ones landed for a day and flattened."""
     root = fresh_path(spark, "landing")
@@ -603,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paged_landing": paged_landing,
     "paged_stop": paged_stop,
     "feed_followed": feed_followed,
+    "quarantined_records": quarantined_records,
     "landing_to_silver": landing_to_silver,
     "envelope_pages": envelope_pages,
     "newest_capped": newest_capped,

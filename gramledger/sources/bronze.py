@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INGEST_DATE = "ingest_date"
+RAW, REASON = "_raw", "_reason"
 
 
 def run_date(given: str | None = None) -> str:
@@ -73,6 +76,68 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_checked_json(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    required: Sequence[str] = (),
+    arrays: bool = False,
+) -> DataFrame:
+    """All records of JSON files, whether they fit ``schema`` or not, with ``_raw`` and ``_reason`` of those that don't.
+
+    ``not_json``    the line (or, with ``arrays``, the file) cannot be parsed; no field of it is trusted
+    ``wrong_type``  it can, but a field holds what its type cannot
+    ``missing``     it fits, but one of the ``required`` fields is null
+    Good records have null for both. ``_raw`` is the record's own text, of a missing field its fields as JSON. Blank lines
+    are no records.
+    """
+    fields = T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
+    if arrays:  # Spark's reader gives up a whole file for one element
+        files = spark.read.text(path, wholetext=True)
+        elements = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+        each = files.select(F.explode(elements).alias("_element"), F.col("_metadata.file_path").alias("_file"))
+        df = each.select(F.from_json("_element", fields, options).alias("_record"), "_file").select("_record.*", "_file")
+    else:
+        df = spark.read.schema(fields).options(**options).json(path).withColumn("_file", F.col("_metadata.file_path"))
+    absent = reduce(or_, (F.col(c).isNull() for c in required), F.lit(False))
+    reason = (
+        F.when(F.col(RAW).isNotNull() & F.try_parse_json(RAW).isNull(), F.lit("not_json"))
+        .when(F.col(RAW).isNotNull(), F.lit("wrong_type"))
+        .when(absent, F.lit("missing"))
+    )
+    fitting = F.to_json(F.struct(*schema.fieldNames()))
+    return df.withColumn(REASON, reason).withColumn(RAW, F.when(F.col(REASON) == "missing", fitting).otherwise(F.col(RAW)))
+
+
+def land_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    target: str,
+    quarantine: str,
+    day: str,
+    required: Sequence[str] = (),
+    arrays: bool = False,
+) -> dict[str, int]:
+    """Land a day's records; those that don't fit go to the day's ``quarantine`` with their text, reason and file.
+
+    Returns how many came, were landed and quarantined; the first is the sum of the others, all counted by the writes.
+    A day without a broken record reads its files once. Landing a day again replaces both tables' day.
+    """
+    checked = read_checked_json(spark, path, schema, required, arrays)
+    seen = Observation()
+    broken = F.count_if(F.col(REASON).isNotNull()).alias("quarantined")
+    counted = checked.observe(seen, F.count(F.lit(1)).alias("came"), broken)
+    landed = write_dated(counted.where(F.col(REASON).isNull()).select(*schema.fieldNames()), target, day)["rows"]
+    kept = checked.select(F.col(RAW).alias("raw"), F.col(REASON).alias("reason"), F.col("_file").alias("file"))
+    kept = kept.where(F.col("reason").isNotNull() if seen.get["quarantined"] else F.lit(False))
+    found = write_dated(kept, quarantine, day)["rows"]
+    if landed + found != seen.get["came"]:
+        raise ValueError(f"{landed} landed and {found} quarantined of {seen.get['came']} records: the files changed")
+    return {"came": seen.get["came"], "landed": landed, "quarantined": found}
+
+
 def read_parts(
     spark: SparkSession, path: str, day: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
