@@ -363,4 +363,13 @@ ORACLE: dict[str, str] = {
             WHEN o_orderpriority LIKE '1%' THEN 'wrong_type' WHEN o_orderstatus = 'P' OR o_custkey IS NULL THEN 'missing'
             ELSE 'good' END AS reason FROM records)
         SELECT o_orderkey, reason, CASE WHEN reason = 'good' THEN o_totalprice END AS o_totalprice FROM judged""",
+    "enrich_retries": """
+        WITH prompts AS (SELECT p_partkey, concat_ws(' ', p_name, p_type) AS prompt FROM part),
+        kinds AS (SELECT *, length(prompt) % 5 AS kind FROM prompts)
+        SELECT p_partkey, CASE WHEN kind = 4 THEN 'failed' ELSE 'ok' END AS status,
+               CASE kind WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 1 END::BIGINT AS attempts,
+               CASE WHEN kind = 4 THEN 'refused' END AS error,
+               CASE WHEN kind <> 4 THEN 'about ' || prompt END AS ai_explanation,
+               CASE WHEN kind IN (3, 4) THEN 2 ELSE 1 END::BIGINT AS times_sent
+        FROM kinds""",
 }

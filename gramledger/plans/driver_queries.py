@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from gramledger.functions import columns as C
 from gramledger.operators.best_match import best_match, longest_then_worst
 from gramledger.operators.containment import best_contained, contains_join
+from gramledger.operators.enrich import enrich_stored, read_store
 from gramledger.operators.flatten import add_gap_and_impact, explode_keep, flatten_fields
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check, run_checks
 from gramledger.operators.rollup import weighted_rollup
@@ -297,6 +298,35 @@ def enrich_isolated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def enrich_retries(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts described by a generator that is short of quota, busy, or refuses; a second run sends only what failed."""
+    store = fresh_path(spark, "store")
+
+    def moody(kinds: dict[int, tuple[str, int]]) -> Callable[[str], str]:
+        tries: dict[str, int] = {}
+
+        def generate(prompt: str) -> str:
+            error, times = kinds.get(len(prompt) % 5, ("", 0))
+            tries[prompt] = tries.get(prompt, 0) + 1
+            if tries[prompt] <= times:
+                raise RuntimeError(error)
+            return f" about {prompt}"
+
+        return generate
+
+    prompt = F.concat_ws(" ", "p_name", "p_type").alias("prompt")
+    rows = D.table(spark, folder, "part").select("p_partkey", prompt)
+    kinds = {1: ("QUOTA", 1), 2: ("BUSY", 3), 3: ("QUOTA", 9), 4: ("refused", 9)}
+    quick = {"most_calls": 200_000, "batch": 100_000, "quota_wait": 0.0, "busy_wait": 0.0, "pause": 0.0}
+    enrich_stored(rows, "prompt", moody(kinds), store, **quick)
+    found = enrich_stored(rows, "prompt", moody({4: ("refused", 9)}), store, **quick)
+    sent = read_store(spark, store).groupBy("key").agg(F.count(F.lit(1)).alias("times_sent"))
+    joined = found.join(sent, F.sha2(F.col("prompt").cast("binary"), 256) == F.col("key"))
+    return joined.select(
+        "p_partkey", "status", F.col("attempts").cast("long").alias("attempts"), "error", "ai_explanation", "times_sent"
+    )
+
+
 # Quality
 
 
@@ -609,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "board_texts": board_texts,
     "render_prompt": render_prompt,
     "enrich_isolated": enrich_isolated,
+    "enrich_retries": enrich_retries,
     "dq_report": dq_report,
     "gold_checks": gold_checks,
     "union_parts": union_parts,
