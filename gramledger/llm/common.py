@@ -31,6 +31,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
         return materialize(df, tag)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made, once everything that reads them has been written itself.
+
+    No lineage leads to them then, so a lost executor needs none of their files again.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(names: Sequence[str], wanted: str) -> str:
     """``wanted``, with underscores added until no column has the name (names ignore case)."""
     taken = {n.lower() for n in names}

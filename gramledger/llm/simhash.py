@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramledger.llm.common import as_bytes, map_texts, quoted, written
+from gramledger.llm.common import as_bytes, discard, map_texts, quoted, written
 
 WORDS = 3
 BITS = 2
@@ -241,7 +241,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     now = state(current)
     while now != before and now[0]:
-        current = written(star(star(current, True), False), "links")
+        last, current = current, written(star(star(current, True), False), "links")
+        discard(last)
         before, now = now, state(current)
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

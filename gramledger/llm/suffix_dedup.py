@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gramledger.llm.common import as_bytes, cut, mixed, quoted, written
+from gramledger.llm.common import as_bytes, cut, discard, mixed, quoted, written
 
 SPAN = 400
 WINDOW = 16
@@ -305,6 +305,7 @@ def remove_repeats(
     )
     unique = once.where("n = 1").groupBy("tid").agg(F.collect_list("at").alias("unique"))
     found = written(parsed.join(unique, "tid", "left"), "dictionary")
+    discard(parsed)
     # 2. classes of runs
     known = found.join(_facts(_classes(found, span)), "tid", "left")
     sorted_out = written(_sorted_out(known, span), "classes")
@@ -332,6 +333,7 @@ def remove_repeats(
     facts = closed.join(open_, "tid", "full").join(lonely, "tid", "left").join(texts, "tid")
     # copies of a text have the same facts
     facts = written(facts.dropDuplicates(["k1", "k2"]).drop("tid"), "facts")
+    discard(found, sorted_out)
     return _cut_out(frame.join(facts, ["k1", "k2"], "left"), n, span, kept_text, carry, names)
 
 
