@@ -3,6 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``docs``, whatever they are. An empty table passes through all
 stages. Null texts have no language and go in the first stage.
+
+Rows are whole documents here, so the stages have Spark hand at most ``BATCH_ROWS`` of them to a Python worker at a time;
+they lower the session's own number if it is larger, and change nothing else in it.
 """
 
 from __future__ import annotations
@@ -11,13 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramledger.llm import decontamination, language_id, packing, simhash, suffix_dedup
-from gramledger.llm.common import quoted, unused
+from gramledger.llm.common import discard, quoted, unused, written
 from gramledger.llm.queries import read, tokenizer_paths
-from gramledger.session import fresh_path
+
+
+#: Rows of a batch for Python workers.
+BATCH_ROWS = 1000
+#: Passages of more than this many words are cut where they repeat. Texts have at least four bytes a word, with the space,
+#: in 99 of 100 passages of that length (in the given tables 50 words take 316 bytes in the median, 203 in the hundredth).
+PASSAGE_WORDS, WORD_BYTES = 50, 4
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that some learned language explains. Learns from the tagged documents it is given."""
+    in_small_batches(spark)
     columns = docs.columns
     names = tuple(unused(columns, n) for n in ("lang_pred", "lang_score", "lang_bits"))
     found = language_id.predict(docs, language_id.learn(docs), carry=tuple(columns), names=names)
@@ -26,12 +42,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document per component: the one whose id is the component's; of rows that repeat that id, one."""
+    in_small_batches(spark)
     columns = docs.columns
     row = unused(columns, "row_number_")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    path = fresh_path(spark, "numbered")
-    numbered.write.parquet(path)
-    numbered = spark.read.parquet(path)
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     # a component of null ids only has a null id and its fingerprint stands for it
     found = simhash.near_duplicates(numbered, carry=(row,))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), "fingerprint"))
@@ -41,17 +55,23 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that repeat; a document of which nothing is left stays, with an empty text."""
+    """Documents without the passages that repeat; a document of which nothing is left stays, with an empty text.
+
+    A passage is ``PASSAGE_WORDS`` words, counted as ``WORD_BYTES`` bytes each.
+    """
+    in_small_batches(spark)
     columns = docs.columns
     names = tuple(unused(columns, n) for n in ("n_bytes_", "n_removed_", "n_spans_", "kept_sha256_"))
     left = unused(columns, "kept_text_")
-    found = suffix_dedup.remove_repeats(docs, carry=tuple(columns), kept_text=left, names=names)
+    span = PASSAGE_WORDS * WORD_BYTES
+    found = suffix_dedup.remove_repeats(docs, carry=tuple(columns), span=span, kept_text=left, names=names)
     changed = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col(left)).alias("text")
     return found.select(*(changed if c == "text" else quoted(c) for c in columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
+    in_small_batches(spark)
     columns = docs.columns
     names = tuple(unused(columns, n) for n in ("n_words_", "n_hit_", "n_items_", "items_", "contaminated_"))
     found = decontamination.contamination(
@@ -62,6 +82,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences."""
+    in_small_batches(spark)
     return packing.pack(docs, *tokenizer_paths())
 
 
@@ -79,9 +100,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        path = fresh_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        after = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            discard(before)
+        docs = before = after
     return STAGES[-1][1](spark, docs, sf_dir)
