@@ -27,28 +27,42 @@ def weighted_rollup(
     A null measure leaves the numerator but its weight stays in the denominator (``null_weight='keep'``);
     ``'drop'`` leaves that weight out as well.
     """
+    sums = rollup_sums(weight, averages, totals, null_weight)
+    grouped = df.groupBy(key, *carry).agg(*[c.alias(n) for n, c in sums.items()])
+    if carry:
+        grouped = grouped.groupBy(key).agg(
+            *[F.max(c).alias(c) for c in carry], *[F.sum(n).alias(n) for n in sums]
+        )
+    return rollup_averages(grouped, key, averages, totals, carry, null_weight)
+
+
+def _base(v: str, null_weight: str) -> str:
+    return "_w" if null_weight == "keep" else f"_w_{v}"
+
+
+def rollup_sums(
+    weight: str, averages: Sequence[str], totals: Sequence[str], null_weight: str
+) -> dict[str, Column]:
+    """Name and expression of every sum that a rollup is made of."""
     if null_weight not in ("keep", "drop"):
         raise ValueError("null_weight is 'keep' or 'drop'")
     w = F.col(weight)
-
-    def base(v: str) -> str:
-        return "_w" if null_weight == "keep" else f"_w_{v}"
-
     sums: dict[str, Column] = {f"_s_{c}": F.sum(c) for c in totals}
     for v in averages:
         sums[f"_n_{v}"] = F.sum(F.col(v) * w)
-        sums[base(v)] = F.sum(w if null_weight == "keep" else F.when(F.col(v).isNotNull(), w))
+        sums[_base(v, null_weight)] = F.sum(w if null_weight == "keep" else F.when(F.col(v).isNotNull(), w))
+    return sums
 
-    grouped = df.groupBy(key, *carry).agg(*[c.alias(n) for n, c in sums.items()])
-    if carry:
-        grouped = grouped.groupBy(key).agg(
-            *[F.max(c).alias(c) for c in carry], *[F.sum(n).alias(n) for n in sums]
-        )
-    return grouped.select(
+
+def rollup_averages(
+    sums: DataFrame, key: str, averages: Sequence[str], totals: Sequence[str], carry: Sequence[str], null_weight: str
+) -> DataFrame:
+    """The rollup from its sums, one row per key."""
+    return sums.select(
         key,
         *carry,
         *[F.col(f"_s_{c}").alias(c) for c in totals],
-        *[F.try_divide(F.col(f"_n_{v}"), F.col(base(v))).alias(v) for v in averages],
+        *[F.try_divide(F.col(f"_n_{v}"), F.col(_base(v, null_weight))).alias(v) for v in averages],
     )
 
 

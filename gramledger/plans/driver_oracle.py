@@ -373,3 +373,6 @@ ORACLE: dict[str, str] = {
                CASE WHEN kind IN (3, 4) THEN 2 ELSE 1 END::BIGINT AS times_sent
         FROM kinds""",
 }
+# Merged from days, they are the same results.
+ORACLE["rollup_by_days"] = ORACLE["weighted_rollup"]
+ORACLE["history_by_days"] = ORACLE["history_summary"]

@@ -13,6 +13,7 @@ from gramledger.operators.best_match import best_match, longest_then_worst
 from gramledger.operators.containment import best_contained, contains_join
 from gramledger.operators.enrich import enrich_stored, read_store
 from gramledger.operators.flatten import add_gap_and_impact, explode_keep, flatten_fields
+from gramledger.operators.partials import history_partials, merge_histories, merge_rollups, rollup_partials
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check, run_checks
 from gramledger.operators.rollup import weighted_rollup
 from gramledger.operators.serving import board_filter, kpi_row, newest, top_n, value_options
@@ -22,6 +23,7 @@ from gramledger.plans.silver import silver_payments, silver_recalls
 from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS, PAYMENT_RECORD
 from gramledger.session import fresh_path, materialize, spread_small
 from gramledger.sources import bronze, pages, snapshot
+from gramledger.sources.published import publish_days, read_published
 from gramledger.streaming.incremental import drop_repeats, land_new_files, land_recent_files
 
 RUN_TS = "2024-02-01T00:00:00"
@@ -156,6 +158,36 @@ def weighted_rollup_query(spark: SparkSession, folder: str) -> DataFrame:
     return settled_scores(add_gap_and_impact(rolled))
 
 
+def rollup_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rollup from the states of three days; the second day was published with half its rows and replaced."""
+    path = fresh_path(spark, "states")
+    lines = D.awkward_payments(spark, folder).join(D.descriptions(spark, folder), "hcpcs_code")
+    args = ("hcpcs_code", "total_services", gold.AVERAGES, gold.TOTALS, ("drug_desc",))
+    day = F.pmod(F.xxhash64("hcpcs_code", "total_services"), F.lit(3))
+    half = F.pmod(F.xxhash64("total_services", "hcpcs_code"), F.lit(2)) == 0
+    deliveries = [(0, lines.where(day == 0)), (1, lines.where((day == 1) & half)), (2, lines.where(day == 2))]
+    for n, rows in [*deliveries, (1, lines.where(day == 1))]:
+        states = rollup_partials(rows, *args)
+        publish_days(states, path, f"2024-02-0{n + 1}")
+    merged = merge_rollups(read_published(spark, path, states.schema), *args)
+    return settled_scores(add_gap_and_impact(merged))
+
+
+def history_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of all notices from the states of their years, of which the later ones were published twice."""
+    path = fresh_path(spark, "states")
+    staged = D.staged_notices(spark, folder)
+    year = F.trunc("report_date", "year")
+    dated = staged.withColumn(bronze.INGEST_DATE, F.coalesce(year, F.lit("1900-01-01").cast("date")))
+    late = F.col(bronze.INGEST_DATE) >= "1996-01-01"
+    day = [bronze.INGEST_DATE]
+    ongoing = D.ONGOING_STATUS
+    publish_days(history_partials(dated.where(~late | (F.col("status") != ongoing)), ongoing=ongoing, by=day), path)
+    states = history_partials(dated.where(late), ongoing=ongoing, by=day)
+    publish_days(states, path)
+    return _wide_rank(merge_histories(read_published(spark, path, states.schema)))
+
+
 def staged_payments(spark: SparkSession, folder: str) -> DataFrame:
     return settled_scores(D.staged(spark, folder))
 
@@ -618,6 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "short_label": short_label,
     "tiers": tiers,
     "weighted_rollup": weighted_rollup_query,
+    "rollup_by_days": rollup_by_days,
+    "history_by_days": history_by_days,
     "staged_payments": staged_payments,
     "staged_payments_carry": staged_payments_carry,
     "staged_recalls": staged_recalls,
