@@ -1,6 +1,6 @@
 """Removal of repeated passages by prefix-free parsing.
 
-Every text is cut into phrases where a rolling hash of ``WINDOW`` bytes is smallest among the ``REACH`` positions on
+Every text is cut into phrases where a rolling hash of ``WINDOW`` bytes is smallest among the :func:`reach` positions on
 either side, so a cut depends on the bytes around it only and equal passages are cut alike. The suffixes of the corpus
 are then ordered without being compared byte by byte: a suffix is the rest of its phrase (a suffix of the dictionary)
 followed by phrases (a suffix of the parse). Two suffixes agree in their first ``span`` bytes if and only if they agree
@@ -40,11 +40,16 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def reach(span: int) -> int:
+    """Positions on either side of a cut: ``REACH`` of them for passages of ``SPAN`` bytes, fewer for shorter ones."""
+    return max(4, min(REACH, REACH * span // SPAN))
+
+
 def phrase_starts(text: bytes, span: int = SPAN) -> np.ndarray:
     """Where phrases begin, and the end of the text. A text below ``span`` bytes is one phrase."""
-    n = len(text)
+    n, near = len(text), reach(span)
     m = n - WINDOW + 1
-    if n < span or m < 2 * REACH + 1:
+    if n < span or m < 2 * near + 1:
         return np.array([0, n], np.int64)
     words = np.ndarray((n - 7,), "<u8", text, strides=(1,))
     value = words[:m] * _A
@@ -52,14 +57,14 @@ def phrase_starts(text: bytes, span: int = SPAN) -> np.ndarray:
     value += words[8:] * _B
     value = (mixed(value) >> np.uint64(32)).astype(np.uint32)
     least, size = value, 1
-    while size < REACH:  # smallest of REACH neighbours, by doubling
-        step = min(size, REACH - size)
+    while size < near:  # smallest of near neighbours, by doubling
+        step = min(size, near - size)
         least = np.minimum(least[: len(least) - step], least[step:])
         size += step
-    here = value[REACH : m - REACH]
+    here = value[near : m - near]
     count = len(here)
-    smallest = (here < least[:count]) & (here <= least[REACH + 1 : REACH + 1 + count])
-    return np.concatenate(([0], np.flatnonzero(smallest) + REACH, [n]))
+    smallest = (here < least[:count]) & (here <= least[near + 1 : near + 1 + count])
+    return np.concatenate(([0], np.flatnonzero(smallest) + near, [n]))
 
 
 def _key(data: bytes) -> bytes:
@@ -115,7 +120,8 @@ def _runs(at: np.ndarray, unique: np.ndarray, span: int) -> tuple[tuple, tuple]:
     once = np.zeros(len(at) + 1, np.int64)
     once[unique + 1] = 1
     once = np.cumsum(once)
-    low, high = REACH, span - REACH - WINDOW
+    low = reach(span)
+    high = span - low - WINDOW
 
     def held(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inner = np.searchsorted(at, last + low, side="left")
@@ -316,7 +322,8 @@ def remove_repeats(
             F.flatten(F.collect_list("ranges")).alias("ranges")
         )
     )
-    texts = found.select("tid", "k1", "k2")
+    texts = written(found.select("tid", "k1", "k2"), "texts")
+    discard(found)
     # 3. the passages themselves
     asked = frame.select("k1", "k2", "text").join(texts.join(compared, "tid"), ["k1", "k2"])
     lonely = (
@@ -333,7 +340,7 @@ def remove_repeats(
     facts = closed.join(open_, "tid", "full").join(lonely, "tid", "left").join(texts, "tid")
     # copies of a text have the same facts
     facts = written(facts.dropDuplicates(["k1", "k2"]).drop("tid"), "facts")
-    discard(found, sorted_out)
+    discard(texts, sorted_out)
     return _cut_out(frame.join(facts, ["k1", "k2"], "left"), n, span, kept_text, carry, names)
 
 
