@@ -20,9 +20,9 @@ from gramledger.llm.queries import read, tokenizer_paths
 
 #: Rows of a batch for Python workers.
 BATCH_ROWS = 1000
-#: Passages of more than this many words are cut where they repeat. Texts have at least four bytes a word, with the space,
-#: in 99 of 100 passages of that length (in the given tables 50 words take 316 bytes in the median, 203 in the hundredth).
-PASSAGE_WORDS, WORD_BYTES = 50, 4
+#: Passages of more than this many words are cut where they repeat. A word has five bytes at least, with its space, in 95 of
+#: 100 passages of that length (in the given tables 51 words take 316 bytes in the median, 270 in the twentieth).
+PASSAGE_WORDS, WORD_BYTES = 50, 5
 
 
 def in_small_batches(spark: SparkSession) -> None:
