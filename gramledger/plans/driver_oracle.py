@@ -373,6 +373,11 @@ ORACLE: dict[str, str] = {
                CASE WHEN kind IN (3, 4) THEN 2 ELSE 1 END::BIGINT AS times_sent
         FROM kinds""",
 }
+_KEYS = """
+    SELECT '{0}' AS table_name, '{1}' AS column_name, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys,
+           count(*) FILTER (n > 1) = 0 AS passed
+    FROM (SELECT {1}, count(*) AS n FROM {0} WHERE {1} IS NOT NULL GROUP BY {1})"""
+ORACLE["unique_by_days"] = f"{_KEYS.format('lineitem', 'l_orderkey')} UNION ALL {_KEYS.format('orders', 'o_orderkey')}"
 # Merged from days, they are the same results.
 ORACLE["rollup_by_days"] = ORACLE["weighted_rollup"]
 ORACLE["history_by_days"] = ORACLE["history_summary"]

@@ -17,6 +17,7 @@ from gramledger.operators.partials import history_partials, merge_histories, mer
 from gramledger.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, Check, run_checks
 from gramledger.operators.rollup import weighted_rollup
 from gramledger.operators.serving import board_filter, kpi_row, newest, top_n, value_options
+from gramledger.operators.uniqueness import key_states, repeated_keys
 from gramledger.plans import board, daily, explain, gold
 from gramledger.plans import driver_tables as D
 from gramledger.plans.silver import silver_payments, silver_recalls
@@ -393,6 +394,23 @@ def gold_checks(spark: SparkSession, folder: str) -> DataFrame:
 # Sources, sinks, landing
 
 
+def unique_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Are order keys unique over all ship days? From states by year; the first years were published short and replaced."""
+    parts = []
+    for table, column, date in (("lineitem", "l_orderkey", "l_shipdate"), ("orders", "o_orderkey", "o_orderdate")):
+        path = fresh_path(spark, f"keys-{table}")
+        rows = D.table(spark, folder, table)
+        year = F.coalesce(F.trunc(F.col(date).cast("date"), "year"), F.lit("1900-01-01").cast("date"))
+        dated = rows.select(F.col(column), year.alias(bronze.INGEST_DATE))
+        early = F.col(bronze.INGEST_DATE) < "1997-01-01"
+        publish_days(key_states(dated.where(~early | (F.col(column) % 2 == 0)), column, [bronze.INGEST_DATE]), path)
+        states = key_states(dated.where(early), column, [bronze.INGEST_DATE])
+        publish_days(states, path)
+        merged = repeated_keys(read_published(spark, path, states.schema))
+        parts.append(merged.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "*"))
+    return bronze.stack(*parts).withColumn("passed", F.col("repeated_keys") == 0)
+
+
 def union_parts(spark: SparkSession, folder: str) -> DataFrame:
     lines = D.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_tax", "l_linestatus")
     is_open = F.col("l_linestatus") == "O"
@@ -676,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_retries": enrich_retries,
     "dq_report": dq_report,
     "gold_checks": gold_checks,
+    "unique_by_days": unique_by_days,
     "union_parts": union_parts,
     "parquet_parts": parquet_parts,
     "date_slice": date_slice,
