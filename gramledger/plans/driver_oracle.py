@@ -381,3 +381,4 @@ ORACLE["unique_by_days"] = f"{_KEYS.format('lineitem', 'l_orderkey')} UNION ALL
 # Merged from days, they are the same results.
 ORACLE["rollup_by_days"] = ORACLE["weighted_rollup"]
 ORACLE["history_by_days"] = ORACLE["history_summary"]
+ORACLE["staged_bucketed"] = ORACLE["staged_payments"]

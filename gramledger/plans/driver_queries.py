@@ -30,6 +30,7 @@ from gramledger.streaming.incremental import drop_repeats, land_new_files, land_
 RUN_TS = "2024-02-01T00:00:00"
 DAY, OTHER_DAY = "2024-02-01", "2024-02-02"
 FEED_PAGE = 500
+BUCKETS = 16
 
 ORDER_RECORD = T.StructType(
     [
@@ -199,6 +200,17 @@ def staged_payments_carry(spark: SparkSession, folder: str) -> DataFrame:
     return settled_scores(gold.staged_payments(rows, national=D.RANKED_GEOGRAPHY))
 
 
+def staged_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from tables that lie in buckets of the code, so that neither rollup nor join moves a row."""
+    saved = {}
+    for name, rows in (("payments", D.payments(spark, folder)), ("descriptions", D.descriptions(spark, folder))):
+        path = fresh_path(spark, name)
+        saved[name] = f"{name}_{path.rsplit('-', 1)[-1]}"
+        snapshot.save_bucketed(rows, saved[name], "hcpcs_code", BUCKETS, path)
+    tables = [spark.table(saved[name]) for name in ("payments", "descriptions")]
+    return settled_scores(gold.staged_payments(*tables, national=D.RANKED_GEOGRAPHY))
+
+
 def staged_recalls(spark: SparkSession, folder: str) -> DataFrame:
     staged = D.staged_notices(spark, folder)
     return staged.withColumn("severity_rank", F.col("severity_rank").cast("long"))
@@ -672,6 +684,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_by_days": history_by_days,
     "staged_payments": staged_payments,
     "staged_payments_carry": staged_payments_carry,
+    "staged_bucketed": staged_bucketed,
     "staged_recalls": staged_recalls,
     "history_summary": history_summary,
     "contains_join_scan": contains_join_scan,

@@ -46,6 +46,28 @@ def save_table(df: DataFrame, name: str, upper_names: bool = False) -> None:
     shown.write.mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, path: str, most_uneven: float = 4.0
+) -> bool:
+    """Replace a catalog table whose rows lie by ``key`` already, in ``buckets`` sorted files under ``path``.
+
+    Grouping by the key, and joining it with another table of as many buckets, then needs no shuffle. A bucket is one
+    task's work, so rows are counted by bucket first: if the fullest has over ``most_uneven`` times the mean, as with a key
+    that owns a third of all rows, the table is saved without buckets and its readers shuffle, where partial
+    sums and adaptive execution take care of that key. Returns whether the table has buckets.
+    """
+    bucket = F.pmod(F.hash(key), F.lit(buckets))  # as Spark's own buckets are numbered
+    sizes = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    fullest, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+    even = rows is None or fullest <= most_uneven * max(1.0, rows / buckets)
+    if even:
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    else:
+        writer = df.write
+    writer.mode("overwrite").option("path", path).saveAsTable(name)
+    return even
+
+
 def register_views(**models: DataFrame) -> None:
     """Name models for SQL; nothing is computed."""
     for name, df in models.items():
