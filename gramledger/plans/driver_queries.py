@@ -563,7 +563,7 @@ def feed_followed(spark: SparkSession, folder: str) -> DataFrame:
     n = orders.count()
     for seen in (n // 3, n // 3, None):
         spark.dataSource.register(pages.paged_feed("orders_feed", ORDER_RECORD, _page_files(path, ORDER_RECORD, seen)))
-        pages.follow_feed(spark, "orders_feed", target, state, batch_pages=8, size=FEED_PAGE)
+        pages.follow_feed(spark, "orders_feed", target, state, batch_pages=100, size=FEED_PAGE)
     return spark.read.parquet(target)
 
 
