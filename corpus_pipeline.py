@@ -51,7 +51,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), "fingerprint"))
     first = F.min(F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), F.col(quoted(row))))
     kept = found.groupBy(group.alias("group_")).agg(first.alias("first_")).select(F.col(f"first_.{quoted(row)}"))
-    return numbered.join(kept, row, "left_semi").select(*map(quoted, columns))
+    chosen = written(numbered.join(kept, row, "left_semi").select(*map(quoted, columns)), "chosen")
+    discard(numbered)  # with the shuffle files of its join, which hold the texts once more
+    return chosen
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
