@@ -242,7 +242,9 @@ def _piece_pairs(
     cut = [w for w in widths if w]
     lookup = cheapest_pieces(words, name, cut, sketch(texts, "_text", cut), sketch(words, name, cut))
     lookup = materialize(lookup, "lookup")
-    pieces = known_pieces(_segments(texts, key, longest), "_segment", cut, piece_filter(lookup))
+    segments = _segments(texts, key, longest)
+    segments = segments.drop("_around") if move else segments  # the text is not what is shuffled
+    pieces = known_pieces(segments, "_segment", cut, piece_filter(lookup))
     if not move:
         found = pieces.join(F.broadcast(lookup), "_piece")
         # Texts stay where they are; what moves are names found, once each, as two parts of a text may hold the same.

@@ -21,7 +21,9 @@ SKETCH_ROWS, SKETCH_BITS = 3, 16
 #: Bits of the filter of pieces that are looked up at all.
 FILTER_BITS = 24
 #: Characters that a task turns into numbers at a time; a longer text is taken alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
+#: Texts that are Python strings at a time, however many an Arrow batch holds.
+ROWS = 256
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
@@ -66,16 +68,27 @@ def filter_bit(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def chunks(texts: Sequence[str]) -> Iterator[tuple[int, Sequence[str]]]:
+def chunks(column: pa.Array) -> Iterator[tuple[int, Sequence[str]]]:
     """Runs of texts with ``CHUNK`` characters together, or one text; and the number of the first."""
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > CHUNK:
-            yield start, texts[start:i]
-            start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, texts[start:]
+    for first in range(0, len(column), ROWS):
+        texts = column.slice(first, ROWS).to_pylist()
+        start, held = 0, 0
+        for i, text in enumerate(texts):
+            if held and held + len(text) > CHUNK:
+                yield first + start, texts[start:i]
+                start, held = i, 0
+            held += len(text)
+        yield first + start, texts[start:]
+
+
+def _slices(some: Sequence[str], overlap: int) -> Iterator[Sequence[str]]:
+    """A run of texts as it is, but a text beyond ``CHUNK`` in parts that overlap: a piece starts in the first
+    ``CHUNK`` characters of one part only."""
+    if len(some) > 1 or not some or len(some[0]) <= CHUNK:
+        yield some
+    else:
+        for start in range(0, len(some[0]), CHUNK):
+            yield [some[0][start : start + CHUNK + overlap]]
 
 
 def sketch(texts: DataFrame, column: str, widths: Sequence[int]) -> np.ndarray:
@@ -84,11 +97,11 @@ def sketch(texts: DataFrame, column: str, widths: Sequence[int]) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(SKETCH_ROWS << SKETCH_BITS, np.int64)
         for batch in batches:
-            for _, some in chunks(batch.column(0).to_pylist()):
-                places = Places(some)
+            for part in (part for _, some in chunks(batch.column(0)) for part in _slices(some, max(widths, default=1) - 1)):
+                places = Places(part)
                 for width in widths:
-                    found = slots(places.pieces(width)[2]).ravel()
-                    count += np.bincount(found, minlength=len(count))
+                    _, at, hashes = places.pieces(width)
+                    count += np.bincount(slots(hashes[at < CHUNK]).ravel(), minlength=len(count))
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], ["slot", "n"])
 
@@ -107,7 +120,7 @@ def cheapest_pieces(words: DataFrame, name: str, widths: Sequence[int], in_texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, some in chunks(batch.column(0).to_pylist()):
+            for start, some in chunks(batch.column(0)):
                 size = np.fromiter(map(len, some), np.int64, len(some))
                 fits = np.array([0, *widths])[np.searchsorted(widths, size, side="right")]
                 piece: list[str | None] = [None] * len(some)
@@ -135,7 +148,7 @@ def piece_filter(lookup: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            for _, some in chunks(batch.column(0).to_pylist()):
+            for _, some in chunks(batch.column(0)):
                 bits[filter_bit(_own_hashes(some))] = True
         used = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(used >> 16), pa.array(used & 0xFFFF)], ["part", "bit"])
@@ -164,28 +177,35 @@ def _own_hashes(pieces: Sequence[str]) -> np.ndarray:
 
 
 def known_pieces(parts: DataFrame, segment: str, widths: Sequence[int], bits: np.ndarray) -> DataFrame:
-    """The columns of ``parts`` but ``segment``, with ``_piece``: a row per distinct piece that passes the filter."""
+    """The columns of ``parts`` but ``segment``, with ``_piece``: a row per distinct piece that passes the filter.
+
+    A task gives each row back once, with its pieces as an array, so no other column is copied for every piece.
+    """
     at = parts.columns.index(segment)
     rest = [c for c in parts.columns if c != segment]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [i for i in range(batch.num_columns) if i != at]
-            for start, some in chunks(batch.column(at).to_pylist()):
-                places, found = Places(some), []
+            for start, some in chunks(batch.column(at)):
+                places = Places(some)
+                found: list[set[str]] = [set() for _ in some]
                 for width in widths:
                     row, place, hashes = places.pieces(width)
                     bit = filter_bit(hashes)
                     passed = (bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-                    found += [(r, some[r][a : a + width]) for r, a in zip(row[passed].tolist(), place[passed].tolist())]
-                found = sorted(set(found))
-                owner = pa.array([start + r for r, _ in found], pa.int64())
+                    for r, a in zip(row[passed].tolist(), place[passed].tolist()):
+                        found[r].add(some[r][a : a + width])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).take(owner) for i in kept), pa.array([p for _, p in found], pa.string())],
-                    [*rest, "_piece"],
+                    [
+                        *(batch.column(i).slice(start, len(some)) for i in kept),
+                        pa.array([sorted(f) for f in found], pa.list_(pa.string())),
+                    ],
+                    [*rest, "_pieces"],
                 )
 
-    return parts.mapInArrow(run, _with(parts.select(*rest), ("_piece", "string")))
+    schema = T.StructType([*parts.select(*rest).schema.fields, T.StructField("_pieces", T.ArrayType(T.StringType()))])
+    return parts.mapInArrow(run, schema).select(*rest, F.explode("_pieces").alias("_piece"))
 
 
 def _with(df: DataFrame, *added: tuple[str, str]) -> T.StructType:

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gramledger.operators.best_match import best_match, longest_then_worst
 from gramledger.operators.containment import best_contained, contains_join
@@ -235,3 +236,51 @@ def test_sketch_never_counts_too_low(spark):
             real = sum(t.startswith(piece, i) for t in texts if t for i in range(len(t)))
             estimate = counted[pieces.slots(pieces._own_hashes([piece]))].min()
             assert real <= estimate <= real + 2
+
+
+def test_no_text_is_copied_for_each_of_its_pieces(spark):
+    """What a task hands back of a text is its row, once, with the pieces as an array."""
+    import pyarrow as pa
+    from gramledger.operators import pieces
+
+    sent = []
+
+    class Parts:
+        columns = ["k", "_segment", "_around"]
+
+        def select(self, *columns):
+            return spark.createDataFrame([], "k long, _around string")
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            batch = pa.RecordBatch.from_pydict({"k": [1, 2], "_segment": ["abcd" * 9, ""], "_around": ["x" * 10**6, "y"]})
+            sent.extend(run(iter([batch])))
+            return spark.createDataFrame([], schema)
+
+    bits = pieces.piece_filter(spark.createDataFrame([("AB",), ("abcd",), ("bc",), ("d",)], "_piece string"))
+    pieces.known_pieces(Parts(), "_segment", [1, 2, 4], bits)
+    rows = [r for b in sent for r in b.to_pylist()]
+    assert [(r["k"], r["_pieces"]) for r in rows] == [(1, ["abcd", "bc", "d"]), (2, [])]
+    assert sum(b.num_rows for b in sent) == 2
+
+
+def test_sketch_of_a_text_in_parts(spark, monkeypatch):
+    from gramledger.operators import pieces
+
+    text = "".join(chr(97 + i * i % 23) for i in range(1000))
+    frame = spark.createDataFrame([(text,), ("abc",)], "t string").coalesce(1)
+    whole = pieces.sketch(frame, "t", [1, 3, 8])
+    monkeypatch.setattr(pieces, "CHUNK", 10)
+    assert max(len(p) for p in pieces._slices([text], 7) for p in p) == 17
+    assert sum(len(p) for p in pieces._slices([text], 0) for p in p) == len(text)
+    slots = [pieces.slots(pieces.Places([t]).pieces(w)[2]).ravel() for t in (text, "abc") for w in (1, 3, 8)]
+    import numpy as np
+
+    assert (whole == np.bincount(np.concatenate(slots), minlength=len(whole))).all()
+    parts = [p for p in pieces._slices([text], 7)]
+    mine = []
+    for p in parts:
+        for w in (1, 3, 8):
+            _, at, hashes = pieces.Places(p).pieces(w)
+            mine.append(pieces.slots(hashes[at < 10]).ravel())
+    mine += slots[3:]
+    assert (whole == np.bincount(np.concatenate(mine), minlength=len(whole))).all()
