@@ -99,8 +99,8 @@ class PagedFeed(DataSource):
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         size = int(self.options.get("size", PAYMENT_PAGE_SIZE))
-        limit = int(self.options["limit"]) if "limit" in self.options else None
-        return FollowedReader(type(self).fetch, size, limit, json.loads(self.options.get("where", "{}")))
+        limit, step = (int(self.options[o]) if o in self.options else None for o in ("limit", "step"))
+        return FollowedReader(type(self).fetch, size, limit, json.loads(self.options.get("where", "{}")), step)
 
 
 class PagedReader(DataSourceReader):
@@ -132,11 +132,14 @@ class PagedReader(DataSourceReader):
 class FollowedReader(DataSourceStreamReader):
     """The feed as a stream: an offset is a number of rows, a batch the rows that came after the last one, a page a task.
 
-    With ``limit`` the stream ends at that many rows for now. ``where`` goes to the server with every call.
+    With ``limit`` the stream ends at that many rows for now; with ``step`` too, each batch that is planned moves the
+    limit to so many rows behind it. ``where`` goes to the server with every call.
     """
 
-    def __init__(self, fetch: Callable, size: int, limit: int | None, where: Mapping[str, object]) -> None:
-        self.fetch, self.size, self.limit, self.where = fetch, size, limit, where
+    def __init__(
+        self, fetch: Callable, size: int, limit: int | None, where: Mapping[str, object], step: int | None = None
+    ) -> None:
+        self.fetch, self.size, self.limit, self.where, self.step = fetch, size, limit, where, step
         self.known = 0
 
     def initialOffset(self) -> dict:
@@ -165,6 +168,9 @@ class FollowedReader(DataSourceStreamReader):
         return row < 0 or next(iter(self.fetch(row, 1, self.where)), None) is not None
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        if self.step is not None:
+            self.known = max(self.known, end["rows"])
+            self.limit = max(self.limit or 0, end["rows"] + self.step)
         edges = [*range(start["rows"], end["rows"], self.size), end["rows"]]
         return [InputPartition((a, b)) for a, b in zip(edges, edges[1:])]
 
@@ -193,12 +199,17 @@ def follow_feed(
     ``size`` and ``where`` stay the same for a target, whose rows count as the place reached. The feed keeps the order
     of its rows and grows at the end.
     """
-    options = {"size": size, "where": json.dumps(dict(where or {}))}
+    step = batch_pages * size
+    options = {"size": size, "where": json.dumps(dict(where or {})), "step": step}
     rows = _rows(spark, target)
     while True:
-        feed = spark.readStream.format(name).options(**options, limit=rows + batch_pages * size).load()
+        feed = spark.readStream.format(name).options(**options, limit=rows + step).load()
         writer = feed.writeStream.format("parquet").option("path", target).option("checkpointLocation", state)
-        writer.trigger(availableNow=True).start().awaitTermination()
+        query = writer.start()  # one stream for all batches: to start one, and to count the target, takes longer than a batch
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
         before, rows = rows, _rows(spark, target)
         if rows == before:
             return rows

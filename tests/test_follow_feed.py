@@ -79,3 +79,24 @@ def test_rows_that_went_missing_stop_the_run():
     reader = pages.FollowedReader(lambda offset, size, wanted: [(1,)], 10, None, {})
     with pytest.raises(ValueError, match="gave 1 of 10"):
         list(reader.read(pages.InputPartition((0, 10))))
+
+
+def test_one_stream_takes_all_batches(spark, follow, tmp_path, monkeypatch):
+    """The target is counted, and a stream started, as often for many batches as for one; a batch has its pages only."""
+    run, landed = follow
+    counted = []
+    rows = pages._rows
+    monkeypatch.setattr(pages, "_rows", lambda *args: counted.append(1) or rows(*args))
+    assert run(215) == 215 and len(counted) == 3
+    commits = sorted(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
+    assert commits == list(range(11))
+    assert [k for _, k, _ in landed()] == list(range(215))
+
+
+def test_limit_moves_with_planned_batches_only():
+    reader = pages.FollowedReader(lambda offset, size, wanted: [(k,) for k in range(offset, min(95, offset + size))], 10, 20, {}, 20)
+    assert reader.latestOffset() == reader.latestOffset() == {"rows": 20}
+    reader.partitions({"rows": 20}, {"rows": 40})  # a batch that was planned by a run before
+    assert reader.latestOffset() == {"rows": 60}
+    reader.partitions({"rows": 60}, {"rows": 80})
+    assert reader.latestOffset() == {"rows": 95}
