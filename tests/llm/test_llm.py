@@ -318,6 +318,26 @@ def test_language_model_base_and_distribution(docs, rows, empty):
     assert np.exp2(-model.bits(every)).sum() == pytest.approx(1.0)
 
 
+def test_language_model_learns_from_all_texts(spark):
+    """Weights and map are those of a plain loop over every text, of which there is more than half a megabyte."""
+    rng = np.random.default_rng(7)
+    words = [bytes(rng.integers(97, 110, rng.integers(2, 8)).tolist()).decode() for _ in range(300)]
+    texts = [" ".join(rng.choice(words, 3000)) for _ in range(50)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").repartition(5)
+    model = lm_score.learn(frame)
+    values, sizes = lm_score.runs([t.encode() for t in [*texts, "", ""]])
+    assert len(values) > 1 << 19
+    plain = lm_score.Mixer(model.zeros, model.ones)
+    begun = plain.bits(values).sum()
+    for _ in range(lm_score.ROUNDS):
+        sums = lm_score._empty_sums()
+        plain.added(values, np.ones(len(values)), sums)
+        assert (sums["hits"].sum(1) == len(values)).all()
+        plain.step(sums)
+    assert np.allclose(model.weights, plain.weights) and np.allclose(model.map, plain.map)
+    assert plain.bits(values).sum() < begun
+
+
 def test_neighbours_by_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1500, 16)).astype(np.float32)
