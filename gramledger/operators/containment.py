@@ -21,8 +21,9 @@ one name, so that no rows are multiplied, sorted or shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import accumulate, chain
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Observation
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gramledger.operators.best_match import best_match
-from gramledger.operators.pieces import cheapest_pieces, known_pieces, piece_filter, sketch
+from gramledger.operators.pieces import ROWS, cheapest_pieces, known_pieces, piece_filter, sketch
 from gramledger.session import fresh_path, materialize
 
 # Characters of names held in memory by a task; an automaton takes some 40 bytes for each.
@@ -43,6 +44,8 @@ WIDTHS = (1, 2, 3, 4, 8)
 # Characters of a text that are cut into pieces at a time.
 SEGMENT = 50_000
 SALTS = 8
+# Names found that a task of the scan holds before it hands them on, and those of one text more.
+FOUND = 1 << 16
 # The key as a struct, which is equal to itself where the key is null.
 KEY = "_key"
 
@@ -193,15 +196,26 @@ def _finder(shared: Broadcast, returns: T.DataType) -> Callable[[Column], Column
         def numbers(text: str) -> set[int]:
             return {i for _, i in built.iter(text)} | everywhere if len(built) else everywhere
 
-        for texts in batches:
-            found = [set() if text is None else numbers(text) for text in texts.to_pylist()]
-            if every:
-                ends = pa.array(accumulate(map(len, found), initial=0), pa.int32())
-                yield pa.ListArray.from_arrays(
-                    ends, names.take(pa.array(chain.from_iterable(found), pa.int64()))
-                )
-            else:
-                yield names.take(pa.array([min(f, default=None) for f in found], pa.int64()))
+        def packed(found: list[np.ndarray]) -> pa.Array:
+            ends = pa.array(accumulate(map(len, found), initial=0), pa.int32())
+            return pa.ListArray.from_arrays(ends, names.take(pa.array(np.concatenate(found))))
+
+        for batch in batches:
+            for start in range(0, len(batch), ROWS):
+                texts = batch.slice(start, ROWS).to_pylist()
+                found = (set() if text is None else numbers(text) for text in texts)
+                if not every:
+                    yield names.take(pa.array([min(f, default=None) for f in found], pa.int64()))
+                    continue
+                held, n = [], 0
+                for f in found:  # a batch may hold any number of texts, and a text all names
+                    held.append(np.fromiter(f, np.int64, len(f)))
+                    n += len(f)
+                    if n >= FOUND:
+                        yield packed(held)
+                        held, n = [], 0
+                if held:
+                    yield packed(held)
 
     return F.arrow_udf(find, returns)
 

@@ -238,6 +238,27 @@ def test_sketch_never_counts_too_low(spark):
             assert real <= estimate <= real + 2
 
 
+def test_memory_of_a_task_does_not_grow_with_the_batch():
+    """Each of the tasks' parts holds as much for a batch of many rich texts as for one of few."""
+    import pyarrow as pa
+    from gramledger.operators import containment, pieces
+
+    class Shared:
+        value = {"names": [f"{i:03d}" for i in range(1000)]}
+
+    every = " ".join(Shared.value["names"])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(containment.F, "arrow_udf", lambda run, returns: run)
+        for rows in (100, 2000):
+            batch = pa.array([every] * rows)
+            found = list(containment._finder(Shared, T.ArrayType(T.StringType()))(iter([batch])))
+            assert sum(map(len, found)) == rows and max(len(f.values) for f in found) < containment.FOUND + 1000
+            assert all(sorted(set(x)) == sorted(x) and len(x) == 1000 for x in found[-1].to_pylist())
+            taken = [(start, len(some), sum(map(len, some))) for start, some in pieces.chunks(batch)]
+            assert sum(n for _, n, _ in taken) == rows and [s for s, _, _ in taken][1:] == [s + n for s, n, _ in taken][:-1]
+            assert max(size for _, _, size in taken) <= pieces.CHUNK and max(n for _, n, _ in taken) <= pieces.ROWS
+
+
 def test_no_text_is_copied_for_each_of_its_pieces(spark):
     """What a task hands back of a text is its row, once, with the pieces as an array."""
     import pyarrow as pa
