@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 INGEST_DATE = "ingest_date"
 RAW, REASON = "_raw", "_reason"
 
+# Landed JSON repeats its field names on every line, so it is compressed. Spark does not split such a file; the
+# limit keeps it small enough for one task.
+LANDED_JSON = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
 
 def run_date(given: str | None = None) -> str:
     """Date of a run: the one given, else today."""
@@ -33,7 +37,7 @@ def write_dated(
     ``day`` is the date of the whole frame. Without it the frame brings its own ``ingest_date``, and rows of
     a day are brought together first, in as many tasks as the day needs.
     ``replace`` swaps the days that are written and leaves the others alone; with ``day``, that day is
-    swapped even if there are no rows. ``append`` adds to them.
+    swapped even if there are no rows. ``append`` adds to them. JSON is compressed, in files of bounded size.
     """
     if mode not in ("replace", "append"):
         raise ValueError("mode is 'replace' or 'append'")
@@ -43,14 +47,15 @@ def write_dated(
         dated = df.withColumn(INGEST_DATE, F.lit(day).cast("date"))
     seen = Observation()
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.partitionBy(INGEST_DATE).format(fmt)
+    options = LANDED_JSON if fmt == "json" else {}
+    writer = counted.write.partitionBy(INGEST_DATE).format(fmt).options(**options)
     if mode == "append":
         writer.mode("append").save(path)
     elif day is None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
     else:  # the folder itself, so that a delivery without rows leaves none of the old ones
         folder = f"{path.rstrip('/')}/{INGEST_DATE}={day}"
-        counted.drop(INGEST_DATE).write.format(fmt).mode("overwrite").save(folder)
+        counted.drop(INGEST_DATE).write.format(fmt).options(**options).mode("overwrite").save(folder)
     return {"rows": seen.get["rows"], "schema": df.schema.simpleString()}
 
 
@@ -63,8 +68,8 @@ def read_dated_json(
 ) -> DataFrame:
     """Landed JSON with a fixed schema; ``day`` reads that folder only.
 
-    New files are JSON Lines, which Spark splits. ``arrays=True`` reads older files, one JSON array
-    each, which it cannot split.
+    New files are JSON Lines, compressed or not. ``arrays=True`` reads older files, one JSON array each, which Spark
+    cannot split.
     """
     dated = T.StructType([*schema.fields, T.StructField(INGEST_DATE, T.DateType())])
     df = spark.read.schema(dated).option("multiLine", arrays).json(path)

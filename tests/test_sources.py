@@ -237,3 +237,16 @@ def test_days_and_pages_are_not_scattered_over_files(spark, tmp_path):
         files = list((tmp_path / folder).glob("*=*/part-*"))
         assert len(files) == parts
     assert bronze.read_parts(spark, str(tmp_path / "days")).count() == 4000
+
+
+def test_landed_json_is_compressed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(bronze.LANDED_JSON, "maxRecordsPerFile", 300)
+    rows = spark.range(0, 1000, 1, 2).select(F.col("id").alias("k"), F.lit("Y").alias("v"))
+    for mode in ("replace", "append"):
+        bronze.write_dated(rows, str(tmp_path / "days"), "2024-02-01", fmt="json", mode=mode)
+    files = list((tmp_path / "days").glob("*=*/part-*"))
+    text = sum(len(f'{{"k":{k},"v":"Y"}}\n') for k in range(1000))
+    assert len(files) == 2 * 4 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 2 * text / 2
+    back = bronze.read_dated_json(spark, str(tmp_path / "days"), ROW, "2024-02-01")
+    assert sorted(r["k"] for r in back.collect()) == sorted([*range(1000)] * 2)
