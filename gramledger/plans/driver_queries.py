@@ -545,7 +545,7 @@ def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None) -
             lines = [
                 json.loads(line)
                 for f in listed
-                if f.base_name.endswith(".json")
+                if f.base_name.endswith((".json", ".json.gz"))  # opened by their ending
                 for line in files.open_input_stream(f.path).read().decode().splitlines()
             ]
             lines.sort(key=lambda r: r["position"])

@@ -20,6 +20,7 @@ from pyspark.sql.datasource import (
 )
 
 from gramledger.schemas import envelope
+from gramledger.sources.bronze import LANDED_JSON
 
 # Rows per page and page limit of the two feeds.
 PAYMENT_PAGE_SIZE, PAYMENT_PAGES = 5000, 40
@@ -31,10 +32,10 @@ PAGE = "page"
 def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE) -> None:
     """Write rows as page folders; ``offset`` is each row's position in the feed, from 0.
 
-    Rows of a page are brought together first, or every task would add a file to every page.
+    Rows of a page are brought together first, or every task would add a file to every page. The files are compressed.
     """
     paged = df.withColumn(PAGE, F.floor(F.col(offset) / page_size).cast("long"))
-    paged.hint("rebalance", PAGE).write.partitionBy(PAGE).json(path)
+    paged.hint("rebalance", PAGE).write.partitionBy(PAGE).options(**LANDED_JSON).json(path)
 
 
 def read_pages(

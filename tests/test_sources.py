@@ -250,3 +250,12 @@ def test_landed_json_is_compressed_in_files_of_bounded_size(spark, tmp_path, mon
     assert sum(f.stat().st_size for f in files) < 2 * text / 2
     back = bronze.read_dated_json(spark, str(tmp_path / "days"), ROW, "2024-02-01")
     assert sorted(r["k"] for r in back.collect()) == sorted([*range(1000)] * 2)
+
+
+def test_landed_pages_are_compressed(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").alias("k"), F.lit("Y").alias("v"))
+    pages.land_pages(df, "k", str(tmp_path / "p"), page_size=1000)
+    files = list((tmp_path / "p").glob("page=*/part-*"))
+    assert len(files) == 2 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < sum(len(f'{{"k":{k},"v":"Y"}}\n') for k in range(2000)) / 2
+    assert pages.read_pages(spark, str(tmp_path / "p"), ROW).count() == 2000
