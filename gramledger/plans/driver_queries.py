@@ -520,13 +520,17 @@ def paged_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def paged_stop(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders landed as small pages of which the middle one came empty: the pages ahead of it count."""
+    """Orders landed as small pages of which the middle one came empty: the pages ahead of it count.
+
+    A folder holds as many of them as make a page of the usual size.
+    """
     path, size = fresh_path(spark, "pages"), 250
+    folder_pages = pages.PAYMENT_PAGE_SIZE // size
     orders = order_records(spark, folder)
     page = F.floor(F.col("o_orderkey") / size)
     middle = orders.agg(F.floor(F.floor(F.max("o_orderkey") / size) / 2)).scalar()
-    pages.land_pages(orders.where(page != middle), "o_orderkey", path, size)
-    return pages.read_pages(spark, path, ORDER_RECORD)
+    pages.land_pages(orders.where(page != middle), "o_orderkey", path, size, folder_pages)
+    return pages.read_pages(spark, path, ORDER_RECORD, folder_pages=folder_pages)
 
 
 def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None) -> Callable:

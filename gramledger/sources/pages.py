@@ -26,27 +26,40 @@ from gramledger.sources.bronze import LANDED_JSON
 PAYMENT_PAGE_SIZE, PAYMENT_PAGES = 5000, 40
 RECALL_PAGE_SIZE, RECALL_PAGES = 1000, 10
 
-PAGE = "page"
+PAGE, FOLDER = "page", "pages"
 
 
-def land_pages(df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE) -> None:
+def land_pages(
+    df: DataFrame, offset: str, path: str, page_size: int = PAYMENT_PAGE_SIZE, folder_pages: int = 1
+) -> None:
     """Write rows as page folders; ``offset`` is each row's position in the feed, from 0.
 
     Rows of a page are brought together first, or every task would add a file to every page. The files are compressed.
+    With ``folder_pages``, so many small pages share a folder and their records name their page: to make, list and open a
+    folder takes longer than to read a small page. ``read_pages`` is told the same number.
     """
     paged = df.withColumn(PAGE, F.floor(F.col(offset) / page_size).cast("long"))
-    paged.hint("rebalance", PAGE).write.partitionBy(PAGE).options(**LANDED_JSON).json(path)
+    part = PAGE
+    if folder_pages > 1:
+        part = FOLDER
+        paged = paged.withColumn(FOLDER, F.floor(F.col(PAGE) / folder_pages))
+    paged.hint("rebalance", part).write.partitionBy(part).options(**LANDED_JSON).json(path)
 
 
 def read_pages(
-    spark: SparkSession, path: str, schema: T.StructType, max_pages: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, max_pages: int | None = None, folder_pages: int = 1
 ) -> DataFrame:
     """Rows of the landed pages ahead of the first empty one.
 
     A page is filled if a record is parsed from it, whatever the size or the compression of its file.
     """
     paged = T.StructType([*schema.fields, T.StructField(PAGE, T.LongType())])
-    return until_empty_page(spark.read.schema(paged).json(path), max_pages)
+    if folder_pages == 1:
+        return until_empty_page(spark.read.schema(paged).json(path), max_pages)
+    df = spark.read.schema(paged.add(FOLDER, T.LongType())).json(path)
+    if max_pages is not None:  # prunes folders, as the limit itself does where each page has its own
+        df = df.where(F.col(FOLDER) * folder_pages < max_pages)
+    return until_empty_page(df.drop(FOLDER), max_pages)
 
 
 def until_empty_page(

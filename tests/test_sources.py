@@ -259,3 +259,15 @@ def test_landed_pages_are_compressed(spark, tmp_path):
     assert len(files) == 2 and all(f.name.endswith(".json.gz") for f in files)
     assert sum(f.stat().st_size for f in files) < sum(len(f'{{"k":{k},"v":"Y"}}\n') for k in range(2000)) / 2
     assert pages.read_pages(spark, str(tmp_path / "p"), ROW).count() == 2000
+
+
+def test_small_pages_share_folders(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit("Y").alias("v")).where("k not between 470 and 479")
+    path = str(tmp_path / "p")
+    pages.land_pages(rows, "k", path, page_size=10, folder_pages=25)
+    assert len(list((tmp_path / "p").glob("pages=*/part-*"))) == 4
+    found = pages.read_pages(spark, path, ROW, folder_pages=25)
+    assert found.columns == ["k", "v", "page"]
+    assert sorted((r["k"], r["page"]) for r in found.collect()) == [(k, k // 10) for k in range(470)]
+    assert pages.read_pages(spark, path, ROW, max_pages=7, folder_pages=25).count() == 70
+    assert pages.read_pages(spark, path, ROW, max_pages=30, folder_pages=25).count() == 300
