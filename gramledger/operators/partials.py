@@ -72,8 +72,13 @@ def history_partials(
     )
 
 
-def merge_histories(partials: DataFrame, name: str = "generic_name_clean") -> DataFrame:
-    """The summary of all rows from the partial states of their days."""
+def merge_histories(partials: DataFrame, name: str = "generic_name_clean", parts: int | None = None) -> DataFrame:
+    """The summary of all rows from the partial states of their days.
+
+    With ``parts``, pairs are brought together in so many tasks first, so that a task's groups do not grow with the states.
+    """
+    if parts is not None:
+        partials = partials.repartition(parts, "name", "firm")
     added = [F.sum("events").alias("events"), F.min("worst").alias("worst"), F.max("latest").alias("latest")]
     pairs = partials.groupBy("name", "firm").agg(*added, F.sum("ongoing").alias("ongoing"))
     return pairs.groupBy(F.col("name").alias(name)).agg(

@@ -22,9 +22,9 @@ from gramledger.plans import board, daily, explain, gold
 from gramledger.plans import driver_tables as D
 from gramledger.plans.silver import silver_payments, silver_recalls
 from gramledger.schemas import BRONZE_PAYMENTS, BRONZE_RECALLS, PAYMENT_RECORD
-from gramledger.session import fresh_path, materialize, spread_small
+from gramledger.session import bounded_parts, fresh_path, materialize, parts_of, spread_small
 from gramledger.sources import bronze, pages, snapshot
-from gramledger.sources.published import publish_days, read_published
+from gramledger.sources.published import publish_days, published_rows, read_published
 from gramledger.streaming.incremental import drop_repeats, land_new_files, land_recent_files
 
 RUN_TS = "2024-02-01T00:00:00"
@@ -184,10 +184,12 @@ def history_by_days(spark: SparkSession, folder: str) -> DataFrame:
     late = F.col(bronze.INGEST_DATE) >= "1996-01-01"
     day = [bronze.INGEST_DATE]
     ongoing = D.ONGOING_STATUS
-    publish_days(history_partials(dated.where(~late | (F.col("status") != ongoing)), ongoing=ongoing, by=day), path)
     states = history_partials(dated.where(late), ongoing=ongoing, by=day)
-    publish_days(states, path)
-    return _wide_rank(merge_histories(read_published(spark, path, states.schema)))
+    with bounded_parts(spark, D.table(spark, folder, "lineitem").count()):
+        publish_days(history_partials(dated.where(~late | (F.col("status") != ongoing)), ongoing=ongoing, by=day), path)
+        publish_days(states, path)
+    parts = parts_of(published_rows(spark, path))
+    return _wide_rank(merge_histories(read_published(spark, path, states.schema), parts=parts))
 
 
 def staged_payments(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,6 +83,11 @@ def read_published(
     return spark.read.schema(wide).option("basePath", f"{path}/data").parquet(*folders).where(days).drop("version")
 
 
+def published_rows(spark: SparkSession, path: str) -> int:
+    """Rows of the versions that count now, those of their replaced days included."""
+    return published(spark, path).select("version", "rows").distinct().agg(F.sum("rows")).collect()[0][0] or 0
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
     """Delete the data of versions that none of the last ``keep`` published states reads; returns their names.
 
