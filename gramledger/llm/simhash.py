@@ -12,6 +12,7 @@ forests are joined to components by repeated joins.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ FANOUT = 8
 #: Fingerprints per block, and blocks at most: their patterns are known to every task.
 BLOCK_ROWS = 512
 MOST_BLOCKS = 8192
-#: Fingerprints that go down the index together.
-QUERIES = 8192
+#: Pairs of a fingerprint and a mark or pattern that are compared at once; a pair takes some 80 bytes meanwhile.
+PAIRS = 1 << 19
 
 
 def fingerprint(text: bytes, size: int = WORDS) -> int:
@@ -95,9 +96,13 @@ class Index:
             above = shared
 
     def search(self, queries: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (position of a query, position of a mark) that differ in at most ``bits`` bits."""
-        for start in range(0, len(queries), QUERIES):
-            part = queries[start : start + QUERIES]
+        """Pairs (position of a query, position of a mark) that differ in at most ``bits`` bits.
+
+        As many queries go down together as make ``PAIRS`` pairs with all marks, so memory does not follow the hits.
+        """
+        together = max(1, PAIRS // len(self.marks))
+        for start in range(0, len(queries), together):
+            part = queries[start : start + together]
             top = len(self.levels[0][0])
             which = np.repeat(np.arange(len(part)), top)
             node = np.tile(np.arange(top), len(part))
@@ -130,6 +135,27 @@ def forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+def _labels(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """:func:`forest` of links that come part by part; some ``PAIRS`` of them are held."""
+    label, held, waiting = np.arange(size), [], 0
+    for part in chain(pairs, [None]):
+        if part is not None:
+            apart = part[0] != part[1]
+            held.append((part[0][apart], part[1][apart]))
+            waiting += len(held[-1][0])
+        if waiting and (part is None or waiting >= PAIRS):
+            tied = np.flatnonzero(label != np.arange(size))
+            held.append((tied, label[tied]))
+            label, held, waiting = forest(size, *map(np.concatenate, zip(*held))), [], 0
+    return label
+
+
+def _rank(batch: pa.RecordBatch) -> np.ndarray:
+    """Gray ranks of the first column; flipping the top bit makes signed order the order of the ranks."""
+    rank = gray_rank(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+    return (rank ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def links(marks: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of ``marks.fp`` within ``bits`` bits.
 
@@ -139,28 +165,25 @@ def links(marks: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> D
     n = marks.count()
     blocks = max(1, min(MOST_BLOCKS, -(-n // block_rows)))
 
+    # one Python step per stage: every further one would keep a worker of its own per core
     def gray(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = gray_rank(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            # flipping the top bit makes signed order the order of the ranks
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array((rank ^ np.uint64(1 << 63)).view(np.int64))], ["fp", "gray"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(_rank(batch))], ["gray"])
 
-    ranked = marks.select("fp").mapInArrow(gray, "fp long, gray long")
     splits = []
     if blocks > 1:
         at = [k / blocks for k in range(1, blocks)]
+        ranked = marks.select("fp").mapInArrow(gray, "gray long")
         found = ranked.agg(F.percentile_approx("gray", at, max(10_000, 20 * blocks)).alias("s")).first()["s"]
         splits = sorted(set(found))
     edges = np.array(splits, np.int64)
 
     def block_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.searchsorted(edges, batch.column(1).to_numpy(zero_copy_only=False))
+            at = np.searchsorted(edges, _rank(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.int64())], ["fp", "block"])
 
-    dealt = ranked.mapInArrow(block_of, "fp long, block long")
+    dealt = marks.select("fp").mapInArrow(block_of, "fp long, block long")
     shape = (
         dealt.groupBy("block").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).orderBy("block")
     ).collect()  # one row per block, MOST_BLOCKS at most
@@ -170,10 +193,11 @@ def links(marks: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> D
     shared = ~(every ^ some)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        together = max(1, PAIRS // max(1, len(number)))
         for batch in batches:
-            marks, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for start in range(0, len(marks), 4096):
-                part, home = marks[start : start + 4096], own[start : start + 4096]
+            marks, own = batch.column(0).to_numpy(zero_copy_only=False), np.searchsorted(edges, _rank(batch))
+            for start in range(0, len(marks), together):
+                part, home = marks[start : start + together], own[start : start + together]
                 away = np.bitwise_count((part.view(np.uint64)[:, None] ^ every) & shared)
                 # a pair from two blocks is found in the lower one
                 row, column = np.nonzero((away <= bits) & (number <= home[:, None]))
@@ -191,18 +215,13 @@ def links(marks: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> D
         member = table["member"].to_numpy()
         index = Index(marks[member])
         everyone = np.concatenate((index.marks, marks[~member]))
-        label = np.arange(len(everyone))
-        for which, node in index.search(everyone, bits):
-            apart = which != node
-            which, node = which[apart], node[apart]
-            if len(which):
-                label = forest(len(everyone), np.concatenate((np.arange(len(label)), which)), np.concatenate((label, node)))
+        label = _labels(len(everyone), index.search(everyone, bits))
         tied = label != np.arange(len(label))
         return pa.table(
             {"a": everyone[label[tied]].view(np.int64), "b": everyone[tied].view(np.int64)},
         )
 
-    routed = dealt.mapInArrow(route, "fp long, block long, member boolean")
+    routed = marks.select("fp").mapInArrow(route, "fp long, block long, member boolean")
     return routed.groupBy("block").applyInArrow(search, "a long, b long")
 
 

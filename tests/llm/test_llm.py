@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -123,6 +124,22 @@ def test_simhash_index_is_exact():
     assert found == {(int(marks[i]), int(marks[j])) for i, j in zip(*np.nonzero(near))}
 
 
+def test_simhash_search_has_bounded_memory(spark):
+    rng = np.random.default_rng(2)
+    marks = np.unique(rng.integers(0, 2**63, 512, dtype=np.uint64))
+    queries_ = np.concatenate((marks, rng.integers(0, 2**63, 16384 - len(marks), dtype=np.uint64)))
+    index = simhash.Index(marks)
+    tracemalloc.start()
+    label = simhash._labels(len(queries_), index.search(queries_, 64))  # all are near: no branch is left out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (label == 0).all() and peak < 100e6
+    # and a task of a stage has one Python worker, not one for each step
+    frame = spark.createDataFrame([(int(m),) for m in marks], "fp long")
+    plan = simhash.links(frame, block_rows=32)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow ") == 1
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(50)] + [(1000, 1000 + i) for i in range(1, 40)]
     found = dict(map(tuple, simhash.components(spark.createDataFrame(links, "a long, b long")).collect()))
