@@ -44,16 +44,25 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """One document per component: the one whose id is the component's; of rows that repeat that id, one."""
     in_small_batches(spark)
     columns = docs.columns
-    row = unused(columns, "row_number_")
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    row = [unused(columns, n) for n in ("file_", "row_number_")]
+    numbered = with_places(docs, *row)
     # a component of null ids only has a null id and its fingerprint stands for it
-    found = simhash.near_duplicates(numbered, carry=(row,))
+    found = simhash.near_duplicates(numbered, carry=tuple(row))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), "fingerprint"))
-    first = F.min(F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), F.col(quoted(row))))
-    kept = found.groupBy(group.alias("group_")).agg(first.alias("first_")).select(F.col(f"first_.{quoted(row)}"))
-    chosen = written(numbered.join(kept, row, "left_semi").select(*map(quoted, columns)), "chosen")
-    discard(numbered)  # with the shuffle files of its join, which hold the texts once more
-    return chosen
+    place = F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), *map(quoted, row))
+    kept = found.groupBy(group.alias("group_")).agg(F.min(place).alias("first_"))
+    kept = kept.select(*(F.col(f"first_.{quoted(r)}") for r in row))
+    return numbered.join(kept, row, "left_semi").select(*map(quoted, columns))
+
+
+def with_places(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """``docs`` with the key of each row's file and its number there, which any reading of the files repeats.
+
+    A plain scan of Parquet files, as every stage is given, is not written again; anything else is, once.
+    """
+    scan = docs if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" else written(docs, "placed")
+    place = scan.metadataColumn("_metadata")
+    return scan.withColumns({file: F.xxhash64(place["file_path"]), row: place["row_index"]})
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

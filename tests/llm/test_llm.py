@@ -31,6 +31,7 @@ from gramledger.llm import (
     toxicity,
     url_filter,
 )
+from gramledger.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, score string, n_bytes int"
@@ -493,6 +494,23 @@ def test_stages_keep_their_columns(spark, docs, empty, tmp_path):
         assert stage(spark, current.where("doc_id = 10"), str(tmp_path)).count() == (1 if frame is docs else 0)
 
 
+def test_near_copies_go_without_another_copy_of_the_texts(spark, docs, rows, tmp_path):
+    before = Counter(r[1:] for r in rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    shared = Path(shared_folder(spark).removeprefix("file://"))
+    there = set(shared.iterdir())
+    scan = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, scan, str(tmp_path))
+    found = kept.collect()
+    assert not [p.name for p in set(shared.iterdir()) - there if "text" in spark.read.parquet(str(p)).columns]
+    # one row per component: the one of the smallest id, whole; the same from a frame that is no file
+    least = {r["component_id"] for r in simhash.near_duplicates(scan).collect()}
+    assert Counter(r["doc_id"] for r in found) == Counter(least)
+    assert all(tuple(r)[1:] in before for r in found)
+    other = corpus_pipeline.keep_one_of_near_copies(spark, docs, str(tmp_path))
+    assert Counter(r["doc_id"] for r in other.collect()) == Counter(least)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_equals_sql(spark, name):
