@@ -36,6 +36,9 @@ SPAN = 400
 WINDOW = 16
 REACH = 32
 
+#: Bytes of a stretch of repeated phrases that is told.
+STRETCH = 128
+
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -290,13 +293,16 @@ def remove_repeats(
     span: int = SPAN,
     kept_text: str | None = None,
     names: tuple[str, str, str, str] = ("n_bytes", "n_removed", "n_spans", "kept_sha256"),
+    longest: str | None = None,
 ) -> DataFrame:
     """Carried columns, then bytes, removed bytes, maximal removed runs and the digest of what is left.
 
     A byte goes if a ``span``-byte string that covers it also starts elsewhere, in the same text or another. Null and
     empty texts have no bytes. Repeated rows are different places, so texts of ``span`` bytes or more that occur
     twice go whole. With ``kept_text``, a column of that name holds what is left; a character that lost some of its
-    bytes is left out.
+    bytes is left out. With ``longest``, a last column of that name tells of shorter repeats too, which stay: the bytes
+    of the longest removed run or, if that is more, of the longest stretch of whole phrases that each occur elsewhere,
+    in that order or not. A stretch below ``STRETCH`` bytes, as within chance, or in a text below ``span`` is none.
     """
     n = len(carry)
     frame = docs.select(
@@ -322,7 +328,7 @@ def remove_repeats(
             F.flatten(F.collect_list("ranges")).alias("ranges")
         )
     )
-    texts = written(found.select("tid", "k1", "k2"), "texts")
+    texts = written(_stretches(found) if longest else found.select("tid", "k1", "k2"), "texts")
     discard(found)
     # 3. the passages themselves
     asked = frame.select("k1", "k2", "text").join(texts.join(compared, "tid"), ["k1", "k2"])
@@ -337,11 +343,32 @@ def remove_repeats(
     closed, open_ = (
         sorted_out.where(F.col("what") == w).select("tid", F.col("ranges").alias(w)) for w in ("closed", "open")
     )
-    facts = closed.join(open_, "tid", "full").join(lonely, "tid", "left").join(texts, "tid")
+    facts = closed.join(open_, "tid", "full").join(lonely, "tid", "left")
+    if longest:
+        facts = texts.join(facts, "tid", "left").where("stretch > 0 OR closed IS NOT NULL OR open IS NOT NULL")
+    else:
+        facts = facts.join(texts, "tid")
     # copies of a text have the same facts
     facts = written(facts.dropDuplicates(["k1", "k2"]).drop("tid"), "facts")
     discard(texts, sorted_out)
-    return _cut_out(frame.join(facts, ["k1", "k2"], "left"), n, span, kept_text, carry, names)
+    return _cut_out(frame.join(facts, ["k1", "k2"], "left"), n, span, kept_text, carry, names, longest)
+
+
+def _stretches(found: DataFrame) -> DataFrame:
+    """(tid, k1, k2, stretch): bytes between the phrases that occur once, where they are furthest apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            longest = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                at, listed = batch.column(3)[i].values.to_numpy(), batch.column(4)[i].values
+                once = np.zeros(0, np.int64) if listed is None else np.sort(listed.to_numpy())
+                longest[i] = (np.append(at[once], at[-1]) - np.append(0, at[once + 1])).max()
+            longest[longest < STRETCH] = 0
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(longest)], ["tid", "k1", "k2", "stretch"])
+
+    plain = found.select("tid", "k1", "k2", "cuts", "unique")
+    return plain.mapInArrow(run, "tid long, k1 long, k2 long, stretch long")
 
 
 def _windows(asked: DataFrame, span: int) -> DataFrame:
@@ -362,19 +389,22 @@ def _windows(asked: DataFrame, span: int) -> DataFrame:
     return asked.mapInArrow(run, "h1 long, h2 int, tid long, first int")
 
 
-def _cut_out(frame: DataFrame, n: int, span: int, kept_text: str | None, carry: tuple, names: tuple) -> DataFrame:
+def _cut_out(
+    frame: DataFrame, n: int, span: int, kept_text: str | None, carry: tuple, names: tuple, longest: str | None
+) -> DataFrame:
     fields = [T.StructField(f"c{i}", frame.schema[f"c{i}"].dataType) for i in range(n)]
     kinds = [T.LongType(), T.LongType(), T.LongType(), T.StringType(), *([T.StringType()] if kept_text else [])]
+    kinds += [T.LongType()] if longest else []
     fields += [T.StructField(f"r{i}", k) for i, k in enumerate(kinds)]
     lists = ["closed", "open", "single"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in cut(batch, n):
-                sizes, removed, spans, digests, texts = [], [], [], [], []
+                sizes, removed, spans, digests, texts, runs = [], [], [], [], [], []
                 facts = [part.column(n + 1 + k).to_pylist() for k in range(len(lists))]
                 for data, closed, rest, single in zip(as_bytes(part.column(n)), *facts):
-                    left, gone, pieces = data, 0, 0
+                    left, gone, pieces, most = data, 0, 0, 0
                     if closed or rest:
                         size = len(data)
                         flags = _starts(rest, size)
@@ -387,11 +417,13 @@ def _cut_out(frame: DataFrame, n: int, span: int, kept_text: str | None, carry:
                         delta[at + span] -= 1
                         out = np.cumsum(delta[:-1]) > 0
                         gone = int(out.sum())
-                        pieces = int(np.count_nonzero(np.diff(out, prepend=False) & out))
+                        edges = np.flatnonzero(np.diff(out, prepend=False, append=False))
+                        pieces, most = len(edges) // 2, int((edges[1::2] - edges[::2]).max(initial=0))
                         left = np.frombuffer(data, np.uint8)[~out].tobytes()
                     sizes.append(len(data))
                     removed.append(gone)
                     spans.append(pieces)
+                    runs.append(most)
                     digests.append(hashlib.sha256(left).hexdigest())
                     if kept_text:
                         texts.append(left.decode("utf-8", "ignore") if gone else data.decode())
@@ -399,8 +431,12 @@ def _cut_out(frame: DataFrame, n: int, span: int, kept_text: str | None, carry:
                 columns += [pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
                 if kept_text:
                     columns.append(pa.array(texts, pa.string()))
+                if longest:
+                    stretches = part.column(n + 1 + len(lists)).to_numpy(zero_copy_only=False)
+                    columns.append(pa.array(np.maximum(stretches, np.array(runs, np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    plain = frame.select(*(f"c{i}" for i in range(n)), "text", *lists)
+    told = [F.coalesce("stretch", F.lit(0).cast("long"))] if longest else []
+    plain = frame.select(*(f"c{i}" for i in range(n)), "text", *lists, *told)
     result = plain.mapInArrow(run, T.StructType(fields))
-    return result.toDF(*carry, *names, *([kept_text] if kept_text else []))
+    return result.toDF(*carry, *names, *([kept_text] if kept_text else []), *([longest] if longest else []))

@@ -91,6 +91,22 @@ def test_repeated_passages(docs, rows, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeats_too_short_to_be_removed_are_told(spark, tmp_path):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = lambda n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    short, long_ = own(55), own(90)  # 329 and 539 bytes
+    texts = [f"{own(150)} {short} {own(150)}", f"{own(90)} {short} {own(60)}", own(300), None, "ab" * 600]
+    texts += [f"{own(100)} {long_} {own(40)}", f"{long_} {own(200)}"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.op1_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert found[0].asDict().keys() == {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "longest_repeat"}
+    told = {i: (r["n_removed"] > 0, r["longest_repeat"]) for i, r in found.items()}
+    assert all(not told[i][0] and 128 <= told[i][1] <= 331 for i in (0, 1))
+    assert told[2] == told[3] == (False, 0) and told[4] == (True, 1200)
+    assert all(told[i][0] and 539 <= told[i][1] <= 541 for i in (5, 6))
+
+
 def test_simhash_components(docs, rows, empty):
     def mark(text):
         w = (text or "").encode().lower().split()
