@@ -6,11 +6,15 @@ Spark plans such a join as a nested loop over all pairs. Here every description
              through one multi-pattern automaton and adds the array of names found. No text is moved,
              rows keep their partitioning, and the work grows with the text and not with the pairs.
              Names beyond one task's memory are left to the next way, which reads the texts once too.
-``grams``    for workers without the automaton package: an equi-join on fixed-width pieces of the text
-             against the broadcast names, then ``contains``. A name is looked up by the one of its pieces
-             that is rarest in the texts, and only pieces that some name is looked up by leave a text.
-``shuffle``  any number of names: the pieces (key and piece, not the text) are shuffled on a salted key,
-             candidates meet their text once, and ``contains`` decides.
+``grams``    for workers without the automaton package: an equi-join of the strings in the text, by their
+             hashes, with the broadcast names. A task reads each text once and hands its names on as an array.
+``shuffle``  any number of names: strings that may be names, told by tables of bounded size, are shuffled on
+             a salted key, once per block of texts. What is a name goes back to its block, and each text gets
+             its names as an array.
+
+In the last two, names beyond ``WHOLE`` characters are joined by fixed-width pieces, then ``contains`` decides. Such a
+name is looked up by the one of its pieces that is rarest in the texts, and only pieces that some name is looked up by
+leave a text.
 
 All three give the same rows. ``auto`` measures the names and picks the first that can hold them; a way
 that is asked for gives way to the next if it cannot. When only the best name per description is wanted,
@@ -20,7 +24,8 @@ one name, so that no rows are multiplied, sorted or shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -31,7 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gramledger.operators.best_match import best_match
-from gramledger.operators.pieces import ROWS, cheapest_pieces, known_pieces, piece_filter, sketch
+from gramledger.operators.pieces import (
+    ROWS,
+    WHOLE,
+    blocks_of_texts,
+    cheapest_pieces,
+    known_names,
+    known_pieces,
+    names_by_text,
+    names_in_texts,
+    piece_filter,
+    sketch,
+)
 from gramledger.session import fresh_path, materialize
 
 # Characters of names held in memory by a task; an automaton takes some 40 bytes for each.
@@ -39,8 +55,8 @@ SCAN_CHARS = 4_000_000
 # Characters of names, and bytes of the joined name table, that may be broadcast as a hash table.
 BROADCAST_CHARS = 16_000_000
 BROADCAST_BYTES = 128_000_000
-# Piece widths; a name is looked up by one piece of the widest size that fits into it.
-WIDTHS = (1, 2, 3, 4, 8)
+# Width of the piece by which a long name is looked up.
+WIDTH = 8
 # Characters of a text that are cut into pieces at a time.
 SEGMENT = 50_000
 SALTS = 8
@@ -83,9 +99,9 @@ def contains_join(
         found = _finder(_shared(names, name), T.ArrayType(T.StringType()))
         matched = prepared.withColumn(name, F.explode_outer(found(F.col("_text"))))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    matches = _piece_pairs(prepared, names, KEY, name, move=strategy == "shuffle").join(names, name)
-    joined = prepared.join(matches.select(KEY, *right.columns), KEY, "left")
-    return joined.select(*left.columns, *right.columns)
+    found = _names_found(prepared, names, KEY, name, move=strategy == "shuffle").withColumnRenamed(name, "_names")
+    matched = prepared.join(found, KEY, "left").withColumn(name, F.explode_outer("_names"))
+    return matched.join(names, name, "left").select(*left.columns, *right.columns)
 
 
 def best_contained(
@@ -113,7 +129,8 @@ def best_contained(
         found = _finder(_shared(names.orderBy(*order), name), T.StringType())
         matched = prepared.withColumn(name, found(F.col("_text")))
         return matched.join(names, name, "left").select(*left.columns, *right.columns)
-    pairs = _piece_pairs(prepared, names, KEY, name, move=strategy == "shuffle").join(names, name)
+    found = _names_found(prepared, names, KEY, name, move=strategy == "shuffle")
+    pairs = found.withColumn(name, F.explode(name)).join(names, name)
     best = best_match(pairs.select(KEY, *right.columns), KEY, order)
     return prepared.join(best, KEY, "left").select(*left.columns, *right.columns)
 
@@ -229,7 +246,7 @@ def _segments(texts: DataFrame, key: str, longest: int) -> DataFrame:
     last = F.floor(F.greatest(F.length("_text") - 1, F.lit(0)) / SEGMENT)
     starts = texts.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     begin = (F.col("_nth") * SEGMENT + 1).cast("int")
-    length = F.lit(SEGMENT + max(WIDTHS) - 1)
+    length = F.lit(SEGMENT + WIDTH - 1)
     before = F.least(begin - 1, F.lit(longest))
     return starts.select(
         key,
@@ -238,22 +255,58 @@ def _segments(texts: DataFrame, key: str, longest: int) -> DataFrame:
     )
 
 
-def _width(name: str) -> Column:
-    """Widest piece that fits into a name; 0 for the empty name."""
-    fits = [F.when(F.length(name) >= w, F.lit(w)) for w in reversed(WIDTHS)]
-    return F.coalesce(*fits, F.lit(0))
-
-
-def _piece_pairs(
-    prepared: DataFrame, names: DataFrame, key: str, name: str, move: bool
-) -> DataFrame:
+def _names_found(prepared: DataFrame, names: DataFrame, key: str, name: str, move: bool) -> DataFrame:
+    """(key, name), where ``name`` is an array of names that the text holds; a key has no row, one or several."""
     words = names.select(name).distinct()
-    # A handful of integers: which widths the names need at all, and how long they get.
-    sizes = words.groupBy(_width(name).alias("_width")).agg(F.max(F.length(name)).alias("_longest"))
-    lengths = {r["_width"]: r["_longest"] for r in sizes.collect()}
-    widths, longest = sorted(lengths), max(lengths.values(), default=0)
+    # A handful of integers: which lengths short names have, how many there are, and how long the long ones get.
+    size = F.least(F.length(name), F.lit(WHOLE + 1))
+    sizes = words.groupBy(size.alias("_size")).agg(F.count("*").alias("_n"), F.max(F.length(name)).alias("_longest")).collect()
+    lengths = {r["_size"]: r["_n"] for r in sizes if 0 < r["_size"] <= WHOLE}
     texts = prepared.where(F.col("_text").isNotNull()).select(key, "_text")
-    cut = [w for w in widths if w]
+    ways = []
+    if lengths:
+        short = words.where(F.length(name).between(1, WHOLE))
+        ways.append(_short_moved(texts, short, key, name, lengths) if move else _short_held(texts, short, key, name))
+    if longest := max((r["_longest"] for r in sizes if r["_size"] > WHOLE), default=0):
+        pairs = _long_pairs(texts, words.where(F.length(name) > WHOLE), key, name, longest, move)
+        ways.append(pairs.select(key, F.array(name).alias(name)))
+    found = reduce(DataFrame.unionAll, ways) if ways else texts.where("false").select(key, F.array(F.lit("")).alias(name))
+    if not move:
+        one_each = F.array_distinct(F.flatten(F.collect_list(name)))
+        found = found.groupBy(key).agg(one_each.alias(name))
+    # The empty name is in every text.
+    everywhere = any(r["_size"] == 0 for r in sizes)
+    return found.unionAll(texts.select(key, F.array(F.lit("")).alias(name))) if everywhere else found
+
+
+def _short_held(texts: DataFrame, short: DataFrame, key: str, name: str) -> DataFrame:
+    """All short names go to the tasks as a table of their hashes; no text and no piece of one is moved."""
+    listed = short.toArrow()[name].cast(pa.string()).combine_chunks()  # their size was checked
+    shared = texts.sparkSession.sparkContext.broadcast({"names": listed})
+    return names_in_texts(texts, key, "_text", name, shared)
+
+
+def _short_moved(texts: DataFrame, short: DataFrame, key: str, name: str, lengths: Mapping[int, int]) -> DataFrame:
+    """Strings that may be names meet the names, once per block of texts, and what is one goes back to its block."""
+    known = known_names(short, name, list(lengths), sum(lengths.values()))
+    shared = texts.sparkSession.sparkContext.broadcast(tuple(known))
+    made = materialize(blocks_of_texts(texts, key, "_text", shared), "blocks")
+    pieces = made.where(F.col("_piece").isNotNull()).select("_block", "_piece", "_at")
+    pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64("_block"), F.lit(SALTS)))
+    salted = _salted(short.select(F.col(name), F.col(name).alias("_piece")))
+    found = pieces.join(salted, ["_piece", "_salt"]).select(F.col("_block").alias("_of"), name, "_at")
+    keys = made.where(F.col("_piece").isNull()).select("_block", "_keys")
+    return names_by_text(found, keys, key, name)
+
+
+def _salted(lookup: DataFrame) -> DataFrame:
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    return lookup.withColumn("_salt", F.explode(every_salt))
+
+
+def _long_pairs(texts: DataFrame, words: DataFrame, key: str, name: str, longest: int, move: bool) -> DataFrame:
+    """(key, name) for names beyond ``WHOLE`` characters: found by a piece, then compared with the text."""
+    cut = [WIDTH]
     lookup = cheapest_pieces(words, name, cut, sketch(texts, "_text", cut), sketch(words, name, cut))
     lookup = materialize(lookup, "lookup")
     segments = _segments(texts, key, longest)
@@ -261,16 +314,10 @@ def _piece_pairs(
     pieces = known_pieces(segments, "_segment", cut, piece_filter(lookup))
     if not move:
         found = pieces.join(F.broadcast(lookup), "_piece")
-        # Texts stay where they are; what moves are names found, once each, as two parts of a text may hold the same.
-        checked = found.where(F.contains(F.col("_around"), F.col(name)))
-        pairs = checked.select(key, name).distinct()
-    else:
-        pieces = pieces.select(key, "_piece", F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt"))
-        every_salt = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-        salted = lookup.withColumn("_salt", F.explode(every_salt))
-        found = pieces.join(salted, ["_piece", "_salt"]).select(key, name, "_width")
-        # Candidates go to where their text is, once each, and are checked there.
-        candidates = found.repartition(key).distinct().join(texts, key)
-        pairs = candidates.where(F.contains(F.col("_text"), F.col(name))).select(key, name)
-    # The empty name is in every text.
-    return pairs.unionAll(texts.select(key, F.lit("").alias(name))) if 0 in widths else pairs
+        # Texts stay where they are; what moves are names found.
+        return found.where(F.contains(F.col("_around"), F.col(name))).select(key, name)
+    pieces = pieces.select(key, "_piece", F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt"))
+    found = pieces.join(_salted(lookup), ["_piece", "_salt"]).select(key, name)
+    # Candidates go to where their text is, once each, and are checked there.
+    candidates = found.repartition(key).distinct().join(texts, key)
+    return candidates.where(F.contains(F.col("_text"), F.col(name))).select(key, name)

@@ -305,3 +305,88 @@ def test_sketch_of_a_text_in_parts(spark, monkeypatch):
             mine.append(pieces.slots(hashes[at < 10]).ravel())
     mine += slots[3:]
     assert (whole == np.bincount(np.concatenate(mine), minlength=len(whole))).all()
+
+
+@pytest.mark.parametrize("strategy", ["grams", "shuffle"])
+def test_short_names_take_one_look_at_a_text(spark, monkeypatch, strategy):
+    """No sketch of the texts is made, and no candidate is compared with its text again."""
+    from gramledger.operators import containment
+
+    monkeypatch.setattr(containment, "sketch", lambda *args: pytest.fail("the texts were read for a sketch"))
+    left, right = frames(spark, TEXTS, NAMES + [("", 4), ("N" * 32, 1)])
+    df = contains_join(left, right, "k", "text", "name", strategy=strategy)
+    assert "Contains" not in plan_of(df)
+    assert {(r["k"], r["name"], r["severity"]) for r in df.collect()} == brute(TEXTS, NAMES + [("", 4)])
+
+
+@pytest.mark.parametrize("strategy", ["grams", "shuffle"])
+def test_names_around_the_longest_that_is_looked_up_whole(spark, strategy):
+    text = "".join(chr(97 + i * i % 23) for i in range(400)).upper()
+    names = [(text[i : i + n], n) for i, n in ((3, 1), (5, 8), (7, 31), (11, 32), (13, 33), (17, 34), (19, 150))]
+    texts = [(1, text), (2, text[100:] + text[:100]), (3, "none"), (4, None), (5, text[7:38]), (6, "")]
+    left, right = frames(spark, texts, names + [("", 0), ("Z" * 40, 3)])
+    assert joined(left, right, strategy=strategy) == brute(texts, names + [("", 0)])
+
+
+@pytest.mark.parametrize("strategy", ["grams", "shuffle"])
+def test_name_over_the_edge_of_a_part_of_a_long_text(spark, strategy):
+    from gramledger.operators import pieces
+
+    filler = "." * (pieces.CHUNK - 4)
+    texts = [(1, filler + "cold gear" + filler + "cold"), (2, "gear"), (3, "cold " * 3)]
+    names = [("COLD GEAR", 1), ("COLD", 2), ("GEAR", 3), ("." * 32, 4), ("R.", 5)]
+    left, right = frames(spark, texts, names)
+    assert joined(left, right, strategy=strategy) == brute(texts, names)
+
+
+@pytest.mark.parametrize("shared_key", [False, True])
+def test_tables_of_names_are_exact(monkeypatch, shared_key):
+    """Also where names and other strings have one key."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    from gramledger.operators import pieces
+
+    if shared_key:
+        own = pieces._key
+        few = lambda values, length: np.full(len(values), length % 2, np.uint64)
+        monkeypatch.setattr(pieces, "_key", lambda values, length: (own if length <= pieces.EXACT else few)(values, length))
+    some = random.Random(5)
+    for letters in ("ab", "abc ", "aé\U0001f600 \0") * 8:
+        texts = ["".join(some.choices(letters, k=some.randrange(60))) for _ in range(5)]
+        names = {"".join(some.choices(letters, k=some.choice([1, 2, 3, 5, 8, 9, 20]))) for _ in range(9)}
+        names = sorted(names | {t[3:20] for t in texts if len(t) > 3})
+        wanted = [(i, n) for i, t in enumerate(texts) for n in names if n in t]
+        table = pieces.NameTable(pa.array(names, pa.string()))
+        assert sorted((i, names[n]) for i, n in zip(*(x.tolist() for x in table.found(texts)))) == wanted
+        block = pieces.Block(table.known)
+        block.add(pa.array(range(5)), texts)
+        rows = block.batch(7, ["_block", "_piece", "_at", "_keys"]).to_pylist()
+        assert rows[-1] == {"_block": 7, "_piece": None, "_at": None, "_keys": [0, 1, 2, 3, 4]}
+        assert sorted((i, r["_piece"]) for r in rows[:-1] if r["_piece"] in names for i in r["_at"]) == wanted
+
+
+def test_a_block_sends_a_string_once():
+    """What meets the names is a row per string and block of texts, whatever the number of texts that hold it."""
+    import pyarrow as pa
+    from gramledger.operators import pieces
+
+    known = pieces.NameTable(pa.array(["cold", "gear"])).known
+    block = pieces.Block(known)
+    for start in range(0, 4000, 200):
+        block.add(pa.array(range(start, start + 200)), ["cold gears, cold"] * 200)
+    rows = block.batch(1, ["_block", "_piece", "_at", "_keys"]).to_pylist()
+    assert {r["_piece"] for r in rows[:2]} == {"cold", "gear"} and len(rows) == 3
+    assert rows[0]["_at"] == rows[1]["_at"] == rows[2]["_keys"] == list(range(4000))
+
+
+@pytest.mark.parametrize("strategy", ["grams", "shuffle"])
+def test_rows_of_one_key(spark, strategy):
+    """A repeated key was never refused: ``grams`` gives each of its rows the names of all, ``shuffle`` one row per text."""
+    left = spark.createDataFrame([(1, "cold gear"), (1, "cold gear"), (2, "x"), (None, "gear")], "k int, t string")
+    right = spark.createDataFrame([("COLD",), ("GEAR",)], "name string")
+    rows = contains_join(left, right, "k", "t", "name", strategy=strategy).collect()
+    times = 2 if strategy == "grams" else 4
+    wanted = [(1, "COLD")] * times + [(1, "GEAR")] * times + [(2, None), (None, "GEAR")]
+    assert sorted(((r["k"], r["name"]) for r in rows), key=str) == sorted(wanted, key=str)
