@@ -535,26 +535,37 @@ def paged_stop(spark: SparkSession, folder: str) -> DataFrame:
     return pages.read_pages(spark, path, ORDER_RECORD, folder_pages=folder_pages)
 
 
-def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None) -> Callable:
-    """``fetch`` of a feed whose pages are the files of a landed folder; shows the first ``rows_seen`` rows."""
+def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None, folder_pages: int = 1) -> Callable:
+    """``fetch`` of a feed whose pages are landed in folders of so many; shows the first ``rows_seen`` rows.
 
-    def fetch(offset: int, size: int, wanted: dict) -> list[tuple]:
+    The folder read last is kept, since a task asks for page after page.
+    """
+    held: dict[int, dict[int, list[dict]]] = {}
+
+    def pages_of(folder: int) -> dict[int, list[dict]]:
         import json
 
         from pyarrow import fs
 
+        if folder not in held:
+            held.clear()
+            found = held[folder] = {}
+            files, root = fs.FileSystem.from_uri(path)
+            part = pages.PAGE if folder_pages == 1 else pages.FOLDER
+            for f in files.get_file_info(fs.FileSelector(f"{root}/{part}={folder}", allow_not_found=True)):
+                if f.base_name.endswith((".json", ".json.gz")):  # opened by their ending
+                    for line in files.open_input_stream(f.path).read().decode().splitlines():
+                        row = json.loads(line)
+                        found.setdefault(row.get(pages.PAGE, folder), []).append(row)
+            for rows in found.values():
+                rows.sort(key=lambda r: r["position"])
+        return held[folder]
+
+    def fetch(offset: int, size: int, wanted: dict) -> list[tuple]:
         size = size if rows_seen is None else max(0, min(size, rows_seen - offset))
-        files, root = fs.FileSystem.from_uri(path)
         rows: list[tuple] = []
         for page in range(offset // FEED_PAGE, (offset + size - 1) // FEED_PAGE + 1 if size else 0):
-            listed = files.get_file_info(fs.FileSelector(f"{root}/page={page}", allow_not_found=True))
-            lines = [
-                json.loads(line)
-                for f in listed
-                if f.base_name.endswith((".json", ".json.gz"))  # opened by their ending
-                for line in files.open_input_stream(f.path).read().decode().splitlines()
-            ]
-            lines.sort(key=lambda r: r["position"])
+            lines = pages_of(page // folder_pages).get(page, ())
             rows += [tuple(r.get(c) for c in schema.fieldNames()) for r in lines if r["position"] >= offset]
         return rows[:size]
 
@@ -562,13 +573,18 @@ def _page_files(path: str, schema: T.StructType, rows_seen: int | None = None) -
 
 
 def feed_followed(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as a live feed that is followed three times while it grows; each row landed once, with its page."""
+    """Orders as a live feed that is followed three times while it grows; each row landed once, with its page.
+
+    A folder of the feed holds as many small pages as make a page of the usual size.
+    """
     path, target, state = (fresh_path(spark, tag) for tag in ("feed", "followed", "state"))
     orders = order_records(spark, folder)
-    pages.land_pages(orders.withColumn("position", F.col("o_orderkey")), "position", path, FEED_PAGE)
+    folder_pages = pages.PAYMENT_PAGE_SIZE // FEED_PAGE
+    pages.land_pages(orders.withColumn("position", F.col("o_orderkey")), "position", path, FEED_PAGE, folder_pages)
     n = orders.count()
     for seen in (n // 3, n // 3, None):
-        spark.dataSource.register(pages.paged_feed("orders_feed", ORDER_RECORD, _page_files(path, ORDER_RECORD, seen)))
+        fetch = _page_files(path, ORDER_RECORD, seen, folder_pages)
+        spark.dataSource.register(pages.paged_feed("orders_feed", ORDER_RECORD, fetch))
         pages.follow_feed(spark, "orders_feed", target, state, batch_pages=100, size=FEED_PAGE)
     return spark.read.parquet(target)
 

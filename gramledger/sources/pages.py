@@ -92,7 +92,7 @@ class PagedFeed(DataSource):
     """Live feed. Make it concrete with :func:`paged_feed`.
 
     With the option ``pages``, so many pages are read, a task each; without it one task reads page after
-    page up to the first empty one. As a stream it reads any number of pages, a task each: :func:`follow_feed`.
+    page up to the first empty one. As a stream it reads any number of pages in a bounded number of tasks: :func:`follow_feed`.
     """
 
     feed_name = "paged_feed"
@@ -113,8 +113,8 @@ class PagedFeed(DataSource):
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         size = int(self.options.get("size", PAYMENT_PAGE_SIZE))
-        limit, step = (int(self.options[o]) if o in self.options else None for o in ("limit", "step"))
-        return FollowedReader(type(self).fetch, size, limit, json.loads(self.options.get("where", "{}")), step)
+        limit, step, tasks = (int(self.options[o]) if o in self.options else None for o in ("limit", "step", "tasks"))
+        return FollowedReader(type(self).fetch, size, limit, json.loads(self.options.get("where", "{}")), step, tasks)
 
 
 class PagedReader(DataSourceReader):
@@ -144,16 +144,24 @@ class PagedReader(DataSourceReader):
 
 
 class FollowedReader(DataSourceStreamReader):
-    """The feed as a stream: an offset is a number of rows, a batch the rows that came after the last one, a page a task.
+    """The feed as a stream: an offset is a number of rows, a batch the rows that came after the last one.
 
-    With ``limit`` the stream ends at that many rows for now; with ``step`` too, each batch that is planned moves the
+    A batch is dealt over ``tasks`` tasks at most, in runs of whole pages; without it a page is a task. A task asks for page
+    after page. With ``limit`` the stream ends at that many rows for now; with ``step`` too, each batch that is planned moves the
     limit to so many rows behind it. ``where`` goes to the server with every call.
     """
 
     def __init__(
-        self, fetch: Callable, size: int, limit: int | None, where: Mapping[str, object], step: int | None = None
+        self,
+        fetch: Callable,
+        size: int,
+        limit: int | None,
+        where: Mapping[str, object],
+        step: int | None = None,
+        tasks: int | None = None,
     ) -> None:
-        self.fetch, self.size, self.limit, self.where, self.step = fetch, size, limit, where, step
+        self.fetch, self.size, self.limit, self.where = fetch, size, limit, where
+        self.step, self.tasks = step, tasks
         self.known = 0
 
     def initialOffset(self) -> dict:
@@ -185,16 +193,20 @@ class FollowedReader(DataSourceStreamReader):
         if self.step is not None:
             self.known = max(self.known, end["rows"])
             self.limit = max(self.limit or 0, end["rows"] + self.step)
-        edges = [*range(start["rows"], end["rows"], self.size), end["rows"]]
+        pages = -((start["rows"] - end["rows"]) // self.size)  # pages of the batch, rounded up
+        span = self.size * (1 if self.tasks is None else max(1, -(-pages // self.tasks)))
+        edges = [*range(start["rows"], end["rows"], span), end["rows"]]
         return [InputPartition((a, b)) for a, b in zip(edges, edges[1:])]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        first, end = partition.value
-        rows = list(self.fetch(first, end - first, self.where))
-        if len(rows) != end - first:  # rows that were there are gone; going on would lose what moved up
-            raise ValueError(f"the feed gave {len(rows)} of {end - first} rows from {first} on")
-        for i, row in enumerate(rows):
-            yield ((first + i) // self.size, *row)
+        start, stop = partition.value
+        for first in range(start, stop, self.size):
+            end = min(first + self.size, stop)
+            rows = list(self.fetch(first, end - first, self.where))
+            if len(rows) != end - first:  # rows that were there are gone; going on would lose what moved up
+                raise ValueError(f"the feed gave {len(rows)} of {end - first} rows from {first} on")
+            for i, row in enumerate(rows):
+                yield ((first + i) // self.size, *row)
 
 
 def follow_feed(
@@ -208,13 +220,15 @@ def follow_feed(
 ) -> int:
     """Append to ``target`` what the feed registered as ``name`` holds beyond it; returns the rows there now.
 
-    ``batch_pages`` pages at a time are read, a task each, and committed together with the place they end at. A run
+    ``batch_pages`` pages at a time are read, by as many tasks as there are cores (to start a task, and to write its file,
+    takes longer than to read a page), and committed together with the place they end at. A run
     that breaks off is called again and goes on after the last commit: nothing is missing and nothing comes twice.
     ``size`` and ``where`` stay the same for a target, whose rows count as the place reached. The feed keeps the order
     of its rows and grows at the end.
     """
     step = batch_pages * size
-    options = {"size": size, "where": json.dumps(dict(where or {})), "step": step}
+    tasks = spark.sparkContext.defaultParallelism
+    options = {"size": size, "where": json.dumps(dict(where or {})), "step": step, "tasks": tasks}
     rows = _rows(spark, target)
     while True:
         feed = spark.readStream.format(name).options(**options, limit=rows + step).load()

@@ -100,3 +100,28 @@ def test_limit_moves_with_planned_batches_only():
     assert reader.latestOffset() == {"rows": 60}
     reader.partitions({"rows": 60}, {"rows": 80})
     assert reader.latestOffset() == {"rows": 95}
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 8, 200])
+def test_pages_of_a_batch_are_dealt_over_few_tasks(tasks):
+    """Each page is asked for by itself, as by a task per page; rows come once and in order within a task."""
+    calls = []
+
+    def fetch(offset, size, wanted):
+        calls.append((offset, size))
+        return [(k,) for k in range(offset, min(1995, offset + size))]
+
+    reader = pages.FollowedReader(fetch, 10, 1000, {}, 1000, tasks)
+    parts = reader.partitions({"rows": 995}, {"rows": 1995})
+    assert len(parts) == min(100, -(-100 // -(-100 // tasks)))
+    assert [row for p in parts for row in reader.read(p)] == [(k // 10, k) for k in range(995, 1995)]
+    assert calls == [(k, 10) for k in range(995, 1995, 10)]
+
+
+def test_a_batch_is_written_by_few_tasks(spark, follow, tmp_path):
+    """A batch of 60 pages leaves no more files than there are cores."""
+    run, landed = follow
+    assert run(600, batch_pages=60) == 600
+    files = [p for p in (tmp_path / "out").iterdir() if p.name.endswith(".parquet")]
+    assert len(files) <= spark.sparkContext.defaultParallelism < 60
+    assert [k for _, k, _ in landed()] == list(range(600))
