@@ -372,6 +372,56 @@ def test_language_model_learns_from_all_texts(spark):
     assert plain.bits(values).sum() < begun
 
 
+def test_language_model_knows_what_the_corpus_repeats(spark):
+    """A text that is learned from twice is told from the others; its score is that of a plain mix, phrase by phrase."""
+    rng = np.random.default_rng(11)
+    words = ["".join(map(chr, rng.integers(97, 110, rng.integers(2, 8)))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(120)]
+    twice = set(range(0, 30))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i]) for i in sorted(twice)] + [(5000, None), (5001, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r for r in lm_score.score(frame).collect()}
+    learned = {i for i, r in found.items() if not r["held_out"]}
+    apart = [found[i]["bits_per_byte"] for i in twice if 1000 + i in learned]
+    others = [found[i]["bits_per_byte"] for i in range(120) if i not in twice]
+    assert len(apart) > 15 and max(apart) < 0.5 * min(others)
+
+    model = lm_score.learn(frame.where(F.col("doc_id").isin(sorted(learned))))
+    lists = {i: lm_score.runs([(t or "").encode()])[0] for i, t in rows}
+    cut = {}
+    for i, values in lists.items():
+        parts, start = [], 0
+        for k in range(1, len(values) + 1):
+            ends = lm_score.mixed(values[k - 1 : k])[0] >> np.uint64(64 - lm_score.PHRASE_BITS) == 0
+            if k == len(values) or (ends and values[k] != values[k - 1]):
+                parts.append(values[start:k].tobytes())
+                start = k
+        cut[i] = parts
+    seen = Counter(p for i in learned for p in cut[i])
+    total = sum(seen.values())
+    share = sum(n for n in seen.values() if n > 1) / (total + 1)
+    for i, _ in rows:
+        bits, own = 0.0, i in learned
+        for p in cut[i]:
+            by_bytes = model.bits(np.frombuffer(p, np.uint64)).sum()
+            bits -= np.log2((1 - share) * 2.0**-by_bytes + share * (seen[p] - own) / (total - own))
+        assert found[i]["score"] == pytest.approx(-bits * np.log10(2), rel=1e-6)
+
+
+def test_phrases_of_few_and_odd_texts(monkeypatch):
+    for texts in ([], [b""], [b"", b""], [b"a" * 5000, b"", b"ab" * 3000, bytes(range(1, 200)) * 20]):
+        values, sizes = lm_score.runs(texts)
+        starts, keys, count = lm_score.phrases(values, sizes)
+        assert len(starts) == len(keys) == count.sum() and len(count) == len(texts) and (count > 0).all()
+        assert set(np.cumsum(sizes) - sizes) <= set(starts.tolist())
+        assert len(texts) < 4 or count[0] < 8
+        with monkeypatch.context() as patch:
+            patch.setattr(lm_score, "SCRAMBLED", 7)
+            assert all((x == y).all() for x, y in zip(lm_score.phrases(values, sizes), (starts, keys, count)))
+    assert lm_score.mixed_lengths(np.array([5.0, 1e6]), np.array([0, 0]), np.array([0, 0]), 0.0).tolist() == [5.0, 1e6]
+    assert np.isfinite(lm_score.mixed_lengths(np.array([1e6, 1e6]), np.array([0, 3]), np.array([9, 9]), 0.9)).all()
+
+
 def test_neighbours_by_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1500, 16)).astype(np.float32)
